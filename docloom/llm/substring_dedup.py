@@ -84,7 +84,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str
 
     occ = d.mapInArrow(occurrences, "a bigint, b bigint, doc bigint, th bigint, span bigint")
     shared = occ.groupBy("a").agg(F.min("doc").alias("low"), F.max("doc").alias("top"), F.min("b").alias("b0"), F.max("b").alias("b1")).where("low < top")
-    found = materialise(occ.join(shared.select("a", "low", (F.col("b0") != F.col("b1")).alias("forks")), "a"), "anchors")
+    # Written first, so that a skewed anchor's occurrences can be split over tasks in the join.
+    shared = materialise(shared.select("a", "low", (F.col("b0") != F.col("b1")).alias("forks")), "shared")
+    found = materialise(occ.join(shared, "a"), "anchors")
 
     # Every block of the anchor is the same: all windows are in the document with the smallest id.
     plain = found.where("NOT forks AND doc > low").select("doc", "th", "span")
