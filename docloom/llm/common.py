@@ -261,3 +261,21 @@ class SortedTable:
 def bucket_bits(spark: SparkSession) -> int:
     """Of a number of buckets, a power of two, that is at least the shuffle's partitions."""
     return max(0, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+
+
+class Sieve:
+    """Membership in a SortedTable: a bitmap of 2**24 marks lets nearly all absent keys go unsearched."""
+
+    def __init__(self, table: SortedTable) -> None:
+        self.table, self.marks = table, np.zeros(2**24, bool)
+        for k in range(2**table.bits):
+            if (part := table.part(k)) is not None:
+                self.marks[(part[0] & np.uint64(2**24 - 1)).astype(np.int64)] = True
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        out = self.marks.take((keys & np.uint64(2**24 - 1)).astype(np.int64))
+        hit = np.flatnonzero(out)
+        if len(hit):
+            k, back = np.unique(keys[hit], return_inverse=True)
+            out[hit] = self.table.find(k)[0][back] > 0
+        return out

@@ -34,29 +34,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Hashes, SortedTable, bucket_bits, column, materialise, mix, shared_path, slices, text_bytes
+from docloom.llm.common import Hashes, Sieve, SortedTable, bucket_bits, column, materialise, mix, shared_path, slices, text_bytes
 
 SHINGLE, PERCENT = 4, 85
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+_S32 = np.uint64(31)
 MOST_LIGHT = 16
 
 
+def shingle_sets(texts: list[bytes], hashes: Hashes, k: int = SHINGLE) -> list[np.ndarray]:
+    """For each text, with A-Z in lower case: sorted hashes of its distinct k-word shingles (of all words, if fewer)."""
+    words = [t.lower().split() for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    h = np.concatenate([hashes.array(w) for w in words]) if len(words) else np.zeros(0, np.uint64)
+    ends = np.cumsum(sizes)
+    full = h[: max(0, len(h) - k + 1)]
+    for i in range(1, k):
+        full = full * _A + h[i : len(h) - k + 1 + i]
+    full = mix(full + np.uint64(k))
+    out = []
+    for n, end in zip(sizes.tolist(), ends.tolist()):
+        if n >= k:
+            s = np.sort(full[end - n : end - k + 1])
+            out.append(s[np.append(True, s[1:] != s[:-1])])
+        elif n:
+            one = h[end - n : end - n + 1]
+            for i in range(1, n):
+                one = one * _A + h[end - n + i : end - n + i + 1]
+            out.append(mix(one + np.uint64(n)))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
+
+
 def shingles(text: bytes, hashes: Hashes, k: int = SHINGLE) -> np.ndarray:
-    """Sorted hashes of the distinct k-word shingles of the text with A-Z in lower case."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = hashes.array(words)
-    n = max(1, len(h) - k + 1)
-    out = np.full(n, min(len(h), k), np.uint64)
-    for i in range(min(k, len(h))):
-        out = mix(out * _A + h[i : i + n])
-    return np.unique(out)
+    return shingle_sets([text], hashes, k)[0]
 
 
 def set_id(s: np.ndarray) -> tuple[int, int]:
     """Two 64-bit hashes of a set."""
-    a, b = np.add.reduce(mix(s ^ _A), dtype=np.uint64), np.add.reduce(mix(s * _B), dtype=np.uint64)
+    a, b = np.add.reduce(s, dtype=np.uint64), np.add.reduce(s * (s >> _S32), dtype=np.uint64)
     two = mix(np.array([a, b], np.uint64)).view(np.int64)
     return int(two[0]), int(two[1])
 
@@ -105,8 +122,8 @@ def element_keys(s: np.ndarray) -> np.ndarray:
     return mix(s + _A)
 
 
-def keys(s: np.ndarray, common: np.ndarray, x: int, percent: int) -> np.ndarray:
-    """The lists that a set enters. common: marks of its very common elements."""
+def keys(s: np.ndarray, own: np.ndarray, common: np.ndarray, x: int, percent: int) -> np.ndarray:
+    """The lists that a set enters. own: its elements' keys; common: marks of the very common ones."""
     n = len(s)
     out = []
     if 0 < n <= x:
@@ -115,7 +132,7 @@ def keys(s: np.ndarray, common: np.ndarray, x: int, percent: int) -> np.ndarray:
             sums = np.array([np.add.reduce(m[list(p)], dtype=np.uint64) for p in combinations(range(n), c)], np.uint64)
             out.append(mix(sums + np.uint64(size * int(_A) % 2**64)))
     if n > x or n >= max(1, least_overlap(x + 1, percent)):
-        out.append(prefix(element_keys(s), common, percent))
+        out.append(prefix(own, common, percent))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -132,8 +149,8 @@ def blobs(found: list[np.ndarray], bits: int) -> Iterator[tuple[int, bytes, byte
         yield int(top[lo]), k[lo:hi].tobytes(), c[lo:hi].astype(np.uint32).tobytes()
 
 
-def tally(rows: DataFrame, root: str) -> None:
-    """Sum blobs per bucket; keys counted twice or more go to a table of sorted hashes in the shared folder."""
+def tally(rows: DataFrame, root: str, least: int) -> None:
+    """Sum blobs per bucket; keys counted ``least`` times or more go to a table of sorted hashes in the shared folder."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[int, list] = {}
@@ -146,7 +163,7 @@ def tally(rows: DataFrame, root: str) -> None:
             h, c = h[order], c[order].astype(np.int64)
             at = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
             total = np.add.reduceat(c, at)
-            keep = total > 1
+            keep = total >= least
             SortedTable.write(root, k, h[at][keep], [np.minimum(total[keep], 2**32 - 1).astype(np.uint32)])
         yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], names=["n"])
 
@@ -154,14 +171,11 @@ def tally(rows: DataFrame, root: str) -> None:
     rows.repartition(parts, "bucket").mapInArrow(merge, "n bigint").agg(F.sum("n")).collect()  # one number
 
 
-def counts_of(table: SortedTable, per_text: list[np.ndarray]) -> list[np.ndarray]:
-    """For arrays of keys: their counts in a table, looked up in order."""
+def each(test, per_text: list[np.ndarray]) -> list[np.ndarray]:
+    """Apply a test to arrays of keys in one go."""
     if not per_text:
         return []
-    whole = np.concatenate(per_text)
-    k, back = np.unique(whole, return_inverse=True)
-    c = table.find(k)[0][back]
-    return np.split(c, np.cumsum([len(x) for x in per_text])[:-1])
+    return np.split(test(np.concatenate(per_text)), np.cumsum([len(x) for x in per_text])[:-1])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -184,8 +198,48 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(i1, rep, text) of the representatives in ``wanted`` (i1, rep).
+
+    Their ids become a table of sorted hashes in the shared folder, against which every
+    task filters the documents it reads: no text is shuffled to find these few.
+    """
+    spark = docs.sparkSession
+    bits, root = bucket_bits(spark), shared_path(spark, "wanted")
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[int, list[int]] = {}
+        for b in batches:
+            for k, h in zip(column(b, "bucket"), column(b, "h")):
+                got.setdefault(k, []).append(h)
+        for k, hs in got.items():
+            h = np.unique(np.array(hs, np.int64).view(np.uint64))
+            SortedTable.write(root, k, h, [np.ones(len(h), np.uint32)])
+        yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], names=["n"])
+
+    h = F.xxhash64("rep")
+    bucket = F.shiftrightunsigned(h, 64 - bits).cast("int") if bits else F.lit(0)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted.select(h.alias("h"), bucket.alias("bucket")).distinct().repartition(parts, "bucket").mapInArrow(lay, "n bigint").agg(F.sum("n")).collect()  # one number
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, among = Hashes(), Sieve(SortedTable(root, bits, ["u4"]))
+        for b in slices(batches, "text"):
+            keep = among(b.column(1).to_numpy(zero_copy_only=False).view(np.uint64))
+            b = b.filter(pa.array(keep))
+            texts = column(b, "text")
+            ids = [set_id(s)[0] for s in shingle_sets(texts, hashes)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(0), b.column(2)], names=["i1", "rep", "text"])
+
+    # Rows that repeat an id may differ in text: the set's id tells them apart.
+    found = docs.select("doc", F.xxhash64("doc").alias("h"), "text").mapInArrow(pick, "i1 bigint, rep bigint, text binary")
+    return materialise(found.join(wanted, ["i1", "rep"], "left_semi").dropDuplicates(["i1", "rep"]), "texts")
+
+
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Of candidate pairs (s, o: ids of sets), those that link, as edges between representative documents (u, v)."""
+    ids = pairs.select(F.col("s").alias("i1")).unionAll(pairs.select(F.col("o").alias("i1"))).distinct()
+    texts = texts_of(reps.join(ids, "i1").select("i1", "rep"), docs)
     left = pairs.join(texts.select(F.col("i1").alias("s"), F.col("rep").alias("u"), F.col("text").alias("a")), "s")
     joined = left.join(texts.select(F.col("i1").alias("o"), F.col("rep").alias("v"), F.col("text").alias("b")), "o").select("u", "v", "a", "b")
 
@@ -225,57 +279,56 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
         for b in slices(batches, "text"):
             rows: list[tuple] = []
             found = []
-            for doc, t in zip(column(b, "doc"), column(b, "text")):
-                s = shingles(t, hashes)
+            for doc, s in zip(column(b, "doc"), shingle_sets(column(b, "text"), hashes)):
+                p = prefix_size(len(s), percent) if len(s) else 0
                 k = element_keys(s)
-                found.append(prefix(k, np.zeros(len(k), bool), percent))
+                found.append(np.partition(k, p - 1)[:p] if p < len(k) else k)
                 rows.append((doc, *(set_id(s) if len(s) else (0, 0)), len(s), None, None, None))
             rows += [(None, None, None, None, *x) for x in blobs(found, bits)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["doc", "i1", "i2", "n", "bucket", "ks", "cs"])
 
     both = materialise(d.mapInArrow(sets, f"doc bigint, i1 bigint, i2 bigint, n bigint, {_BLOBS}"), "sets")
     own = both.where("bucket IS NULL").select("doc", "i1", "i2", "n")
-    tally(both.where("bucket IS NOT NULL").select("bucket", "ks", "cs"), first_at)
+    tally(both.where("bucket IS NOT NULL").select("bucket", "ks", "cs"), first_at, long_list)
     sizes = {r["n"]: r["c"] for r in own.groupBy(F.least("n", F.lit(4 * MOST_LIGHT)).alias("n")).agg(F.count("*").alias("c")).collect()}
     x = boundary(sizes, percent)
 
-    def entered(texts: list[bytes], hashes: Hashes, first: SortedTable) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def entered(texts: list[bytes], hashes: Hashes, common: Sieve) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """The sets of some texts and the lists they enter."""
-        s = [shingles(t, hashes) for t in texts]
-        often = counts_of(first, [element_keys(e) for e in s])
-        return s, [keys(e, c >= long_list, x, percent) for e, c in zip(s, often)]
+        s = shingle_sets(texts, hashes)
+        k = [element_keys(e) for e in s]
+        return s, [keys(e, own, c, x, percent) for e, own, c in zip(s, k, each(common, k))]
 
     known = d.where("doc IS NOT NULL")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, first = Hashes(), SortedTable(first_at, bits, ["u4"])
+        hashes, common = Hashes(), Sieve(SortedTable(first_at, bits, ["u4"]))
         for b in slices(batches, "text"):
-            rows = list(zip(*blobs(entered(column(b, "text"), hashes, first)[1], bits))) or [(), (), ()]
+            rows = list(zip(*blobs(entered(column(b, "text"), hashes, common)[1], bits))) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "ks", "cs"])
 
-    tally(known.select("text").mapInArrow(count, _BLOBS), second_at)
+    tally(known.select("text").mapInArrow(count, _BLOBS), second_at, 2)
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, first, second = Hashes(), SortedTable(first_at, bits, ["u4"]), SortedTable(second_at, bits, ["u4"])
+        hashes, common, second = Hashes(), Sieve(SortedTable(first_at, bits, ["u4"])), SortedTable(second_at, bits, ["u4"])
+
+        def twice(ks: np.ndarray) -> np.ndarray:
+            k, back = np.unique(ks, return_inverse=True)
+            return second.find(k)[0][back] > 1
+
         for b in slices(batches, "text"):
-            docs_, texts = column(b, "doc"), column(b, "text")
-            s, ks = entered(texts, hashes, first)
-            rows = []
-            for doc, t, e, k, c in zip(docs_, texts, s, ks, counts_of(second, ks)):
-                if len(k := k[c > 1]):
-                    rows.append((doc, *set_id(e), len(e), t, k.view(np.int64)))
-            cols = list(zip(*rows)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))], names=["doc", "i1", "i2", "n", "text", "ks"])
-
-    members = materialise(known.mapInArrow(shared, "doc bigint, i1 bigint, i2 bigint, n bigint, text binary, ks array<bigint>"), "members")
-    reps = members.groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep"))
+            s, ks = entered(column(b, "text"), hashes, common)
+            rows = [(doc, *set_id(e), len(e), k[c].view(np.int64)) for doc, e, k, c in zip(column(b, "doc"), s, ks, each(twice, ks)) if c.any()]
+            cols = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())))], names=["doc", "i1", "i2", "n", "ks"])
+
+    members = materialise(known.mapInArrow(shared, "doc bigint, i1 bigint, i2 bigint, n bigint, ks array<bigint>"), "members")
     # One row for each distinct set: sets of one 64-bit id but different content stay apart by representative.
-    one = members.join(reps.select(F.col("rep").alias("doc"), "i1", "i2"), ["doc", "i1", "i2"]).dropDuplicates(["doc", "i1", "i2"])
-    texts = materialise(one.select("i1", "n", F.col("doc").alias("rep"), "text", "ks"), "texts")
-    entries = texts.select(F.explode("ks").alias("k"), "i1", "n").distinct()
+    reps = materialise(members.groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep")), "reps")
+    entries = members.select(F.explode("ks").alias("k"), "i1", "n").distinct()
     heads = entries.groupBy("k").agg(F.min("i1").alias("head"), F.max("i1").alias("top")).where("head < top").select("k", "head")
     lists = materialise(entries.join(heads, "k").select("k", "i1", "n", "head"), "lists")
-    size = texts.groupBy("i1").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
+    size = reps.groupBy("i1").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
 
     def fitting(pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes allow a link."""
@@ -283,12 +336,11 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
         p = p.join(size.select(F.col("i1").alias("o"), F.col("n0").alias("o0"), F.col("n1").alias("o1")), "o")
         return p.where(f"100 * s1 >= {percent} * o0 AND 100 * o1 >= {percent} * s0").select("s", "o")
 
-    slim = texts.select("i1", "rep", "text")
     pairs = materialise(fitting(lists.where("i1 <> head").select(F.col("i1").alias("s"), F.col("head").alias("o")).distinct()), "pairs")
-    edges = materialise(verified(pairs, slim, percent), "links")
+    edges = materialise(verified(pairs, reps, known, percent), "links")
     for k in range(1, star_rounds + 1):
         comp = components(edges)
-        label = texts.select("i1", "rep").join(comp, F.col("rep") == comp["node"], "left").groupBy("i1").agg(F.min(F.coalesce("component", "rep")).alias("c"))
+        label = reps.select("i1", "rep").join(comp, F.col("rep") == comp["node"], "left").groupBy("i1").agg(F.min(F.coalesce("component", "rep")).alias("c"))
         open_lists = lists.select("k", "i1", "n").join(label, "i1")
         several = open_lists.groupBy("k").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("k")
         left = materialise(open_lists.join(several, "k"), "open")
@@ -300,11 +352,17 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
             more = left.join(head, "k").where("c <> h.c").select(F.col("i1").alias("s"), F.col("h.i1").alias("o")).distinct()
         else:
             o = left.select("k", F.col("i1").alias("o"), F.col("c").alias("oc"), F.col("n").alias("on"))
-            more = left.join(o, "k").where(f"c < oc AND 100 * n >= {percent} * on AND 100 * on >= {percent} * n").select(F.col("i1").alias("s"), "o").distinct()
+            more = left.join(o, "k").where(f"c < oc AND 100 * n >= {percent} * on AND 100 * on >= {percent} * n")
+            # All lists that two sets of different components share are here, so they can be counted: of a link's
+            # common elements, all but n - overlap of either prefix are on both.
+            low = least_overlap(x + 1, percent)
+            overlap = f"ceil({percent} * (n + on) / {100 + percent}.0)"
+            need = f"CASE WHEN least(n, on) < {low} THEN 1 ELSE greatest(1, {overlap} - ceil({percent} * greatest(n, on) / 100.0) + 1) END"
+            more = more.groupBy(F.col("i1").alias("s"), "o", "n", "on").agg(F.count("*").alias("lists")).where(f"lists >= {need}").select("s", "o").distinct()
         more = more.join(pairs, ["s", "o"], "left_anti").join(pairs.select(F.col("s").alias("o"), F.col("o").alias("s")), ["s", "o"], "left_anti")
         more = materialise(fitting(more), "pairs")
         pairs = pairs.unionAll(more)
-        edges = materialise(edges.unionAll(verified(more, slim, percent)), "links")
+        edges = materialise(edges.unionAll(verified(more, reps, known, percent)), "links")
     comp = components(edges)
     classes = own.where("n > 0 AND doc IS NOT NULL").groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep"))
     of_set = classes.join(comp, classes["rep"] == comp["node"], "left").select("i1", "i2", "n", F.coalesce("component", "rep").alias("c"))
