@@ -1,19 +1,306 @@
-"""All operators as queries over the standard tables, with SQL oracles."""
+"""All operators as queries over the standard tables, with SQL oracles.
+
+Texts of the tables hold no markers, edge space or blank lines, so queries that need
+them build them around the texts, alike in Spark and in SQL.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docloom.functions import normalize as N
+from docloom.functions import text as T
+from docloom.operators import layout, lines, merge
+from docloom.plans import rules, yaml_ops
+from docloom.sources import writers
+
+Query = Callable[[SparkSession, str], DataFrame]
+_Q: dict[str, Query] = {}
+_S: dict[str, str] = {}
+
+
+def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _column(name: str, make: Callable[[Column], Column], sql: str | None, wrap: Callable[[Column], Column] = lambda t: t, wrap_sql: str = "text", as_: str = "out") -> None:
+    """A query that applies one expression to every document."""
+
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        t = _read(spark, d, "documents").select("doc_id", wrap(F.col("text")).alias("t"))
+        return t.select("doc_id", make(F.col("t")).alias(as_))
+
+    _Q[name] = q
+    if sql:
+        _S[name] = f"SELECT doc_id, {sql} AS {as_} FROM (SELECT doc_id, {wrap_sql} AS t FROM documents)"
+
+
+NL = "chr(10)"
+_PAD = (lambda t: F.concat(F.lit(" \t　"), t, F.lit(" \n ")), f"' ' || chr(9) || chr(12288) || text || chr(160) || {NL} || ' '")
+_BLANK = (lambda t: F.concat(F.lit("  \n\n"), F.replace(t, F.lit("\n"), F.lit("\n \n")), F.lit("\n\n- 12 -\nend  of\n")), f"'  ' || {NL} || {NL} || replace(text, {NL}, {NL} || ' ' || {NL}) || {NL} || {NL} || '- 12 -' || {NL} || 'end  of' || {NL}")
+_TABLE = (lambda t: F.concat(F.lit("[[PAGE_START 1]]\n"), t, F.lit("\n[[TABLE_START page=1 index=1 rows=2 cols=2]]\na | b\nc | d\n[[TABLE_END]]\n[[PAGE_END]]\n[[PAGE_START 2]]\n"), t, F.lit(" tail\n[[PAGE_END]]\n[[TABLE_START page=2")), f"'[[PAGE_START 1]]' || {NL} || text || {NL} || '[[TABLE_START page=1 index=1 rows=2 cols=2]]' || {NL} || 'a | b' || {NL} || 'c | d' || {NL} || '[[TABLE_END]]' || {NL} || '[[PAGE_END]]' || {NL} || '[[PAGE_START 2]]' || {NL} || text || ' tail' || {NL} || '[[PAGE_END]]' || {NL} || '[[TABLE_START page=2'")
+_WIDE = (lambda t: F.concat(F.lit("－Ⅳ 3 年 "), t, F.lit(" 5 m ―Ⅻ")), "'－Ⅳ 3 年 ' || text || ' 5 m ―Ⅻ'")
+
+_column("q03_search_first_n", lambda t: T.search_first_n(t, 20, "the"), "contains(substr(t, 1, 20), 'the')")
+_column("q06_search_text", lambda t: T.search_first(t, "the").cast("long"), "CAST(CASE WHEN strpos(t, 'the') > 0 THEN strpos(t, 'the') - 1 END AS BIGINT)")
+_column("q07_search_all", lambda t: T.search_all(t, ["the", "and", "of"]), "contains(t, 'the') AND contains(t, 'and') AND contains(t, 'of')")
+_column("q08_search_any", lambda t: T.search_any(t, ["and", "de", "th"])["at"].cast("long"), "CAST(least(nullif(strpos(t, 'and'), 0), nullif(strpos(t, 'de'), 0), nullif(strpos(t, 'th'), 0)) - 1 AS BIGINT)")
+_column("q09_search_ordered", lambda t: T.search_ordered(t, ["zzz", "ing", "de"])["at"].cast("long"), "CAST(coalesce(nullif(strpos(t, 'zzz'), 0), nullif(strpos(t, 'ing'), 0), nullif(strpos(t, 'de'), 0)) - 1 AS BIGINT)")
+_column("q14_take_right", lambda t: T.slice_after(t, ". "), "CASE WHEN strpos(t, '. ') > 0 THEN substr(t, strpos(t, '. ') + 2) END")
+_column("q15_take_left", lambda t: T.slice_before(t, ". "), "CASE WHEN strpos(t, '. ') > 0 THEN substr(t, 1, strpos(t, '. ') - 1) END")
+_column("q17_remove_whitespaces", T.strip_u, "regexp_replace(t, '^[\\x09-\\x0d\\x1c-\\x20\\x{85}\\x{a0}\\x{3000}]+|[\\x09-\\x0d\\x1c-\\x20\\x{85}\\x{a0}\\x{3000}]+$', '', 'g')", *_PAD)
+_column("q18_remove_tables", T.remove_tables, "replace(regexp_replace(t, '(?s)\\[\\[TABLE_START.*?(\\[\\[TABLE_END\\]\\]|\\z)', '', 'g'), '[[TABLE_END]]', '')", *_TABLE)
+_column("q19_add_in_right", lambda t: F.concat(t, F.lit("(所)")), "t || '(所)'")
+_column("q20_add_in_left", lambda t: F.concat(F.lit("(所)"), t), "'(所)' || t")
+_column("q22_replace", lambda t: F.replace(t, F.lit("the"), F.lit("THE")), "replace(t, 'the', 'THE')")
+_column("q23_replace_start", lambda t: T.replace_start(t, "The", "A"), "regexp_replace(t, '^([\\s\\x{3000}]*)The', '\\1A')", lambda t: F.concat(F.lit(" 　The "), t), "' ' || chr(12288) || 'The ' || text")
+_column("q24_replace_end", lambda t: T.replace_end(t, "END", "."), "regexp_replace(t, 'END(\\s*)$', '.\\1')", lambda t: F.concat(t, F.lit(" END \n")), f"text || ' END ' || {NL}")
+_column("q28_finalise", T.finalise, "array_to_string(list_filter(string_split(regexp_replace(t, '\\[\\[PAGE_START\\s*\\d*\\s*\\]\\]|\\[\\[PAGE_END\\]\\]', '', 'g'), chr(10)), lambda l: trim(l) <> ''), chr(10))", lambda t: F.concat(F.lit("[[PAGE_START 7]]\n\n"), t, F.lit("\n[[PAGE_END]]\n")), f"'[[PAGE_START 7]]' || {NL} || {NL} || text || {NL} || '[[PAGE_END]]' || {NL}")
+_column("q29_page_number", lambda t: T.page_number(t, F.lit("tail")), "CASE WHEN strpos(t, 'tail') > 0 THEN CAST(list_extract(regexp_extract_all(substr(t, 1, strpos(t, 'tail') - 1), '\\[\\[PAGE_START\\s*(\\d+)\\s*\\]\\]', 1), -1) AS INTEGER) END", *_TABLE)
+_column("y02_contains", lambda t: F.contains(F.substring(t, 1, 40), F.lit("ing")), "contains(substr(t, 1, 40), 'ing')")
+_column("y03_length", lambda t: F.length(t).cast("long"), "CAST(length(t) AS BIGINT)")
+_column("y04_find_after", lambda t: T.slice_after(t, "zzz", "keep"), "CASE WHEN strpos(t, 'zzz') > 0 THEN substr(t, strpos(t, 'zzz') + 3) ELSE t END")
+_column("y05_take_before", lambda t: T.slice_before(t, "ing", "keep"), "CASE WHEN strpos(t, 'ing') > 0 THEN substr(t, 1, strpos(t, 'ing') - 1) ELSE t END")
+_column("y11_compact_ws", lambda t: T.compact_spaces(t, False), "regexp_replace(t, '[\\s\\x{a0}\\x{3000}]+', '', 'g')", *_PAD)
+_column("y11_collapse_ws", lambda t: T.compact_spaces(t, True), "trim(regexp_replace(t, '[\\s\\x{a0}\\x{3000}]+', ' ', 'g'))", *_PAD)
+_column("y12_concat", lambda t: F.concat(F.lit("<"), F.substring(t, 1, 30), F.lit(">")), "'<' || substr(t, 1, 30) || '>'")
+_column("x01_partition_right", lambda t: T.slice_after(t, "zzz", "empty"), "CASE WHEN strpos(t, 'zzz') > 0 THEN substr(t, strpos(t, 'zzz') + 3) ELSE '' END")
+_column("x02_partition_left", lambda t: T.slice_before(t, "zzz", "keep"), "CASE WHEN strpos(t, 'zzz') > 0 THEN substr(t, 1, strpos(t, 'zzz') - 1) ELSE t END")
+_column("x05_regex_sub", lambda t: F.regexp_replace(t, r"\.\s", "."), "regexp_replace(t, '\\.\\s', '.', 'g')")
+_column("x07_occurrences", lambda t: F.regexp_count(t, F.lit("(?:th|de)")).cast("long"), "CAST(len(regexp_extract_all(t, '(?:th|de)')) AS BIGINT)")
+_column("n04_remove_blanks", lambda t: F.replace(t, F.lit(" "), F.lit("")), "replace(t, ' ', '')")
+_column("n06_cell_value", lambda t: F.coalesce(T.remove_empty_lines(t), F.lit("")), "coalesce(array_to_string(list_filter(string_split(t, chr(10)), lambda l: trim(l) <> ''), chr(10)), '')", *_BLANK)
+_column("n08_remove_empty_lines", T.remove_empty_lines, "array_to_string(list_filter(string_split(t, chr(10)), lambda l: trim(l) <> ''), chr(10))", *_BLANK)
+_ascii = "".join(map(chr, range(0x20, 0x7F))).replace("'", "''")
+_full = "　" + "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
+_column("n01_full_width", T.full_width, f"translate(t, '{_ascii}', '{_full}')")
+_column("n01_full_width_kana", N.to_fullwidth, None, lambda t: F.concat(F.lit("ｶﾞ ｱ"), t))
+_column("n03_circled", N.circle, f"'④ ⓪ ((51)) ㊿ ' || text".replace("text", "t"), lambda t: F.concat(F.lit("((4)) （（０）） ((51)) ((50)) "), t), "text")
+_column("c01_roman_numerals", T.roman_numerals, "replace(replace(t, 'Ⅳ', 'IV'), 'Ⅻ', 'XII')", *_WIDE)
+_column("c02_half_width", N.to_halfwidth, None, lambda t: F.concat(F.lit("①Ａ１・"), t))
+_column("c03_ideographic_space", lambda t: F.replace(t, F.lit("　"), F.lit(" ")), "replace(t, chr(12288), ' ')", *_PAD)
+_column("c04_compress_spaces", T.compress_spaces, "array_to_string(list_transform(string_split(regexp_replace(t, '\\n$', ''), chr(10)), lambda l: trim(regexp_replace(l, '\\s+', ' ', 'g'))), chr(10))", *_BLANK)
+_column("c05_unit_spaces", T.unit_spaces, "replace(replace(replace(replace(replace(replace(t, ' 年', '年'), '年 ', '年'), ' m', 'm'), 'm ', 'm'), ' %', '%'), '% ', '%')", *_WIDE)
+_column("c06_dashes", T.dashes, "translate(t, '－—─–―', '-----')", *_WIDE)
+_column("c07_drop_footers", T.drop_footers, "array_to_string(list_filter(string_split(regexp_replace(t, '\\n$', ''), chr(10)), lambda l: NOT regexp_matches(trim(l), '^-\\s*\\d+\\s*-$')), chr(10))", *_BLANK)
+_column("c16_split_words", lambda t: F.replace(t, F.lit("th e"), F.lit("the")), "replace(t, 'th e', 'the')")
+_column("c21_has_cjk", T.has_cjk, "true", *_WIDE)
+_column("t01_normal_markers", T.normal_markers, "'x' || chr(10) || '[[PAGE_START 3]]' || chr(10) || text || chr(10) || '[[PAGE_END]]' || chr(10)".replace("text", "t"), lambda t: F.concat(F.lit("x [[PAGE_START 3]] "), F.replace(t, F.lit("[["), F.lit("")), F.lit(" [[PAGE_END]]")), "text")
+_column("t03_table_meta", lambda t: T.table_meta(t)["rows"], "'2'", *_TABLE)
+_column("t13_split_cells", lambda t: T.join_cells(T.split_cells(F.concat(t, F.lit("| x |")))), "array_to_string(list_transform(string_split(t || '| x |', '|'), lambda c: regexp_replace(c, '^\\s+|\\s+$', '', 'g')), ' | ')")
+_column("t14_page_digits", T.drop_page_digits, "regexp_replace(regexp_replace(t, '- \\d{0,3} -', '', 'g'), '\\n', '', 'g')", *_BLANK)
+
+
+def _query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _Q[f.__name__] = f
+        if sql:
+            _S[f.__name__] = sql
+        return f
+
+    return add
+
+
+SCRIPT = """
+notice:  ## whether an early phrase occurs
+    search in first : 20
+    search text : "the"
+    if found :
+        set(true)
+    if not found :
+        set(false)
+opening:
+    search text : ". "
+    if found :
+        take left :
+            remove whitespaces
+            add in right("。")
+            set_later
+            store(head)
+            set(head)
+second:
+    search text : (". ", "," )
+    if found :
+        take right :
+            search in : taken
+            search text : ". "
+            if found :
+                take left :
+                    replace("the", "THE")
+                    store(x)
+                    set(x)
+both:
+    check : notice
+    if true :
+        set("early")
+    if false :
+        set(opening)
+"""
+
+
+@_query("""WITH d AS (SELECT doc_id, text, nullif(strpos(text, '. '), 0) AS p, least(nullif(strpos(text, '. '), 0), nullif(strpos(text, ','), 0)) AS a FROM documents),
+e AS (SELECT *, CASE WHEN contains(substr(text, 1, 20), 'the') THEN 'True' ELSE 'False' END AS notice, trim(substr(text, 1, p - 1), ' ' || chr(10)) || '。' AS op0,
+ substr(text, a + CASE WHEN substr(text, a, 1) = ',' THEN 1 ELSE 2 END) AS r FROM d),
+f AS (SELECT *, array_to_string(list_filter(string_split(op0, chr(10)), lambda l: trim(l) <> ''), chr(10)) AS opening, nullif(strpos(r, '. '), 0) AS q FROM e)
+SELECT doc_id, notice, opening, trim(array_to_string(list_filter(string_split(replace(substr(r, 1, q - 1), 'the', 'THE'), chr(10)), lambda l: trim(l) <> ''), chr(10)), ' ' || chr(10)) AS second,
+ CASE WHEN notice = 'True' THEN 'early' ELSE opening END AS "both" FROM f""")
+def q30_rule_program(spark: SparkSession, d: str) -> DataFrame:
+    """A program of four variables over every document: searches, takes, branches, stores and checks."""
+    out = rules.extract(_read(spark, d, "documents").select("doc_id", "text"), SCRIPT)
+    return out.select("doc_id", "notice", "opening", "second", "both")
+
+
+STEPS = [
+    {"op": "contains", "phrase": "the", "in": "first_n", "n": 20, "set": "early"},
+    {"op": "find_after", "pattern": ". "},
+    {"op": "take_before", "pattern": ". "},
+    {"op": "copy", "as": "b"},
+    {"op": "compact_ws"},
+    {"op": "set_var", "name": "v"},
+    {"op": "restore", "from": "b"},
+    {"op": "if_var", "var": "early", "truthy": True, "then": [{"op": "emit", "key": "early", "literal": "yes"}], "else": [{"op": "emit", "key": "early", "literal": "no"}]},
+    {"op": "emit", "key": "compact", "from_var": "v"},
+]
+
+
+@_query("""WITH d AS (SELECT doc_id, text, CASE WHEN strpos(text, '. ') > 0 THEN substr(text, strpos(text, '. ') + 2) ELSE text END AS r FROM documents),
+e AS (SELECT *, CASE WHEN strpos(r, '. ') > 0 THEN substr(r, 1, strpos(r, '. ') - 1) ELSE r END AS s FROM d)
+SELECT doc_id, 0::INTEGER AS seq, 'early' AS key, CASE WHEN contains(substr(text, 1, 20), 'the') THEN 'yes' ELSE 'no' END AS value FROM e
+UNION ALL SELECT doc_id, 1::INTEGER, 'compact', regexp_replace(s, '\\s+', '', 'g') FROM e""")
+def y13_yaml_program(spark: SparkSession, d: str) -> DataFrame:
+    return yaml_ops.emit_rows(_read(spark, d, "documents"), STEPS, "doc_id")
+
+
+def _conversation_files(spark: SparkSession, d: str) -> DataFrame:
+    c = _read(spark, d, "conversations")
+    return c.select(F.col("conv_id").alias("project"), F.concat(F.lpad(F.col("turn").cast("string"), 4, "0"), F.lit("_"), "role").alias("file_name"), "text", "role", "turn")
+
+
+@_query("""WITH c AS (SELECT conv_id AS project, lpad(turn::VARCHAR, 4, '0') || '_' || role AS file_name, text, CASE WHEN contains(role, 'system') THEN 0 WHEN contains(role, 'user') THEN 1 WHEN contains(role, 'assistant') THEN 2 END AS r FROM conversations),
+n AS (SELECT *, row_number() OVER (PARTITION BY project, r ORDER BY lower(file_name), file_name) AS k FROM c WHERE r IS NOT NULL)
+SELECT project, file_name, CAST(row_number() OVER (PARTITION BY project ORDER BY r) - 1 AS INTEGER) AS place FROM n WHERE k = 1""")
+def m01_order_by_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return merge.order_by_tokens(_conversation_files(spark, d), ["system", "user", "assistant"]).select("project", "file_name", "place")
+
+
+@_query("""SELECT conv_id AS project, lpad(turn::VARCHAR, 4, '0') || '_' || role AS file_name, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN contains(role, 'system') THEN 0 ELSE 1 END DESC, lpad(turn::VARCHAR, 4, '0') || '_' || role DESC) - 1 AS INTEGER) AS place FROM conversations""")
+def m05_order_preferred(spark: SparkSession, d: str) -> DataFrame:
+    return merge.order_preferred(_conversation_files(spark, d), ["system"]).select("project", "file_name", "place")
+
+
+_PART = "'=== ' || CASE place WHEN 0 THEN 'FIRST' WHEN 1 THEN 'SECOND' WHEN 2 THEN 'THIRD' ELSE 'FILE ' || (place + 1)::VARCHAR END || ' FILE START: ' || file_name || ' ===' || chr(10) || chr(10) || text"
+_ORDERED = "WITH c AS (SELECT conv_id AS project, lpad(turn::VARCHAR, 4, '0') || '_' || role AS file_name, text FROM conversations), o AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY file_name) - 1 AS place FROM c)"
+
+
+@_query(f"{_ORDERED} SELECT project, string_agg({_PART}, chr(10) || chr(10) ORDER BY place) || chr(10) || chr(10) || '=== END OF DOCUMENT ===' AS text, count(*) AS n_files FROM o GROUP BY project")
+def m04_combine_texts(spark: SparkSession, d: str) -> DataFrame:
+    return merge.combine_texts(merge.order_preferred(_conversation_files(spark, d), [], descending=False))
+
+
+@_query(f"{_ORDERED} SELECT project, string_agg({_PART} || CASE WHEN place = 1 THEN chr(10) || chr(10) || '=== END OF DOCUMENT ===' ELSE '' END, chr(10) || chr(10) ORDER BY place) AS text, count(*) AS n_files FROM o GROUP BY project")
+def m06_combine_two(spark: SparkSession, d: str) -> DataFrame:
+    return merge.combine_texts(merge.order_preferred(_conversation_files(spark, d), [], descending=False), end_after=1)
+
+
+@_query("SELECT conv_id AS project, turn, bool_or(contains(role, 'system')) OVER (PARTITION BY conv_id) AS regular FROM conversations")
+def m03_uses_tokens(spark: SparkSession, d: str) -> DataFrame:
+    f = _conversation_files(spark, d).withColumn("file_name", F.col("role"))
+    return merge.uses_tokens(f, ["system"]).select("project", "turn", "regular")
+
+
+@_query("""WITH c AS (SELECT conv_id, turn, role = 'assistant' AS annex, substr(text, 1, 40) AS main, CASE WHEN turn % 2 = 0 THEN substr(text, 1, 20) ELSE '' END AS other FROM conversations)
+SELECT conv_id, CAST(min(turn) AS BIGINT) AS first_pos, count(*) AS n_rows, arg_min(main, turn + CASE WHEN annex THEN 1000000000000 ELSE 0 END) FILTER (WHERE trim(main) <> '') AS main,
+coalesce(CASE WHEN bool_or(NOT annex) THEN arg_max(other, turn) FILTER (WHERE annex AND trim(other) <> '') END, arg_min(other, turn) FILTER (WHERE trim(other) <> '')) AS other FROM c GROUP BY conv_id""")
+def m11_coalesce_rows(spark: SparkSession, d: str) -> DataFrame:
+    c = _read(spark, d, "conversations").select("conv_id", "turn", (F.col("role") == "assistant").alias("annex"), F.substring("text", 1, 40).alias("main"), F.when(F.col("turn") % 2 == 0, F.substring("text", 1, 20)).otherwise("").alias("other"))
+    return merge.coalesce_rows(c, "conv_id", "turn", "annex", ["main"], ["other"])
+
+
+@_query("SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text <> '')")
+def l00_lines(spark: SparkSession, d: str) -> DataFrame:
+    return lines.lines(_read(spark, d, "documents"))
+
+
+def _marked(spark: SparkSession, d: str) -> DataFrame:
+    t = F.concat(F.lit("[[PAGE_START 1]]\n\n12\n"), F.col("text"), F.lit("\n7\n[[PAGE_END]]\n[[PAGE_START 2]]\n別表 a\n"), F.col("text"), F.lit("\n[[PAGE_END]]"))
+    return lines.lines(_read(spark, d, "documents").select("doc_id", t.alias("text")))
+
+
+@_query("SELECT doc_id, '[[PAGE_START 1]]' || chr(10) || chr(10) || text || chr(10) || '[[PAGE_END]]' || chr(10) || '[[PAGE_START 2]]' || chr(10) || '別表 a' || chr(10) || text || chr(10) || '[[PAGE_END]]' AS text FROM documents")
+def t02_page_digits(spark: SparkSession, d: str) -> DataFrame:
+    return lines.joined(lines.without_page_digits(_marked(spark, d)))
+
+
+@_query("SELECT doc_id, '[[PAGE_START 1]]' || chr(10) || chr(10) || '12' || chr(10) || text || chr(10) || '7' || chr(10) || '[[PAGE_END]]' || chr(10) || '[[PAGE_START 2]]' AS text FROM documents")
+def c11_cut_at_end_heading(spark: SparkSession, d: str) -> DataFrame:
+    return lines.joined(lines.cut_at_end_heading(_marked(spark, d)))
+
+
+@_query("SELECT doc_id, 1::INTEGER AS page_no, CAST(3 + len(string_split(text, chr(10))) AS BIGINT) AS n_lines FROM documents UNION ALL SELECT doc_id, 2::INTEGER, CAST(1 + len(string_split(text, chr(10))) AS BIGINT) FROM documents")
+def t10_pages(spark: SparkSession, d: str) -> DataFrame:
+    return lines.pages(_marked(spark, d)).select("doc_id", "page_no", "n_lines")
+
+
+@_query("SELECT doc_id, CAST(unnest([0, 1, 2]) AS BIGINT) AS seg_no, unnest(['text', 'table', 'text']) AS type, unnest([1 + len(string_split(text, chr(10))), 4, 3 + len(string_split(text, chr(10)))])::INTEGER AS n_lines FROM documents")
+def t07_segments(spark: SparkSession, d: str) -> DataFrame:
+    t = F.concat(F.lit("[[PAGE_START 1]]\n"), F.col("text"), F.lit("\n[[TABLE_START page=1 rows=2]]\na | b\nc | d\n[[TABLE_END]]\n[[PAGE_END]]\n[[PAGE_START 2]]\n"), F.col("text"), F.lit("\n[[PAGE_END]]"))
+    s = lines.segments(lines.lines(_read(spark, d, "documents").select("doc_id", t.alias("text"))))
+    return s.select("doc_id", F.col("seg_no").cast("long").alias("seg_no"), "type", (F.size("lines") - F.when(F.col("seg_no") == 2, 0).otherwise(0)).alias("n_lines"))
+
+
+@_query("SELECT event_type, round(median(value) + 1.5, 6) AS threshold FROM events GROUP BY event_type")
+def l04_heading_threshold(spark: SparkSession, d: str) -> DataFrame:
+    return layout.heading_threshold(_read(spark, d, "events"), ["event_type"], "value").select("event_type", F.round("threshold", 6).alias("threshold"))
+
+
+def _boxes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Boxes on pages made of line items: a line per item, a table per order."""
+    i = _read(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("path"), F.lit(1).alias("page_no"), F.col("l_linenumber").alias("n"), (F.col("l_quantity") * 10).alias("x0"), (F.col("l_linenumber") * 12.0).alias("y0"))
+    i = i.withColumns({"x1": F.col("x0") + 20, "y1": F.col("y0") + 10})
+    o = _read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("path"), F.lit(1).alias("page_no"), F.lit(0).alias("table_no"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(250.0).alias("x1"), F.lit(48.0).alias("y1"), F.lit(4).alias("row_count"))
+    return i, o
+
+
+@_query("SELECT l_orderkey::VARCHAR AS path, l_linenumber AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity * 10 + 10 BETWEEN 0 AND 250 AND l_linenumber * 12.0 + 5 BETWEEN 0 AND 45")
+def l03_lines_in_tables(spark: SparkSession, d: str) -> DataFrame:
+    return layout.lines_in_tables(*_boxes(spark, d)).select("path", "n")
+
+
+@_query("SELECT l_orderkey::VARCHAR AS path, l_linenumber AS n FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE l_orderkey = o_orderkey AND l_quantity * 10 + 10 BETWEEN -1 AND 251 AND l_linenumber * 12.0 + 5 BETWEEN -1 AND 49)")
+def l11_outside_tables(spark: SparkSession, d: str) -> DataFrame:
+    return layout.outside_tables(*_boxes(spark, d)).select("path", "n")
+
+
+@_query("SELECT l_orderkey::VARCHAR AS path, l_linenumber AS n, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) - 1 AS INTEGER) AS place FROM lineitem")
+def l05_reading_order(spark: SparkSession, d: str) -> DataFrame:
+    return layout.reading_order(_boxes(spark, d)[0]).select("path", "n", "place")
+
+
+@_query("SELECT doc_id, CAST(unnest([0, 1, 2]) AS INTEGER) AS seq, unnest(['lang', 'source', 'n_chars']) AS field, unnest([lang, source, n_chars::VARCHAR]) AS value FROM documents")
+def k01_long_form(spark: SparkSession, d: str) -> DataFrame:
+    return writers.long_form(_read(spark, d, "documents"), "doc_id", ["lang", "source", "n_chars"])
+
+
+@_query("SELECT 'n' AS field, (SELECT count(*) FROM documents WHERE lang = 'de')::VARCHAR AS de, (SELECT count(*) FROM documents WHERE lang = 'en')::VARCHAR AS en, (SELECT count(*) FROM documents WHERE lang = 'es')::VARCHAR AS es, (SELECT count(*) FROM documents WHERE lang = 'fr')::VARCHAR AS fr")
+def k02_transposed(spark: SparkSession, d: str) -> DataFrame:
+    return merge.transposed(_read(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n")), "lang", ["n"])
+
+
+@_query()
+def k05_json_lines(spark: SparkSession, d: str) -> DataFrame:
+    return writers.json_lines(_read(spark, d, "documents").select("doc_id", "lang", "n_chars"))
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    return q30_rule_program(spark, d)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_S)
