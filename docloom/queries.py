@@ -118,7 +118,7 @@ opening:
         take left :
             remove whitespaces
             add in right("。")
-            set_later
+            unknown command
             store(head)
             set(head)
 second:
@@ -141,9 +141,9 @@ both:
 """
 
 
-@_query("""WITH d AS (SELECT doc_id, text, nullif(strpos(text, '. '), 0) AS p, least(nullif(strpos(text, '. '), 0), nullif(strpos(text, ','), 0)) AS a FROM documents),
+@_query("""WITH d AS (SELECT doc_id, text, nullif(strpos(text, '. '), 0) AS p, least(nullif(strpos(text, '.'), 0), nullif(strpos(text, ','), 0)) AS a FROM documents),
 e AS (SELECT *, CASE WHEN contains(substr(text, 1, 20), 'the') THEN 'True' ELSE 'False' END AS notice, trim(substr(text, 1, p - 1), ' ' || chr(10)) || '。' AS op0,
- substr(text, a + CASE WHEN substr(text, a, 1) = ',' THEN 1 ELSE 2 END) AS r FROM d),
+ substr(text, a + 1) AS r FROM d),
 f AS (SELECT *, array_to_string(list_filter(string_split(op0, chr(10)), lambda l: trim(l) <> ''), chr(10)) AS opening, nullif(strpos(r, '. '), 0) AS q FROM e)
 SELECT doc_id, notice, opening, trim(array_to_string(list_filter(string_split(replace(substr(r, 1, q - 1), 'the', 'THE'), chr(10)), lambda l: trim(l) <> ''), chr(10)), ' ' || chr(10)) AS second,
  CASE WHEN notice = 'True' THEN 'early' ELSE opening END AS "both" FROM f""")
