@@ -57,7 +57,7 @@ def normal(text: str) -> np.ndarray:
 
 
 class Automata:
-    """The suffix automata of some languages as tables state x symbol -> next state; bit 0 marks the end of a phrase."""
+    """The suffix automata of some languages as tables state x symbol -> next state; bit 0 marks the start of a phrase."""
 
     def __init__(self, samples: dict[str, str], most_symbols: int = 160) -> None:
         self.langs = sorted(samples)
@@ -108,6 +108,7 @@ class Automata:
         rows = np.fromiter((v for v, d in enumerate(nxt) for _ in d), np.int64)
         cols = np.fromiter((c for d in nxt for c in d), np.int64)
         table[rows, cols] = np.fromiter((u * 2 * w for d in nxt for u in d.values()), np.int64)
+        table[0] |= 1  # a phrase also begins where the walk stands at the start
         return table.ravel()
 
     def phrases(self, blocks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -116,7 +117,7 @@ class Automata:
         width = [int(np.searchsorted(-sizes, -t, side="left")) for t in range(len(blocks))]  # blocks longer than t
         for k, table in enumerate(self.tables):
             state = np.zeros(len(sizes), np.int32)
-            count = np.ones(len(sizes), np.int32)
+            count = np.zeros(len(sizes), np.int32)
             for t in range(len(blocks)):
                 n = width[t]
                 if not n:
