@@ -62,37 +62,32 @@ def differing(a: Column, b: Column, level: str) -> Column:
     return F.filter(F.transform(a[level], lambda x, i: F.when(F.array_contains(b[level], x), F.lit(-1)).otherwise(i)), lambda i: i >= 0)
 
 
-def next_ids(ids: DataFrame, buckets: int | None = None) -> DataFrame:
-    """(doc_id, next_id): the next lower id, for the lowest the highest; no task sorts all ids.
+def edited_pairs(docs: DataFrame, most_broadcast: int = 64 << 20) -> DataFrame:
+    """doc_id, text, its next document's text and the edited text.
 
-    Ids are dealt to value ranges cut at quantiles; only one row per range meets in one task.
+    Texts are dealt once, to ranges of ids cut at quantiles, so that nearly every next
+    document is in the same task; only the last text of each range is sent to the range
+    above (broadcast if all of them take less than ``most_broadcast`` code points).
+    Rows that repeat an id follow one another.
     """
-    spark = ids.sparkSession
-    n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ids = ids.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    cuts = ids.agg(F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(1, n)]) if n > 1 else F.array(F.lit(0.5)), 10000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    part = F.lit(0) if not cuts else F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("doc_id")))
-    dealt = ids.withColumn("_b", part)
-    inside = dealt.withColumn("_n", F.lag("doc_id").over(Window.partitionBy("_b").orderBy("doc_id")))
-    edges = dealt.groupBy("_b").agg(F.max("doc_id").alias("_top"))  # at most len(cuts) + 1 rows
-    lower = edges.withColumn("_below", F.lag("_top").over(Window.orderBy("_b"))).withColumn("_below", F.coalesce("_below", F.max("_top").over(Window.partitionBy(F.lit(0)))))
-    return inside.join(F.broadcast(lower.select("_b", "_below")), "_b").select("doc_id", F.coalesce("_n", "_below").alias("next_id"))
-
-
-def edited_pairs(docs: DataFrame) -> DataFrame:
-    """doc_id, text, its next document's text and the edited text."""
+    spark = docs.sparkSession
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    if d.isEmpty():
-        return d.select("doc_id", "text", F.lit("").alias("next_text"), F.lit("").alias("edited"))
-    follow = next_ids(d)
-    # One text per id stands for it as a neighbour; rows that repeat an id keep their own text.
-    nxt = d.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_n"), F.col("text").alias("next_text"))
-    sent = nxt.join(follow.select(F.col("doc_id").alias("_d"), F.col("next_id").alias("_n")), "_n").groupBy("_d").agg(F.min("next_text").alias("next_text"))
-    both = d.join(sent, d["doc_id"] == sent["_d"], "left").select("doc_id", "text", F.coalesce("next_text", F.lit("")).alias("next_text"))
-    n = F.length("text")
-    third = F.floor(n / 3).cast("int")
-    return both.withColumn("edited", F.concat(F.col("text").substr(F.lit(1), (n - third).cast("int")), F.col("next_text").substr(F.lit(1), third)))
+    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    got = d.agg(F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(1, n)]), 10000).alias("c")).first()["c"] or []
+    cuts = sorted(set(got))
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
+    dealt = d.select("doc_id", "text", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(part).alias("_b"), F.xxhash64("text").alias("_h"))
+    inside = dealt.withColumn("_n", F.lag("text").over(Window.partitionBy("_b").orderBy(F.asc_nulls_first("doc_id"), "_h")))
+    tops = sorted(dealt.groupBy("_b").agg(F.max(F.struct("doc_id", "_h")).alias("t")).collect(), key=lambda r: r["_b"])  # a row per range
+    to = [(r["_b"], r["t"]["doc_id"], r["t"]["_h"], tops[(i + 1) % len(tops)]["_b"]) for i, r in enumerate(tops)]
+    ends = spark.createDataFrame(to, f"_tb int, _td {docs.schema['doc_id'].dataType.simpleString()}, _th long, _to int")
+    last = dealt.join(F.broadcast(ends), (F.col("_b") == F.col("_tb")) & F.col("doc_id").eqNullSafe(F.col("_td")) & (F.col("_h") == F.col("_th")))
+    last = last.groupBy("_to").agg(F.min("text").alias("_e"))
+    size = last.agg(F.sum(F.length("_e"))).first()[0] or 0
+    both = inside.join(F.broadcast(last) if size <= most_broadcast else last, F.col("_b") == F.col("_to"), "left")
+    both = both.select("doc_id", "text", F.coalesce("_n", "_e", F.lit("")).alias("next_text"))
+    third = F.floor(F.length("text") / 3).cast("int")
+    return both.withColumn("edited", F.concat(F.col("text").substr(F.lit(1), (F.length("text") - third).cast("int")), F.col("next_text").substr(F.lit(1), third)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
