@@ -13,11 +13,15 @@ hold common shingles, and those come last in the order. Lists that only one text
 are known from a second tally, so only members of shared lists are written out, with
 their texts.
 
-Equal sets count once. Within a list, members first meet the list's head; links found
-are closed into components; then lists that still hold several components have the
-members of different components meet. So lists of thousands of near copies cost one
-comparison per member, and no link is lost: members of one component need no more.
-Every candidate pair is verified on whole texts.
+Equal sets count once. Within a list, members first meet the list's head, the member
+with the fewest elements before the list's own; links found are closed into components;
+then lists that still hold several components have the members of different components
+meet. No link is lost: members of one component need no more.
+
+Two exact bounds spare comparisons. Elements before the first shared one, in the order
+of all texts, are not shared, so positions in a list bound the intersection; and a link
+needs a number of lists in common that follows from both sizes. Pairs that pass both are
+verified on whole texts.
 
 Defined results: texts without words have no component but their own; ties and
 repeated rows fall together; a null doc_id is a row of its own outside every link.
@@ -109,21 +113,23 @@ def boundary(sizes: dict[int, int], percent: int = PERCENT, scan: float = 3.0) -
 
 
 def prefix(key: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
-    """The first elements of a set, common ones last."""
+    """The first elements of a set in the order of all texts, common ones last."""
     n = len(key)
     p = prefix_size(n, percent) if n else 0
-    if p >= n:
-        return key
     order = (key >> np.uint64(1)) | (common.astype(np.uint64) << np.uint64(63))
-    return key[np.argpartition(order, p - 1)[:p]]
+    first = np.argpartition(order, p - 1)[:p] if p < n else np.arange(n)
+    return key[first[np.argsort(order[first])]]
 
 
 def element_keys(s: np.ndarray) -> np.ndarray:
     return mix(s + _A)
 
 
-def keys(s: np.ndarray, own: np.ndarray, common: np.ndarray, x: int, percent: int) -> np.ndarray:
-    """The lists that a set enters. own: its elements' keys; common: marks of the very common ones."""
+def keys(s: np.ndarray, own: np.ndarray, common: np.ndarray, x: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lists that a set enters and its place on them: elements before the list's own, 0 on a subset's list.
+
+    own: its elements' keys; common: marks of the very common ones.
+    """
     n = len(s)
     out = []
     if 0 < n <= x:
@@ -131,9 +137,11 @@ def keys(s: np.ndarray, own: np.ndarray, common: np.ndarray, x: int, percent: in
         for size, c in subset_sizes(n, percent):
             sums = np.array([np.add.reduce(m[list(p)], dtype=np.uint64) for p in combinations(range(n), c)], np.uint64)
             out.append(mix(sums + np.uint64(size * int(_A) % 2**64)))
+    subsets = sum(map(len, out))
     if n > x or n >= max(1, least_overlap(x + 1, percent)):
         out.append(prefix(own, common, percent))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    lists = np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return lists, np.maximum(np.arange(len(lists)) - subsets, 0)
 
 
 _BLOBS = "bucket int, ks binary, cs binary"
@@ -293,11 +301,12 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
     sizes = {r["n"]: r["c"] for r in own.groupBy(F.least("n", F.lit(4 * MOST_LIGHT)).alias("n")).agg(F.count("*").alias("c")).collect()}
     x = boundary(sizes, percent)
 
-    def entered(texts: list[bytes], hashes: Hashes, common: Sieve) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The sets of some texts and the lists they enter."""
+    def entered(texts: list[bytes], hashes: Hashes, common: Sieve) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+        """The sets of some texts, the lists they enter and their places there."""
         s = shingle_sets(texts, hashes)
         k = [element_keys(e) for e in s]
-        return s, [keys(e, own, c, x, percent) for e, own, c in zip(s, k, each(common, k))]
+        got = [keys(e, own, c, x, percent) for e, own, c in zip(s, k, each(common, k))]
+        return s, [g[0] for g in got], [g[1] for g in got]
 
     known = d.where("doc IS NOT NULL")
 
@@ -317,50 +326,58 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
             return second.find(k)[0][back] > 1
 
         for b in slices(batches, "text"):
-            s, ks = entered(column(b, "text"), hashes, common)
-            rows = [(doc, *set_id(e), len(e), k[c].view(np.int64)) for doc, e, k, c in zip(column(b, "doc"), s, ks, each(twice, ks)) if c.any()]
-            cols = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())))], names=["doc", "i1", "i2", "n", "ks"])
+            s, ks, places = entered(column(b, "text"), hashes, common)
+            rows = [(doc, *set_id(e), len(e), k[c].view(np.int64), at[c]) for doc, e, k, at, c in zip(column(b, "doc"), s, ks, places, each(twice, ks)) if c.any()]
+            cols = list(zip(*rows)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())))], names=["doc", "i1", "i2", "n", "ks", "places"])
 
-    members = materialise(known.mapInArrow(shared, "doc bigint, i1 bigint, i2 bigint, n bigint, ks array<bigint>"), "members")
     # One row for each distinct set: sets of one 64-bit id but different content stay apart by representative.
-    reps = materialise(members.groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep")), "reps")
-    entries = members.select(F.explode("ks").alias("k"), "i1", "n").distinct()
-    heads = entries.groupBy("k").agg(F.min("i1").alias("head"), F.max("i1").alias("top")).where("head < top").select("k", "head")
-    lists = materialise(entries.join(heads, "k").select("k", "i1", "n", "head"), "lists")
-    size = reps.groupBy("i1").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
-
-    def fitting(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes allow a link."""
-        p = pairs.join(size.select(F.col("i1").alias("s"), F.col("n0").alias("s0"), F.col("n1").alias("s1")), "s")
-        p = p.join(size.select(F.col("i1").alias("o"), F.col("n0").alias("o0"), F.col("n1").alias("o1")), "o")
-        return p.where(f"100 * s1 >= {percent} * o0 AND 100 * o1 >= {percent} * s0").select("s", "o")
-
-    pairs = materialise(fitting(lists.where("i1 <> head").select(F.col("i1").alias("s"), F.col("head").alias("o")).distinct()), "pairs")
+    members = known.mapInArrow(shared, "doc bigint, i1 bigint, i2 bigint, n bigint, ks array<bigint>, places array<int>")
+    reps = materialise(members.groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep"), F.first("ks").alias("ks"), F.first("places").alias("places")), "reps")
+    entries = reps.select("i1", "n", F.inline(F.arrays_zip(F.col("ks").alias("k"), F.col("places").alias("at"))))
+    # Heads have the fewest elements before the list's own, relative to their size: near the middle of a group of copies.
+    rank = F.expr("shiftleft(at * 1000000L div n, 43) + shiftrightunsigned(i1, 21)")
+    heads = entries.groupBy("k").agg(F.min("i1").alias("low"), F.max("i1").alias("top"), *[F.min_by(c, rank).alias(h) for c, h in (("i1", "head"), ("n", "hn"), ("at", "hat"))]).where("low < top").drop("low", "top")
+    lists = materialise(entries.join(heads, "k"), "lists")
+
+    def near(n: str, at: str, on: str, oat: str) -> str:
+        """What two places on a list allow to be shared suffices for a link."""
+        return f"{100 + percent} * least({n} - {at}, {on} - {oat}) >= {percent} * ({n} + {on})"
+
+    def counted(pairs: DataFrame) -> DataFrame:
+        """Of pairs (s, n, o, on), those on as many lists together as a link needs.
+
+        Of a link's common elements, all but n - overlap of either prefix are on both.
+        """
+        p = pairs.distinct()
+        p = p.join(reps.select(F.col("i1").alias("s"), "n", F.col("ks").alias("a")), ["s", "n"]).join(reps.select(F.col("i1").alias("o"), F.col("n").alias("on"), F.col("ks").alias("b")), ["o", "on"])
+        low = least_overlap(x + 1, percent)
+        overlap = f"ceil({percent} * (n + on) / {100 + percent}.0)"
+        need = f"CASE WHEN least(n, on) < {low} THEN 1 ELSE greatest(1, {overlap} - ceil({percent} * greatest(n, on) / 100.0) + 1) END"
+        return p.where(f"size(array_intersect(a, b)) >= {need}").select("s", "o").distinct()
+
+    pairs = materialise(counted(lists.where("i1 <> head AND " + near("n", "at", "hn", "hat")).select(F.col("i1").alias("s"), "n", F.col("head").alias("o"), F.col("hn").alias("on"))), "pairs")
     edges = materialise(verified(pairs, reps, known, percent), "links")
     for k in range(1, star_rounds + 1):
         comp = components(edges)
         label = reps.select("i1", "rep").join(comp, F.col("rep") == comp["node"], "left").groupBy("i1").agg(F.min(F.coalesce("component", "rep")).alias("c"))
-        open_lists = lists.select("k", "i1", "n").join(label, "i1")
+        open_lists = lists.select("k", "i1", "n", "at").join(label, "i1")
         several = open_lists.groupBy("k").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("k")
         left = materialise(open_lists.join(several, "k"), "open")
         if left.isEmpty():
             break
         if k < star_rounds:
             # Another head: the least by a salted hash.
-            head = left.groupBy("k").agg(F.min(F.struct(F.xxhash64("i1", F.lit(k)).alias("h"), "i1", "c")).alias("h"))
-            more = left.join(head, "k").where("c <> h.c").select(F.col("i1").alias("s"), F.col("h.i1").alias("o")).distinct()
+            head = left.groupBy("k").agg(F.min(F.struct(F.xxhash64("i1", F.lit(k)).alias("h"), "i1", "c", "n", "at")).alias("h"))
+            more = left.join(head, "k").where("c <> h.c AND " + near("n", "at", "h.n", "h.at")).select(F.col("i1").alias("s"), "n", F.col("h.i1").alias("o"), F.col("h.n").alias("on"))
         else:
-            o = left.select("k", F.col("i1").alias("o"), F.col("c").alias("oc"), F.col("n").alias("on"))
-            more = left.join(o, "k").where(f"c < oc AND 100 * n >= {percent} * on AND 100 * on >= {percent} * n")
-            # All lists that two sets of different components share are here, so they can be counted: of a link's
-            # common elements, all but n - overlap of either prefix are on both.
-            low = least_overlap(x + 1, percent)
-            overlap = f"ceil({percent} * (n + on) / {100 + percent}.0)"
-            need = f"CASE WHEN least(n, on) < {low} THEN 1 ELSE greatest(1, {overlap} - ceil({percent} * greatest(n, on) / 100.0) + 1) END"
-            more = more.groupBy(F.col("i1").alias("s"), "o", "n", "on").agg(F.count("*").alias("lists")).where(f"lists >= {need}").select("s", "o").distinct()
+            # The smaller set of a pair must allow a link with one of its own size.
+            o = left.select("k", F.col("i1").alias("o"), F.col("c").alias("oc"), F.col("n").alias("on"), F.col("at").alias("oat"))
+            small = left.where(near("n", "at", "n", "at"))
+            more = small.join(o, "k").where("c <> oc AND (n < on OR n = on AND i1 < o) AND " + near("n", "at", "on", "oat")).select(F.col("i1").alias("s"), "n", "o", "on")
+        more = counted(more)
         more = more.join(pairs, ["s", "o"], "left_anti").join(pairs.select(F.col("s").alias("o"), F.col("o").alias("s")), ["s", "o"], "left_anti")
-        more = materialise(fitting(more), "pairs")
+        more = materialise(more, "pairs")
         pairs = pairs.unionAll(more)
         edges = materialise(edges.unionAll(verified(more, reps, known, percent)), "links")
     comp = components(edges)
