@@ -108,7 +108,7 @@ class Hashes(dict):
         return h
 
     def array(self, words: list[bytes]) -> np.ndarray:
-        return np.array(list(map(self.__getitem__, words)), dtype=np.uint64)
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)

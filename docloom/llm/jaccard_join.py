@@ -44,6 +44,8 @@ SHINGLE, PERCENT = 4, 85
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _S32 = np.uint64(31)
 MOST_LIGHT = 16
+#: Elements of sets that a worker keeps while it verifies pairs.
+KEPT = 2_000_000
 
 
 def shingle_sets(texts: list[bytes], hashes: Hashes, k: int = SHINGLE) -> list[np.ndarray]:
@@ -206,14 +208,10 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """(i1, rep, text) of the representatives in ``wanted`` (i1, rep).
-
-    Their ids become a table of sorted hashes in the shared folder, against which every
-    task filters the documents it reads: no text is shuffled to find these few.
-    """
-    spark = docs.sparkSession
-    bits, root = bucket_bits(spark), shared_path(spark, "wanted")
+def id_table(ids: DataFrame, col: str) -> str:
+    """The hashes of ids (one to one for longs), sorted, in a folder of the shared one: tasks filter what they read by it."""
+    spark = ids.sparkSession
+    bits, root = bucket_bits(spark), shared_path(spark, "ids")
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[int, list[int]] = {}
@@ -225,10 +223,20 @@ def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
             SortedTable.write(root, k, h, [np.ones(len(h), np.uint32)])
         yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], names=["n"])
 
-    h = F.xxhash64("rep")
+    h = F.xxhash64(col)
     bucket = F.shiftrightunsigned(h, 64 - bits).cast("int") if bits else F.lit(0)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted.select(h.alias("h"), bucket.alias("bucket")).distinct().repartition(parts, "bucket").mapInArrow(lay, "n bigint").agg(F.sum("n")).collect()  # one number
+    ids.select(h.alias("h"), bucket.alias("bucket")).distinct().repartition(parts, "bucket").mapInArrow(lay, "n bigint").agg(F.sum("n")).collect()  # one number
+    return root
+
+
+def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(i1, rep, text) of the representatives in ``wanted`` (i1, rep).
+
+    Every task filters the documents it reads by a table of their ids: no text is
+    shuffled to find these few.
+    """
+    bits, root = bucket_bits(docs.sparkSession), id_table(wanted, "rep")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, among = Hashes(), Sieve(SortedTable(root, bits, ["u4"]))
@@ -254,12 +262,16 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         known: dict[int, np.ndarray] = {}
+        held = 0
 
         def of(doc: int, t: bytes) -> np.ndarray:
+            nonlocal held
             if doc not in known:
-                if len(known) > 2000:
+                if held > KEPT:
                     known.clear()
+                    held = 0
                 known[doc] = shingles(t, hashes)
+                held += len(known[doc])
             return known[doc]
 
         for b in slices(batches, "a", 2_000_000):
@@ -309,14 +321,24 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
         return s, [g[0] for g in got], [g[1] for g in got]
 
     known = d.where("doc IS NOT NULL")
+    # Documents whose set a smaller id has too need no lists of their own.
+    classes = materialise(own.where("n > 0 AND doc IS NOT NULL").groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep")), "classes")
+    copies_at = id_table(own.where("doc IS NOT NULL").select("doc").join(classes.select(F.col("rep").alias("doc")), "doc", "left_anti"), "doc")
+    hashed = known.select("doc", F.xxhash64("doc").alias("h"), "text")
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Slices without the copies."""
+        copies = Sieve(SortedTable(copies_at, bits, ["u4"]))
+        for b in slices(batches, "text"):
+            yield b.filter(pa.array(~copies(b.column(1).to_numpy(zero_copy_only=False).view(np.uint64))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, common = Hashes(), Sieve(SortedTable(first_at, bits, ["u4"]))
-        for b in slices(batches, "text"):
+        for b in firsts(batches):
             rows = list(zip(*blobs(entered(column(b, "text"), hashes, common)[1], bits))) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "ks", "cs"])
 
-    tally(known.select("text").mapInArrow(count, _BLOBS), second_at, 2)
+    tally(hashed.mapInArrow(count, _BLOBS), second_at, 2)
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, common, second = Hashes(), Sieve(SortedTable(first_at, bits, ["u4"])), SortedTable(second_at, bits, ["u4"])
@@ -325,14 +347,14 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
             k, back = np.unique(ks, return_inverse=True)
             return second.find(k)[0][back] > 1
 
-        for b in slices(batches, "text"):
+        for b in firsts(batches):
             s, ks, places = entered(column(b, "text"), hashes, common)
             rows = [(doc, *set_id(e), len(e), k[c].view(np.int64), at[c]) for doc, e, k, at, c in zip(column(b, "doc"), s, ks, places, each(twice, ks)) if c.any()]
             cols = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())))], names=["doc", "i1", "i2", "n", "ks", "places"])
 
     # One row for each distinct set: sets of one 64-bit id but different content stay apart by representative.
-    members = known.mapInArrow(shared, "doc bigint, i1 bigint, i2 bigint, n bigint, ks array<bigint>, places array<int>")
+    members = hashed.mapInArrow(shared, "doc bigint, i1 bigint, i2 bigint, n bigint, ks array<bigint>, places array<int>")
     reps = materialise(members.groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep"), F.first("ks").alias("ks"), F.first("places").alias("places")), "reps")
     entries = reps.select("i1", "n", F.inline(F.arrays_zip(F.col("ks").alias("k"), F.col("places").alias("at"))))
     # Heads have the fewest elements before the list's own, relative to their size: near the middle of a group of copies.
@@ -381,7 +403,6 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
         pairs = pairs.unionAll(more)
         edges = materialise(edges.unionAll(verified(more, reps, known, percent)), "links")
     comp = components(edges)
-    classes = own.where("n > 0 AND doc IS NOT NULL").groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep"))
     of_set = classes.join(comp, classes["rep"] == comp["node"], "left").select("i1", "i2", "n", F.coalesce("component", "rep").alias("c"))
     out = own.join(of_set, ["i1", "i2", "n"], "left")
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("c", "doc")).alias("component_id"))
