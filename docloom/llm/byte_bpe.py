@@ -35,6 +35,7 @@ class Encoder:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes_of = {v: k for k, v in self.ranks.items()}
+        self.digits = {v: str(v) for v in self.bytes_of}
         # White space as in Unicode's property, and no other controls.
         space = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
         self.split = regex.compile(pattern.replace(r"[^\s", f"[^{space}").replace(r"(?!\S)", f"(?![^{space}])").replace(r"\s", f"[{space}]")).findall
@@ -156,7 +157,7 @@ class WordIds:
     def __init__(self, root: str, bits: int) -> None:
         self.store, self.bits, self.open = Store(root), bits, {}
 
-    def find(self, hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    def find(self, hashes: np.ndarray) -> Iterator[tuple[int, list[int]]]:
         """(index, ids) of those hashes, ascending, that are there."""
         tops = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
         cuts = np.flatnonzero(np.diff(tops)) + 1
@@ -174,9 +175,12 @@ class WordIds:
                 continue
             at = np.minimum(np.searchsorted(part[0], hashes[lo:hi]), len(part[0]) - 1)
             hit = np.flatnonzero(part[0][at] == hashes[lo:hi])
-            at = at[hit]
-            for i, s, e in zip((lo + hit).tolist(), part[1][at].tolist(), part[1][at + 1].tolist()):
-                yield i, part[2][s:e]
+            begin = part[1][at[hit]].astype(np.int64)
+            ends = np.cumsum(part[1][at[hit] + 1] - begin)
+            starts = np.append(0, ends[:-1])[: len(hit)]
+            flat = part[2][np.repeat(begin - starts, ends - starts) + np.arange(ends[-1] if len(hit) else 0)].tolist()
+            for i, s, e in zip((lo + hit).tolist(), starts.tolist(), ends.tolist()):
+                yield i, flat[s:e]
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", id_col: str = "doc_id", keep_ids: bool = False, most: int = 200_000) -> DataFrame:
@@ -185,6 +189,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, table = encoder(path, pattern), WordIds(root, bits)
+        digits = enc.digits
         known: dict[str, tuple[int, str, bytes]] = {}
         for b in slices(batches, "t"):
             texts = [enc.split(t) if t else [] for t in column(b, "t")]
@@ -194,21 +199,23 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
             raw = [w.encode("utf-8", "surrogatepass") for w in new]
             hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in raw], np.uint64)
             order = np.argsort(hashes)
+            place, had = order.tolist(), len(known)
             for i, ids in table.find(hashes[order]):
-                k, ids = int(order[i]), ids.tolist()
+                k = place[i]
                 if (said := enc.decode(ids)) == raw[k]:
-                    known[new[k]] = (len(ids), ",".join(map(str, ids)), said)
-            for w, r in zip(new, raw):
-                if w not in known:
-                    ids = enc.encode(r)
-                    known[w] = (len(ids), ",".join(map(str, ids)), enc.decode(ids))
+                    known[new[k]] = (len(ids), ",".join([digits[t] for t in ids]), said)
+            if len(known) < had + len(new):
+                for w, r in zip(new, raw):
+                    if w not in known:
+                        ids = enc.encode(r)
+                        known[w] = (len(ids), ",".join([digits[t] for t in ids]), enc.decode(ids))
             n, a, d, own = [], [], [], []
             for words in texts:
-                got = [known[w] for w in words]
-                ids = ",".join([x[1] for x in got])
-                n.append(sum([x[0] for x in got]))
+                sizes, said, back = zip(*map(known.__getitem__, words)) if words else ((), (), ())
+                ids = ",".join(said)
+                n.append(sum(sizes))
                 a.append(hashlib.sha256(ids.encode()).hexdigest())
-                d.append(hashlib.sha256(b"".join([x[2] for x in got])).hexdigest())
+                d.append(hashlib.sha256(b"".join(back)).hexdigest())
                 own.append(list(map(int, ids.split(","))) if keep_ids and ids else [])
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())] + [pa.array(own, pa.list_(pa.int32()))] * keep_ids
             yield pa.RecordBatch.from_arrays(cols, names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
