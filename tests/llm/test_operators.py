@@ -284,3 +284,12 @@ def test_pipeline(spark):
     four = stage["source_mixing"](spark, three, SF)
     assert four.count() == three.count() and four.columns == docs.columns
     assert cp.run(spark, SF).count() == four.count()
+
+
+def test_jaccard_join_long_texts(spark):
+    """Places on the lists of very long texts pass a thousand."""
+    base = [f"w{i}" for i in range(16_000)]
+    near = base[:-200] + [f"x{i}" for i in range(200)]
+    far = base[:8_000] + [f"y{i}" for i in range(8_000)]
+    df = spark.createDataFrame([(3, " ".join(near)), (2, " ".join(base)), (1, " ".join(far))], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard_join.join(df).collect())) == [(1, 15_997, 1), (2, 15_997, 2), (3, 15_997, 2)]
