@@ -18,10 +18,12 @@ with the fewest elements before the list's own; links found are closed into comp
 then lists that still hold several components have the members of different components
 meet. No link is lost: members of one component need no more.
 
-Two exact bounds spare comparisons. Elements before the first shared one, in the order
-of all texts, are not shared, so positions in a list bound the intersection; and a link
-needs a number of lists in common that follows from both sizes. Pairs that pass both are
-verified on whole texts.
+Three exact bounds spare comparisons. Elements before the first shared one, in the order
+of all texts, are not shared, so positions in a list bound the intersection; a link
+needs a number of lists in common that follows from both sizes; and a sketch holds, for
+each of 512 classes of elements, whether a set has an odd number of them, so classes
+where two sketches differ bound the elements that only one of two sets has. Pairs that
+pass are verified on whole texts.
 
 Defined results: texts without words have no component but their own; ties and
 repeated rows fall together; a null doc_id is a row of its own outside every link.
@@ -46,6 +48,8 @@ _S32 = np.uint64(31)
 MOST_LIGHT = 16
 #: Elements of sets that a worker keeps while it verifies pairs.
 KEPT = 2_000_000
+#: Longs of a sketch.
+SKETCH = 8
 
 
 def shingle_sets(texts: list[bytes], hashes: Hashes, k: int = SHINGLE) -> list[np.ndarray]:
@@ -84,6 +88,18 @@ def set_id(s: np.ndarray) -> tuple[int, int]:
     return int(two[0]), int(two[1])
 
 
+def sketch(s: np.ndarray) -> list[int]:
+    """For each class of elements, whether the set has an odd number of them, as longs of 64 bits."""
+    odd = (np.bincount((s >> _S32).astype(np.int64) & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
+def alike(n: str, sk: str, on: str, osk: str, percent: int) -> str:
+    """SQL: no more classes differ between two sketches than elements may between sets of a link."""
+    differ = " + ".join(f"bit_count({sk}[{i}] ^ {osk}[{i}])" for i in range(SKETCH))
+    return f"{differ} <= {n} + {on} - 2 * ceil({percent} * ({n} + {on}) / {100 + percent}.0)"
+
+
 def least_overlap(n: int, percent: int) -> int:
     """ceil(t * n) in whole numbers."""
     return -(-percent * n // 100)
@@ -349,14 +365,15 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
 
         for b in firsts(batches):
             s, ks, places = entered(column(b, "text"), hashes, common)
-            rows = [(doc, *set_id(e), len(e), k[c].view(np.int64), at[c]) for doc, e, k, at, c in zip(column(b, "doc"), s, ks, places, each(twice, ks)) if c.any()]
-            cols = list(zip(*rows)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())))], names=["doc", "i1", "i2", "n", "ks", "places"])
+            rows = [(doc, *set_id(e), len(e), k[c].view(np.int64), at[c], sketch(e)) for doc, e, k, at, c in zip(column(b, "doc"), s, ks, places, each(twice, ks)) if c.any()]
+            cols = list(zip(*rows)) or [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())))], names=["doc", "i1", "i2", "n", "ks", "places", "sk"])
 
     # One row for each distinct set: sets of one 64-bit id but different content stay apart by representative.
-    members = hashed.mapInArrow(shared, "doc bigint, i1 bigint, i2 bigint, n bigint, ks array<bigint>, places array<int>")
-    reps = materialise(members.groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep"), F.first("ks").alias("ks"), F.first("places").alias("places")), "reps")
-    entries = reps.select("i1", "n", F.inline(F.arrays_zip(F.col("ks").alias("k"), F.col("places").alias("at"))))
+    members = hashed.mapInArrow(shared, "doc bigint, i1 bigint, i2 bigint, n bigint, ks array<bigint>, places array<int>, sk array<bigint>")
+    reps = materialise(members.groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep"), *[F.first(c).alias(c) for c in ("ks", "places", "sk")]), "reps")
+    # Each entry knows the lists just before its own: two sets that share one of those have met there.
+    entries = reps.select("i1", "n", F.expr("inline(transform(ks, (k, i) -> struct(k, places[i] AS at, slice(ks, greatest(i - 2, 1), least(i, 3)) AS back)))"))
     # Heads have the fewest elements before the list's own, relative to their size: near the middle of a group of copies.
     rank = F.expr("shiftleft(at * 1000000L div n, 43) + shiftrightunsigned(i1, 21)")
     heads = entries.groupBy("k").agg(F.min("i1").alias("low"), F.max("i1").alias("top"), *[F.min_by(c, rank).alias(h) for c, h in (("i1", "head"), ("n", "hn"), ("at", "hat"))]).where("low < top").drop("low", "top")
@@ -367,12 +384,13 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
         return f"{100 + percent} * least({n} - {at}, {on} - {oat}) >= {percent} * ({n} + {on})"
 
     def counted(pairs: DataFrame) -> DataFrame:
-        """Of pairs (s, n, o, on), those on as many lists together as a link needs.
+        """Of pairs (s, n, o, on), those alike and on as many lists together as a link needs.
 
         Of a link's common elements, all but n - overlap of either prefix are on both.
         """
         p = pairs.distinct()
-        p = p.join(reps.select(F.col("i1").alias("s"), "n", F.col("ks").alias("a")), ["s", "n"]).join(reps.select(F.col("i1").alias("o"), F.col("n").alias("on"), F.col("ks").alias("b")), ["o", "on"])
+        p = p.join(reps.select(F.col("i1").alias("s"), "n", F.col("ks").alias("a"), F.col("sk").alias("ask")), ["s", "n"])
+        p = p.join(reps.select(F.col("i1").alias("o"), F.col("n").alias("on"), F.col("ks").alias("b"), F.col("sk").alias("bsk")), ["o", "on"]).where(alike("n", "ask", "on", "bsk", percent))
         low = least_overlap(x + 1, percent)
         overlap = f"ceil({percent} * (n + on) / {100 + percent}.0)"
         need = f"CASE WHEN least(n, on) < {low} THEN 1 ELSE greatest(1, {overlap} - ceil({percent} * greatest(n, on) / 100.0) + 1) END"
@@ -383,7 +401,7 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
     for k in range(1, star_rounds + 1):
         comp = components(edges)
         label = reps.select("i1", "rep").join(comp, F.col("rep") == comp["node"], "left").groupBy("i1").agg(F.min(F.coalesce("component", "rep")).alias("c"))
-        open_lists = lists.select("k", "i1", "n", "at").join(label, "i1")
+        open_lists = lists.select("k", "i1", "n", "at", "back").join(label, "i1")
         several = open_lists.groupBy("k").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("k")
         left = materialise(open_lists.join(several, "k"), "open")
         if left.isEmpty():
@@ -394,9 +412,10 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
             more = left.join(head, "k").where("c <> h.c AND " + near("n", "at", "h.n", "h.at")).select(F.col("i1").alias("s"), "n", F.col("h.i1").alias("o"), F.col("h.n").alias("on"))
         else:
             # The smaller set of a pair must allow a link with one of its own size.
-            o = left.select("k", F.col("i1").alias("o"), F.col("c").alias("oc"), F.col("n").alias("on"), F.col("at").alias("oat"))
+            left = left.join(reps.select("i1", "n", "sk"), ["i1", "n"])
+            o = left.select("k", F.col("i1").alias("o"), F.col("c").alias("oc"), F.col("n").alias("on"), F.col("at").alias("oat"), F.col("back").alias("oback"), F.col("sk").alias("osk"))
             small = left.where(near("n", "at", "n", "at"))
-            more = small.join(o, "k").where("c <> oc AND (n < on OR n = on AND i1 < o) AND " + near("n", "at", "on", "oat")).select(F.col("i1").alias("s"), "n", "o", "on")
+            more = small.join(o, "k").where("c <> oc AND (n < on OR n = on AND i1 < o) AND " + near("n", "at", "on", "oat") + " AND " + alike("n", "sk", "on", "osk", percent) + " AND NOT arrays_overlap(back, oback)").select(F.col("i1").alias("s"), "n", "o", "on")
         more = counted(more)
         more = more.join(pairs, ["s", "o"], "left_anti").join(pairs.select(F.col("s").alias("o"), F.col("o").alias("s")), ["s", "o"], "left_anti")
         more = materialise(more, "pairs")
