@@ -4,9 +4,9 @@ A trie over the vocabulary, whose nodes carry a failure link and the number of
 pieces that following the link pops, gives the number of greedy longest-match
 pieces of a word in one pass over its characters, without building any piece.
 
-Pieces come in two kinds: those that start a word and those that continue one
-(written with ``start`` before the former). A word that can't be covered counts as
-one unknown piece. Defined results: null and empty texts have no words and no
+A word is read with ``start`` before it, as pieces that start a word are written; where
+no longer piece fits, ``start`` alone is a piece if the vocabulary has it. A word that
+can't be covered counts as one unknown piece. Defined results: null and empty texts have no words and no
 pieces; repeated rows count alike; other columns are left alone.
 """
 
@@ -23,37 +23,38 @@ from docloom.llm.common import column, slices, text_bytes
 
 
 class Counter:
-    """Counts the greedy pieces of a word.
+    """Counts the greedy pieces of ``start`` + word.
 
-    Nodes 0 and 1 are the roots for the start and for the continuation of a word.
-    ``fail[v]`` is the node to go to when v has no way on, -1 for none; ``pops[v]``
-    is the number of pieces that leaves behind.
+    Node 0 is the root; a word begins at the node of ``start``, which may be a piece of
+    its own. ``fail[v]`` is the node to go to when v has no way on, -1 for none;
+    ``pops[v]`` is the number of pieces that leaves behind.
     """
 
     def __init__(self, vocabulary: set[str], start: str = "▁") -> None:
-        self.next: list[dict[str, int]] = [{}, {}]
-        ends = [False, False]
-        for piece in vocabulary:
-            node, rest = (0, piece[len(start) :]) if piece.startswith(start) else (1, piece)
-            if not rest:
-                continue
-            for c in rest:
+        self.next: list[dict[str, int]] = [{}]
+        ends = [False]
+        for piece in [start, *vocabulary]:
+            node = 0
+            for c in piece:
                 to = self.next[node].get(c)
                 if to is None:
                     to = self.next[node][c] = len(self.next)
                     self.next.append({})
                     ends.append(False)
                 node = to
-            ends[node] = True
+            ends[node] = node > 0 and piece in vocabulary
+        self.start = 0
+        for c in start:
+            self.start = self.next[self.start][c]
         self.fail = [-1] * len(self.next)
         self.pops = [0] * len(self.next)
-        todo = deque([0, 1])
+        todo = deque([0])
         while todo:
             v = todo.popleft()
             for c, u in self.next[v].items():
                 todo.append(u)
                 if ends[u]:
-                    self.fail[u], self.pops[u] = 1, 1
+                    self.fail[u], self.pops[u] = 0, 1
                     continue
                 w, popped = self.fail[v], self.pops[v]
                 while w >= 0 and c not in self.next[w]:
@@ -64,8 +65,10 @@ class Counter:
 
     def __call__(self, word: str) -> int:
         """The number of pieces; -1 if the word can't be covered."""
+        if not word:
+            return 0
         nxt, fail, pops = self.next, self.fail, self.pops
-        v = n = 0
+        v, n = self.start, 0
         for c in word:
             while (u := nxt[v].get(c)) is None:
                 n += pops[v]
@@ -73,20 +76,21 @@ class Counter:
                 if v < 0:
                     return -1
             v = u
-        while v != 1:
-            if v < 0 or (fail[v] < 0):
-                return -1 if word else 0
+        while v:
             n += pops[v]
             v = fail[v]
+            if v < 0:
+                return -1
         return n
 
 
 def brute_count(word: str, vocabulary: set[str], start: str = "▁") -> int:
-    """The same by trying every length at every place; for tests."""
+    """The same by trying every length at every place of ``start`` + word; for tests."""
+    whole = start + word if word else ""
     i = n = 0
-    while i < len(word):
-        for j in range(len(word), i, -1):
-            if (start if i == 0 else "") + word[i:j] in vocabulary and (i or word[i:j]):
+    while i < len(whole):
+        for j in range(len(whole), i, -1):
+            if whole[i:j] in vocabulary:
                 i, n = j, n + 1
                 break
         else:

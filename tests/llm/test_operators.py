@@ -293,3 +293,27 @@ def test_jaccard_join_long_texts(spark):
     far = base[:8_000] + [f"y{i}" for i in range(8_000)]
     df = spark.createDataFrame([(3, " ".join(near)), (2, " ".join(base)), (1, " ".join(far))], "doc_id long, text string")
     assert sorted(map(tuple, jaccard_join.join(df).collect())) == [(1, 15_997, 1), (2, 15_997, 2), (3, 15_997, 2)]
+
+
+def test_token_counts_lone_start(spark):
+    """Words without a piece that starts with their first character begin with the piece of the start alone."""
+    path = queries.tokenizer_path("piece_bpe_32k.model")
+    voc = set(token_counts.sentencepiece_vocabulary(path))
+    assert "▁" in voc
+    count = token_counts.Counter(voc)
+    words = ["1990", "你好", "Ελλάδα", "3.14", "日本語", "a▁b", "▁", "house", "\U00020bb7"]
+    for w in words:
+        best, i = 0, 0
+        whole = "▁" + w
+        while i < len(whole) and best >= 0:
+            j = max((j for j in range(i + 1, len(whole) + 1) if whole[i:j] in voc), default=None)
+            best, i = (best + 1, j) if j else (-1, i)
+        assert count(w) == token_counts.brute_count(w, voc) == best, w
+    assert (count("1990"), count("你好"), count("Ελλάδα")) == (5, 3, 7)
+    r, small = random.Random(4), {"▁", "▁ab", "▁abc", "a", "b", "bc", "▁b", "cab"}
+    count = token_counts.Counter(small)
+    for _ in range(3000):
+        w = "".join(r.choice("abc▁") for _ in range(r.randint(1, 9)))
+        assert count(w) == token_counts.brute_count(w, small), w
+    got = token_counts.count_tokens(spark.createDataFrame([(1, "1990 你好 Ελλάδα")], "doc_id long, text string"), path).collect()
+    assert [tuple(x) for x in got] == [(1, 3, 15, 0)]
