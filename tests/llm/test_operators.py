@@ -317,3 +317,46 @@ def test_token_counts_lone_start(spark):
         assert count(w) == token_counts.brute_count(w, small), w
     got = token_counts.count_tokens(spark.createDataFrame([(1, "1990 你好 Ελλάδα")], "doc_id long, text string"), path).collect()
     assert [tuple(x) for x in got] == [(1, 3, 15, 0)]
+
+
+def most_off(blocks, target, length):
+    """The largest deviation from the target weights at any slot, in blocks (exact), and the number of slots."""
+    from fractions import Fraction
+
+    plan = mixing.phases(blocks, target, length)
+    live = collections.defaultdict(list)
+    for row in plan:
+        live[row[0]].append(row)
+    names, worst, slots = set(blocks), Fraction(0), 0
+    left = dict(blocks)
+    for phase in sorted(live):
+        total = sum(Fraction(target[k]) for k in names if left[k])
+        for _, k, first, n, _, _, period, at in live[phase]:
+            w = Fraction(target[k]) / total
+            assert first == blocks[k] - left[k] and at == sorted(at)
+            worst = max(worst, w * period - n, *(max(j + 1 - w * (t + 1), w * t - j) for j, t in enumerate(at)))
+            left[k] -= n
+            slots += n
+        names = {k for k in names if left[k]}
+    assert not names
+    return worst, slots
+
+
+def test_mixing_exact_weights():
+    """Less than a block from the target weights themselves: irrational weights, long runs, thousands of sources."""
+    blocks = {f"s{i:02d}": 300 + 37 * i for i in range(20)} | {"hot": 20_000}
+    worst, slots = most_off(blocks, mixing.root_weights(blocks), 5_000)
+    assert worst < 1 and slots == sum(blocks.values())
+    many = {f"s{i:04d}": 400 if i < 4 else 4 for i in range(2_047)} | {"hot": 300}
+    worst, slots = most_off(many, {k: 31 / 2048 if k == "hot" else 2017 / 2048 / 2_047 for k in many}, 3_777)
+    assert worst < 1 and slots == sum(many.values())
+
+
+def test_mixing_many_sources(spark):
+    """More sources than 4,096, and places that do not depend on the ranges; a null source among them."""
+    df = spark.range(15_000).selectExpr("id AS doc_id", "CASE WHEN id % 5000 > 0 THEN CAST(id % 5000 AS STRING) END AS source")
+    got = sorted((r["_mix"]["slot"], r["_mix"]["offset"], r["doc_id"]) for r in mixing.mix_sources(df, block_rows=2).collect())
+    assert len(got) == 15_000 and {g[0] for g in got} == set(range(10_000)) and len({g[:2] for g in got}) == 15_000
+    few = df.where("doc_id < 2000").selectExpr("doc_id", "CAST(doc_id % 7 AS STRING) AS source")
+    one, other = ({r["doc_id"]: r["_mix"] for r in mixing.mix_sources(few, range_slots=n).collect()} for n in (30, 100_000))
+    assert one == other
