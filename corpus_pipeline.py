@@ -18,8 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by shared shingles, the one with the smallest id stays."""
-    return jaccard_join.keep_one(docs)
+    """Of documents linked by 80 % of shared five-word shingles, the one with the smallest id stays."""
+    return jaccard_join.keep_one(docs, 80, shingle=5)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

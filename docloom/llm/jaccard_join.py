@@ -246,7 +246,7 @@ def id_table(ids: DataFrame, col: str) -> str:
     return root
 
 
-def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+def texts_of(wanted: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(i1, rep, text) of the representatives in ``wanted`` (i1, rep).
 
     Every task filters the documents it reads by a table of their ids: no text is
@@ -260,7 +260,7 @@ def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
             keep = among(b.column(1).to_numpy(zero_copy_only=False).view(np.uint64))
             b = b.filter(pa.array(keep))
             texts = column(b, "text")
-            ids = [set_id(s)[0] for s in shingle_sets(texts, hashes)]
+            ids = [set_id(s)[0] for s in shingle_sets(texts, hashes, shingle)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(0), b.column(2)], names=["i1", "rep", "text"])
 
     # Rows that repeat an id may differ in text: the set's id tells them apart.
@@ -268,10 +268,10 @@ def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return materialise(found.join(wanted, ["i1", "rep"], "left_semi").dropDuplicates(["i1", "rep"]), "texts")
 
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
     """Of candidate pairs (s, o: ids of sets), those that link, as edges between representative documents (u, v)."""
     ids = pairs.select(F.col("s").alias("i1")).unionAll(pairs.select(F.col("o").alias("i1"))).distinct()
-    texts = texts_of(reps.join(ids, "i1").select("i1", "rep"), docs)
+    texts = texts_of(reps.join(ids, "i1").select("i1", "rep"), docs, shingle)
     left = pairs.join(texts.select(F.col("i1").alias("s"), F.col("rep").alias("u"), F.col("text").alias("a")), "s")
     joined = left.join(texts.select(F.col("i1").alias("o"), F.col("rep").alias("v"), F.col("text").alias("b")), "o").select("u", "v", "a", "b")
 
@@ -286,7 +286,7 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -
                 if held > KEPT:
                     known.clear()
                     held = 0
-                known[doc] = shingles(t, hashes)
+                known[doc] = shingles(t, hashes, shingle)
                 held += len(known[doc])
             return known[doc]
 
@@ -303,8 +303,8 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -
     return joined.mapInArrow(run, "u bigint, v bigint")
 
 
-def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_list: int = 16) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_list: int = 16, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row. ``shingle``: words of a shingle."""
     spark: SparkSession = docs.sparkSession
     bits = bucket_bits(spark)
     first_at, second_at = shared_path(spark, "first-tally"), shared_path(spark, "second-tally")
@@ -315,7 +315,7 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
         for b in slices(batches, "text"):
             rows: list[tuple] = []
             found = []
-            for doc, s in zip(column(b, "doc"), shingle_sets(column(b, "text"), hashes)):
+            for doc, s in zip(column(b, "doc"), shingle_sets(column(b, "text"), hashes, shingle)):
                 p = prefix_size(len(s), percent) if len(s) else 0
                 k = element_keys(s)
                 found.append(np.partition(k, p - 1)[:p] if p < len(k) else k)
@@ -331,7 +331,7 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
 
     def entered(texts: list[bytes], hashes: Hashes, common: Sieve) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
         """The sets of some texts, the lists they enter and their places there."""
-        s = shingle_sets(texts, hashes)
+        s = shingle_sets(texts, hashes, shingle)
         k = [element_keys(e) for e in s]
         got = [keys(e, own, c, x, percent) for e, own, c in zip(s, k, each(common, k))]
         return s, [g[0] for g in got], [g[1] for g in got]
@@ -397,7 +397,7 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
         return p.where(f"size(array_intersect(a, b)) >= {need}").select("s", "o").distinct()
 
     pairs = materialise(counted(lists.where("i1 <> head AND " + near("n", "at", "hn", "hat")).select(F.col("i1").alias("s"), "n", F.col("head").alias("o"), F.col("hn").alias("on"))), "pairs")
-    edges = materialise(verified(pairs, reps, known, percent), "links")
+    edges = materialise(verified(pairs, reps, known, percent, shingle), "links")
     for k in range(1, star_rounds + 1):
         comp = components(edges)
         label = reps.select("i1", "rep").join(comp, F.col("rep") == comp["node"], "left").groupBy("i1").agg(F.min(F.coalesce("component", "rep")).alias("c"))
@@ -420,14 +420,14 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
         more = more.join(pairs, ["s", "o"], "left_anti").join(pairs.select(F.col("s").alias("o"), F.col("o").alias("s")), ["s", "o"], "left_anti")
         more = materialise(more, "pairs")
         pairs = pairs.unionAll(more)
-        edges = materialise(edges.unionAll(verified(more, reps, known, percent)), "links")
+        edges = materialise(edges.unionAll(verified(more, reps, known, percent, shingle)), "links")
     comp = components(edges)
     of_set = classes.join(comp, classes["rep"] == comp["node"], "left").select("i1", "i2", "n", F.coalesce("component", "rep").alias("c"))
     out = own.join(of_set, ["i1", "i2", "n"], "left")
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("c", "doc")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, and rows without an id. Rows that repeat an id stay or go together."""
-    gone = join(docs, percent).where("doc_id <> component_id").select("doc_id").distinct()
+    gone = join(docs, percent, shingle=shingle).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -360,3 +360,27 @@ def test_mixing_many_sources(spark):
     few = df.where("doc_id < 2000").selectExpr("doc_id", "CAST(doc_id % 7 AS STRING) AS source")
     one, other = ({r["doc_id"]: r["_mix"] for r in mixing.mix_sources(few, range_slots=n).collect()} for n in (30, 100_000))
     assert one == other
+
+
+def test_pipeline_near_copies(spark):
+    """The pipeline's stage takes five words and 80 %: near copies that four words and 85 % keep apart."""
+    import corpus_pipeline as cp
+
+    rows, r = [], random.Random(5)
+    for i, (n, changed) in enumerate([(1_000, 21), (1_000, 22), (500, 11), (200, 4), (200, 6)]):
+        base = [f"a{i}x{j}" for j in range(n)]
+        near = list(base)
+        for c in range(changed):
+            near[(2 * c + 1) * n // (2 * changed)] = f"b{i}x{c}"
+        r.shuffle(rows)
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(near))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def linked(words, percent):
+        sets = {d: {tuple(t.split()[i : i + words]) for i in range(len(t.split()) - words + 1)} for d, t in rows}
+        return {d for d in range(0, 10, 2) if 100 * len(sets[d] & sets[d + 1]) >= percent * len(sets[d] | sets[d + 1])}
+
+    assert linked(5, 80) == {0, 2, 4, 6} and not linked(4, 85)
+    assert {x["doc_id"] for x in dict(cp.STAGES)["ngram_jaccard_join"](spark, df, SF).collect()} == {0, 2, 4, 6, 8, 9}
+    assert {x["doc_id"]: x["n_shingles"] for x in jaccard_join.join(df, 80, shingle=5).collect()}[0] == 996
+    assert jaccard_join.keep_one(df).count() == 10
