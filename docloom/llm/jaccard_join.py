@@ -25,6 +25,9 @@ each of 512 classes of elements, whether a set has an odd number of them, so cla
 where two sketches differ bound the elements that only one of two sets has. Pairs that
 pass are verified on whole texts.
 
+Links are counted within components, where all of them are: members of a component are
+dealt to blocks, and each pair of blocks is compared on whole texts in one go.
+
 Defined results: texts without words have no component but their own; ties and
 repeated rows fall together; a null doc_id is a row of its own outside every link.
 """
@@ -48,6 +51,8 @@ _S32 = np.uint64(31)
 MOST_LIGHT = 16
 #: Elements of sets that a worker keeps while it verifies pairs.
 KEPT = 2_000_000
+#: Sets of a block while links are counted.
+BLOCK_SETS = 128
 #: Longs of a sketch.
 SKETCH = 8
 
@@ -303,8 +308,64 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, s
     return joined.mapInArrow(run, "u bigint, v bigint")
 
 
-def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_list: int = 16, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row. ``shingle``: words of a shingle."""
+def linked_sizes(a: list[np.ndarray], b: list[np.ndarray], weight: list[int], percent: int) -> np.ndarray:
+    """For each set of ``a``, the sum of the weights of the sets of ``b`` that link with it."""
+    every = np.concatenate(b)
+    values, back = np.unique(every, return_inverse=True)
+    sizes, w = np.array([len(s) for s in b]), np.array(weight, np.int64)
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros(len(a), np.int64)
+    for i, s in enumerate(a):
+        mark = np.zeros(len(values), np.int64)
+        at = np.minimum(np.searchsorted(values, s), len(values) - 1)
+        mark[at[values[at] == s]] = 1
+        both = np.add.reduceat(mark[back], starts)
+        out[i] = w[100 * both >= percent * (len(s) + sizes - both)].sum()
+    return out
+
+
+def link_counts(classes: DataFrame, comp: DataFrame, docs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
+    """(i1, rep, others): the rows of other sets that link with each set of a component. classes: i1, rep, size."""
+    members = materialise(classes.join(comp, classes["rep"] == comp["node"]).select("i1", "rep", "size", F.col("component").alias("c")), "members")
+    texts = texts_of(members.select("i1", "rep"), docs, shingle)
+    blocks = members.groupBy("c").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("of"))
+    dealt = members.join(blocks, "c").withColumn("block", F.pmod(F.xxhash64("i1", "rep"), F.col("of")).cast("int")).join(texts, ["i1", "rep"])
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    dealt = dealt.select("i1", "rep", "size", "c", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        key, group = None, []
+
+        def counts() -> pa.RecordBatch:
+            sets = shingle_sets([g[3] for g in group], hashes, shingle)
+            left = [i for i, g in enumerate(group) if g[4] == key[1]]
+            right = [i for i, g in enumerate(group) if g[4] == key[2]]
+            got = np.zeros(len(group), np.int64)
+            for x, y in ((left, right), (right, left))[: 1 if key[1] == key[2] else 2]:
+                if x and y:
+                    got[x] += linked_sizes([sets[i] for i in x], [sets[i] for i in y], [group[i][2] for i in y], percent)
+            if key[1] == key[2]:
+                got -= [g[2] for g in group]  # each set links with itself
+            return pa.RecordBatch.from_arrays([pa.array([g[0] for g in group], pa.int64()), pa.array([g[1] for g in group], pa.int64()), pa.array(got, pa.int64())], names=["i1", "rep", "others"])
+
+        for b in slices(batches, "text"):
+            for c, p, q, *g in zip(*(column(b, x) for x in ("c", "p", "q", "i1", "rep", "size", "text", "block"))):
+                if (c, p, q) != key:
+                    if group:
+                        yield counts()
+                    key, group = (c, p, q), []
+                group.append(g)
+        if group:
+            yield counts()
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = dealt.repartition(parts, "c", "p", "q").sortWithinPartitions("c", "p", "q").mapInArrow(run, "i1 bigint, rep bigint, others bigint")
+    return materialise(found.groupBy("i1", "rep").agg(F.sum("others").alias("others")), "others")
+
+
+def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_list: int = 16, shingle: int = SHINGLE, links: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row, with ``links`` also n_links: how many other rows link with it. ``shingle``: words of a shingle."""
     spark: SparkSession = docs.sparkSession
     bits = bucket_bits(spark)
     first_at, second_at = shared_path(spark, "first-tally"), shared_path(spark, "second-tally")
@@ -338,7 +399,7 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
 
     known = d.where("doc IS NOT NULL")
     # Documents whose set a smaller id has too need no lists of their own.
-    classes = materialise(own.where("n > 0 AND doc IS NOT NULL").groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep")), "classes")
+    classes = materialise(own.where("n > 0 AND doc IS NOT NULL").groupBy("i1", "i2", "n").agg(F.min("doc").alias("rep"), F.count("*").alias("size")), "classes")
     copies_at = id_table(own.where("doc IS NOT NULL").select("doc").join(classes.select(F.col("rep").alias("doc")), "doc", "left_anti"), "doc")
     hashed = known.select("doc", F.xxhash64("doc").alias("h"), "text")
 
@@ -422,9 +483,13 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
         pairs = pairs.unionAll(more)
         edges = materialise(edges.unionAll(verified(more, reps, known, percent, shingle)), "links")
     comp = components(edges)
-    of_set = classes.join(comp, classes["rep"] == comp["node"], "left").select("i1", "i2", "n", F.coalesce("component", "rep").alias("c"))
-    out = own.join(of_set, ["i1", "i2", "n"], "left")
-    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("c", "doc")).alias("component_id"))
+    of_set = classes.join(comp, classes["rep"] == comp["node"], "left").select("i1", "i2", "n", "rep", "size", F.coalesce("component", "rep").alias("c"))
+    extra = []
+    if links:
+        of_set = of_set.join(link_counts(classes, comp, known, percent, shingle), ["i1", "rep"], "left").withColumn("links", F.col("size") - 1 + F.coalesce("others", F.lit(0)))
+        extra = [F.when(F.col("doc").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0).alias("n_links")]
+    out = own.join(of_set.drop("rep", "size"), ["i1", "i2", "n"], "left")
+    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("c", "doc")).alias("component_id"), *extra)
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:

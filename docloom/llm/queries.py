@@ -43,7 +43,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.join(table(spark, sf_dir, "documents"))
+    return jaccard_join.join(table(spark, sf_dir, "documents"), links=True)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -384,3 +384,23 @@ def test_pipeline_near_copies(spark):
     assert {x["doc_id"] for x in dict(cp.STAGES)["ngram_jaccard_join"](spark, df, SF).collect()} == {0, 2, 4, 6, 8, 9}
     assert {x["doc_id"]: x["n_shingles"] for x in jaccard_join.join(df, 80, shingle=5).collect()}[0] == 996
     assert jaccard_join.keep_one(df).count() == 10
+
+
+@pytest.mark.parametrize("block", [2, 128])
+def test_jaccard_join_links(spark, monkeypatch, block):
+    """Links of every row, in chains, cliques and among copies, also where a component takes several blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block)
+    rows, df = fixture(spark)
+    base = [f"c{i}" for i in range(100)]
+    chain = [(800 + i, " ".join([f"d{j}" for j in range(3 * i)] + base[3 * i :])) for i in range(9)]
+    clique = [(900 + i, " ".join([*(f"k{j}" for j in range(90)), f"e{i // 2}"])) for i in range(12)]
+    every = rows + chain + clique
+    df = df.unionByName(spark.createDataFrame(chain + clique, "doc_id long, text string"), allowMissingColumns=True)
+    sets = []
+    for d, t in every:
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        sets.append({tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set())
+    want = sorted((d, sum(i != j and bool(s) and 100 * len(s & o) >= 85 * len(s | o) for j, o in enumerate(sets))) for i, ((d, _), s) in enumerate(zip(every, sets)))
+    got = sorted((r["doc_id"], r["n_links"]) for r in jaccard_join.join(df, links=True).collect())
+    assert got == sorted([*want, (600, 0)])
+    assert dict(got)[900] == 11 and 0 < dict(got)[800] < 8
