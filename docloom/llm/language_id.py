@@ -8,9 +8,10 @@ entropy; the language with the least wins. The walk is a finite automaton with
 resets, so many blocks of text step together through one table.
 
 Fitting takes at most ``sample_chars`` letters and spaces of each language from the
-training texts with the smallest hashed ids, and at most ``max_languages`` languages,
-those with the most training texts; both are documented bounds. Texts are read whole,
-in blocks of ``BLOCK`` symbols (a phrase ends at a block's end).
+training texts with the smallest hashed ids, a documented bound; every labelled language
+and every letter of the samples counts. A letter that a language's sample lacks ends a
+phrase there. Texts are read whole, in blocks of ``BLOCK`` symbols (a phrase ends at a
+block's end).
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; with
 no labelled text every prediction is ``und``; ties go to the smaller name.
@@ -18,16 +19,19 @@ no labelled text every prediction is ``und``; ties go to the smaller name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import column, crc_mod, slices
 
 BLOCK = 512
+#: Cells that tables of all languages may have together; automata beyond are kept as sorted transitions.
+CELLS = 60_000_000
+_CODES = 0x110000
 UNKNOWN = "und"
 _LETTER: list[np.ndarray] = []
 
@@ -35,45 +39,53 @@ _LETTER: list[np.ndarray] = []
 def letters() -> np.ndarray:
     """code point -> code point of its small letter, or 32 for what is no letter."""
     if not _LETTER:
-        out = np.full(65537, 32, np.int32)
-        for i in range(65536):
+        out = np.full(_CODES, 32, np.int32)
+        for i in range(_CODES):
             c = chr(i)
             if c.isalpha():
                 low = c.lower()
-                out[i] = ord(low) if len(low) == 1 and ord(low) < 65536 else i
-        out[65536] = 65536  # every letter beyond
+                out[i] = ord(low) if len(low) == 1 else i
         _LETTER.append(out)
     return _LETTER[0]
 
 
 def normal(text: str) -> np.ndarray:
     """Letters small, everything else a space."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    high = codes > 65535
-    out = letters()[np.where(high, 0, codes)]
-    if high.any():
-        out[high] = [65536 if chr(c).isalpha() else 32 for c in codes[high]]
-    return out
+    return letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
 
 class Automata:
-    """The suffix automata of some languages as tables state x symbol -> next state; bit 0 marks the start of a phrase."""
+    """The suffix automata of some languages: state x symbol -> next state; bit 0 marks the start of a phrase.
 
-    def __init__(self, samples: dict[str, str], most_symbols: int = 160) -> None:
+    Each language numbers the symbols of its own sample; all others are its symbol 0,
+    which has no way on anywhere. Automata are tables, the smallest first, as far as
+    ``cells`` go, and sorted transitions beyond.
+    """
+
+    def __init__(self, samples: dict[str, str], cells: int = CELLS) -> None:
         self.langs = sorted(samples)
         codes = {k: normal(v) for k, v in samples.items()}
-        values, counts = np.unique(np.concatenate(list(codes.values())) if codes else np.zeros(0, np.int32), return_counts=True)
-        keep = np.sort(values[np.argsort(-counts, kind="stable")][: most_symbols - 1])
-        self.symbol = np.zeros(65537, np.int32)  # 0: any other letter, in no sample
-        self.symbol[keep] = np.arange(1, len(keep) + 1)
-        self.width = len(keep) + 1
-        self.bits = []
-        self.tables = []
+        values = np.unique(np.concatenate(list(codes.values()))) if codes else np.zeros(0, np.int32)
+        self.symbol = np.zeros(_CODES, np.int32)  # 0: any letter in no sample
+        self.symbol[values] = np.arange(1, len(values) + 1)
+        self.bits = [np.log2(max(2, len(codes[k]))) for k in self.langs]
+        self.own, ways = [], []
         for k in self.langs:
-            self.tables.append(self._table(self.symbol[codes[k]].tolist()))
-            self.bits.append(np.log2(max(2, len(codes[k]))))
-
-    def _table(self, seq: list[int]) -> np.ndarray:
+            seq = self.symbol[codes[k]]
+            used = np.unique(seq)
+            own = np.zeros(len(values) + 1, np.int32)
+            own[used] = np.arange(1, len(used) + 1)
+            self.own.append(own)
+            ways.append(self._ways(own[seq].tolist()))
+        size = [len(nxt) * (int(own.max()) + 1) for nxt, own in zip(ways, self.own)]
+        self.steps = [None] * len(ways)
+        for k in sorted(range(len(ways)), key=lambda k: size[k]):
+            self.steps[k] = (self._table if size[k] <= cells else self._sorted)(ways[k], int(self.own[k].max()) + 1)
+            cells -= size[k]
+
+    @staticmethod
+    def _ways(seq: list[int]) -> list[dict[int, int]]:
+        """The suffix automaton: for each state, symbol -> next state."""
         nxt: list[dict[int, int]] = [{}]
         link, length, last = [-1], [0], 0
         for c in seq:
@@ -99,30 +111,54 @@ class Automata:
                         p = link[p]
                     link[q] = link[cur] = twin
             last = cur
-        w = self.width
-        start = np.zeros(w, np.int32)
+        return nxt
+
+    @staticmethod
+    def _arrays(nxt: list[dict[int, int]], w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What follows where there is no way on, by symbol: a phrase ends, the next begins with this symbol. And all transitions, by state * w + symbol."""
+        start = np.ones(w, np.int64)
         for c, u in nxt[0].items():
-            start[c] = u * w
+            start[c] = u * w * 2 + 1
+        at = np.fromiter((v * w + c for v, d in enumerate(nxt) for c in d), np.int64)
+        to = np.fromiter((u * w * 2 for d in nxt for u in d.values()), np.int64)
+        return start, at, to | (at < w)  # a phrase also begins where the walk stands at the start
+
+    def _table(self, nxt: list[dict[int, int]], w: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        start, at, to = self._arrays(nxt, w)
         table = np.empty((len(nxt), w), np.int32)
-        table[:] = start * 2 + 1  # no way on: a phrase ends, the next begins with this symbol
-        rows = np.fromiter((v for v, d in enumerate(nxt) for _ in d), np.int64)
-        cols = np.fromiter((c for d in nxt for c in d), np.int64)
-        table[rows, cols] = np.fromiter((u * 2 * w for d in nxt for u in d.values()), np.int64)
-        table[0] |= 1  # a phrase also begins where the walk stands at the start
-        return table.ravel()
+        table[:] = start
+        table = table.ravel()
+        table[at] = to
+        return lambda state, symbol: table.take(state + symbol)
+
+    def _sorted(self, nxt: list[dict[int, int]], w: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        start, at, to = self._arrays(nxt, w)
+        order = np.argsort(at)
+        at, to = np.append(at[order], -1), to[order]
+
+        def step(state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+            key = state + symbol
+            i = np.searchsorted(at[:-1], key)
+            hit = at[i] == key
+            out = start[symbol]
+            out[hit] = to[i[hit]]
+            return out
+
+        return step
 
     def phrases(self, blocks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Phrases of each block for each language. blocks: a column of symbols for each, longest first; sizes: their lengths."""
         out = np.zeros((len(self.langs), len(sizes)), np.int64)
         width = [int(np.searchsorted(-sizes, -t, side="left")) for t in range(len(blocks))]  # blocks longer than t
-        for k, table in enumerate(self.tables):
-            state = np.zeros(len(sizes), np.int32)
+        for k, step in enumerate(self.steps):
+            own = self.own[k][blocks]
+            state = np.zeros(len(sizes), np.int64)
             count = np.zeros(len(sizes), np.int32)
             for t in range(len(blocks)):
                 n = width[t]
                 if not n:
                     break
-                got = table.take(state[:n] + blocks[t, :n])
+                got = step(state[:n], own[t, :n])
                 count[:n] += got & 1
                 state[:n] = got >> 1
             out[k] = count
@@ -161,17 +197,26 @@ class Automata:
         return langs, scores
 
 
-def fit(train: DataFrame, sample_chars: int = 40_000, max_languages: int = 64, piece: int = 1500) -> dict[str, str]:
-    """Training text per language: pieces of ``piece`` characters of the texts with the smallest hashed ids, ``sample_chars`` in all."""
-    d = train.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    per = d.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    out = {}
+def fit(train: DataFrame, sample_chars: int = 40_000, piece: int = 1500) -> dict[str, str]:
+    """Training text per language: pieces of ``piece`` characters of the texts with the smallest hashed ids, ``sample_chars`` in all.
+
+    Texts under 200 characters count only for languages that have no longer ones. A
+    count per language and range of hashes tells which ranges are needed, so two passes
+    serve all languages.
+    """
+    d = train.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").withColumn("h", F.xxhash64("doc_id"))
+    d = d.select("lang", "h", "doc_id", (F.length("text") < 200).alias("short"), F.shiftright("h", 48).alias("part"), F.substring("text", 1, piece).alias("t"))
     need = -(-sample_chars // piece) + 8
-    for r in per:
-        rows = d.where(F.col("lang") == r["lang"]).where(F.length("text") >= 200).select(F.xxhash64("doc_id").alias("h"), "doc_id", F.substring("text", 1, piece).alias("t")).orderBy("h", "doc_id").limit(need).collect()
-        if not rows:
-            rows = d.where(F.col("lang") == r["lang"]).select(F.xxhash64("doc_id").alias("h"), "doc_id", F.substring("text", 1, piece).alias("t")).orderBy("h", "doc_id").limit(need).collect()
-        out[r["lang"]] = "\n".join(x["t"] for x in rows)[:sample_chars]
+    by = Window.partitionBy("lang")
+    parts = d.groupBy("lang", "short", "part").agg(F.count("*").alias("n")).withColumn("least", F.min("short").over(by)).where("short = least")
+    parts = parts.withColumn("so_far", F.sum("n").over(by.orderBy("part").rowsBetween(Window.unboundedPreceding, 0))).where(F.col("so_far") - F.col("n") < need)
+    wanted = parts.groupBy("lang", "short").agg(F.max("part").alias("last"))
+    few = d.join(F.broadcast(wanted), ["lang", "short"]).where("part <= last")
+    few = few.withColumn("r", F.row_number().over(by.orderBy("h", "doc_id", "t"))).where(F.col("r") <= need)
+    found: dict[str, list] = {}
+    for r in few.select("lang", "r", "t").collect():
+        found.setdefault(r["lang"], []).append((r["r"], r["t"]))
+    out = {k: "\n".join(t for _, t in sorted(v))[:sample_chars] for k, v in found.items()}
     return {k: v for k, v in out.items() if v}
 
 

@@ -404,3 +404,29 @@ def test_jaccard_join_links(spark, monkeypatch, block):
     got = sorted((r["doc_id"], r["n_links"]) for r in jaccard_join.join(df, links=True).collect())
     assert got == sorted([*want, (600, 0)])
     assert dict(got)[900] == 11 and 0 < dict(got)[800] < 8
+
+
+def test_language_id_alphabets():
+    """Large alphabets keep all their letters, as a table and as sorted transitions."""
+    r = random.Random(6)
+    alphabet = {"han": range(0x4E00, 0x4E00 + 900), "han2": range(0x4E00 + 900, 0x4E00 + 1800), "hangul": range(0xAC00, 0xAC00 + 900), "beyond": range(0x20000, 0x20000 + 900), "beyond2": range(0x20000 + 900, 0x20000 + 1800), "greek": range(0x3B1, 0x3CA), "latin": range(0x61, 0x7B)}
+
+    def text(k, n):
+        return "".join(" " if r.random() < 0.1 else chr(r.choice(alphabet[k])) for _ in range(n))
+
+    samples = {k: text(k, 3_000) for k in alphabet}
+    texts = [text(k, 60) for k in alphabet for _ in range(5)]
+    table, way = language_id.Automata(samples), language_id.Automata(samples, cells=0)
+    assert (table.symbol[language_id.normal("".join(samples.values()))] > 0).all()
+    assert table.score(texts)[0] == [k for k in alphabet for _ in range(5)]
+    assert way.score(texts) == table.score(texts)
+
+
+def test_language_id_many_languages(spark):
+    """A language past the sixty-fourth is told too, and one that only short texts have."""
+    r = random.Random(7)
+    voc = {f"l{i:02d}": ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for i in range(70)}
+    rows = [(100 * i + j, " ".join(r.choices(v, k=10 if i == 69 else 60)), k) for i, (k, v) in enumerate(voc.items()) for j in range(8)]
+    got = {x["doc_id"]: x for x in language_id.identify_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    held = [(got[d]["lang_pred"], k) for d, _, k in rows if got[d]["held_out"]]
+    assert len({k for _, k in held}) > 64 and all(a == b for a, b in held)
