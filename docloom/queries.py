@@ -67,6 +67,7 @@ _column("y05_take_before", lambda t: T.slice_before(t, "ing", "keep"), "CASE WHE
 _column("y11_compact_ws", lambda t: T.compact_spaces(t, False), "regexp_replace(t, '[\\s\\x{a0}\\x{3000}]+', '', 'g')", *_PAD)
 _column("y11_collapse_ws", lambda t: T.compact_spaces(t, True), "trim(regexp_replace(t, '[\\s\\x{a0}\\x{3000}]+', ' ', 'g'))", *_PAD)
 _column("y12_concat", lambda t: F.concat(F.lit("<"), F.substring(t, 1, 30), F.lit(">")), "'<' || substr(t, 1, 30) || '>'")
+_column("y12_concat_whole", lambda t: F.concat(F.lit("<"), t, F.lit(">")), "'<' || t || '>'")
 _column("x01_partition_right", lambda t: T.slice_after(t, "zzz", "empty"), "CASE WHEN strpos(t, 'zzz') > 0 THEN substr(t, strpos(t, 'zzz') + 3) ELSE '' END")
 _column("x02_partition_left", lambda t: T.slice_before(t, "zzz", "keep"), "CASE WHEN strpos(t, 'zzz') > 0 THEN substr(t, 1, strpos(t, 'zzz') - 1) ELSE t END")
 _column("x05_regex_sub", lambda t: F.regexp_replace(t, r"\.\s", "."), "regexp_replace(t, '\\.\\s', '.', 'g')")
@@ -219,6 +220,16 @@ def m11_coalesce_rows(spark: SparkSession, d: str) -> DataFrame:
     return merge.coalesce_rows(c, "conv_id", "turn", "annex", ["main"], ["other"])
 
 
+@_query("""WITH c AS (SELECT conv_id, turn, role, role = 'assistant' AS annex, text FROM conversations)
+SELECT conv_id, CAST(min(turn) AS BIGINT) AS first_pos, count(*) AS n_rows, arg_min(text, turn + CASE WHEN annex THEN 1000000000000 ELSE 0 END) FILTER (WHERE trim(text) <> '') AS main,
+coalesce(CASE WHEN bool_or(NOT annex) THEN arg_max(text, turn) FILTER (WHERE annex AND trim(text) <> '') END, arg_min(text, turn) FILTER (WHERE trim(text) <> '')) AS other,
+coalesce(CASE WHEN bool_or(NOT annex) THEN arg_max(role, turn) FILTER (WHERE annex AND trim(role) <> '') END, arg_min(role, turn) FILTER (WHERE trim(role) <> '')) AS role FROM c GROUP BY conv_id""")
+def m11_coalesce_whole_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a conversation as one, of whole texts and all turns."""
+    c = _read(spark, d, "conversations").select("conv_id", "turn", (F.col("role") == "assistant").alias("annex"), F.col("text").alias("main"), F.col("text").alias("other"), "role")
+    return merge.coalesce_rows(c, "conv_id", "turn", "annex", ["main"], ["other", "role"])
+
+
 @_query("SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text <> '')")
 def l00_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.lines(_read(spark, d, "documents"))
