@@ -175,6 +175,13 @@ def normal_markers(t: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(own, r"\n{2,}(?=\[\[)", "\n"), r"\A\n", "")
 
 
+def common_split_words(t: Column) -> Column:
+    """Two very common bad splits, mended in this order."""
+    for bad, good in (("入 札", "入札"), ("に ついて", "について")):
+        t = F.replace(t, F.lit(bad), F.lit(good))
+    return t
+
+
 def table_meta(header: Column) -> Column:
     """key=value tokens of a table header as a map."""
     inner = F.regexp_extract(header, r"\[\[TABLE_START\s*([^\]]*)\]\]", 1)

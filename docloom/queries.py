@@ -88,6 +88,7 @@ _column("c05_unit_spaces", T.unit_spaces, "replace(replace(replace(replace(repla
 _column("c06_dashes", T.dashes, "translate(t, '－—─–―', '-----')", *_WIDE)
 _column("c07_drop_footers", T.drop_footers, "array_to_string(list_filter(string_split(regexp_replace(t, '\\n$', ''), chr(10)), lambda l: NOT regexp_matches(trim(l), '^-\\s*\\d+\\s*-$')), chr(10))", *_BLANK)
 _column("c16_split_words", lambda t: F.replace(t, F.lit("th e"), F.lit("the")), "replace(t, 'th e', 'the')")
+_column("c16_common_split_words", T.common_split_words, "replace(replace(t, '入 札', '入札'), 'に ついて', 'について')", lambda t: F.concat(F.lit("入 札 入 札に ついて "), t, F.lit(" に ついて 入 札")), "'入 札 入 札に ついて ' || text || ' に ついて 入 札'")
 _column("c21_has_cjk", T.has_cjk, "true", *_WIDE)
 _column("t01_normal_markers", T.normal_markers, "'x' || chr(10) || '[[PAGE_START 3]]' || chr(10) || text || chr(10) || '[[PAGE_END]]' || chr(10)".replace("text", "t"), lambda t: F.concat(F.lit("x [[PAGE_START 3]] "), F.replace(t, F.lit("[["), F.lit("")), F.lit(" [[PAGE_END]]")), "text")
 _column("t03_table_meta", lambda t: T.table_meta(t)["rows"], "'2'", *_TABLE)
