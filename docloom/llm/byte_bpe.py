@@ -7,7 +7,10 @@ the token-byte table. A pre-token whose ids don't decode to it (two words of one
 is encoded on the spot.
 
 Positions never leave the task that reads the text: rows of (document, position) for
-every pre-token would be twelve times the input on disk.
+every pre-token are a multiple of the input (README has the measured figure).
+
+Where the pattern breaks at every space between two characters that are no white space,
+texts are cut there first and the pattern is run once for each distinct piece only.
 
 Defined results: null is the empty text, with no ids; repeated rows encode alike.
 """
@@ -25,7 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Store, bucket_bits, column, shared_path, slices
+from docloom.llm.common import Store, bucket_bits, column, shared_path, slices, small_batches
+
+
+#: Alternatives of patterns that break at every space between two characters that are no white space:
+#: none but the last two takes white space, except one space at its start.
+BREAKS = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d", r" ?\p{L}+", r" ?\p{N}+", r" ?[^\s\p{L}\p{N}]+", r"\s+(?!\S)", r"\s+"}
 
 
 class Encoder:
@@ -39,6 +47,21 @@ class Encoder:
         # White space as in Unicode's property, and no other controls.
         space = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
         self.split = regex.compile(pattern.replace(r"[^\s", f"[^{space}").replace(r"(?!\S)", f"(?![^{space}])").replace(r"\s", f"[{space}]")).findall
+        self.breaks = set(pattern.split("|")) <= BREAKS
+        self._cut = regex.compile(f"(?<=[^{space}]) (?=[^{space}])").split
+
+    def pieces(self, texts: list[str | None]) -> tuple[list[list[str]], set[str]]:
+        """Pieces of each text that the pattern splits independently, and the distinct ones; all but a text's first stand after a space that is left out."""
+        if not self.breaks:
+            return [[t] if t else [] for t in texts], set()
+        out = [t.split(" ") if t else [] for t in texts]
+        # Pieces with white space at an edge: what stands beside them depends on them.
+        distinct = set().union(*out)
+        odd = {p for p in distinct if not p or p[0].isspace() or p[-1].isspace()}
+        if odd:
+            out = [p if odd.isdisjoint(p) else self._cut(t) for t, p in zip(texts, out)]
+            distinct = set().union(*out)
+        return out, distinct
 
     def encode(self, word: bytes) -> list[int]:
         """The ids of one pre-token: the pair of lowest rank merges first, the left one of equals."""
@@ -113,7 +136,8 @@ def word_table(docs: DataFrame, path: str, pattern: str, text: str = "text", mos
     root = shared_path(spark, "bpe-words")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = encoder(path, pattern).split, set()
+        enc, seen, first, later = encoder(path, pattern), set(), set(), set()
+        split = enc.split
 
         def rows() -> Iterator[pa.RecordBatch]:
             words = [w.encode("utf-8", "surrogatepass") for w in seen]
@@ -122,9 +146,18 @@ def word_table(docs: DataFrame, path: str, pattern: str, text: str = "text", mos
                 yield pa.RecordBatch.from_arrays([pa.array(tops[lo : lo + 50_000], pa.int32()), pa.array(words[lo : lo + 50_000], pa.binary())], names=["bucket", "word"])
 
         for b in slices(batches, "t"):
-            for t in column(b, "t"):
-                if t:
-                    seen.update(split(t))
+            texts, rest = enc.pieces(column(b, "t"))
+            begin = {p[0] for p in texts if p} - first
+            rest -= later
+            for p in begin:
+                seen.update(split(p))
+            for p in rest:
+                seen.update(split(" " + p))
+            first |= begin
+            later |= rest
+            if len(first) + len(later) > most:
+                first.clear()
+                later.clear()
             if len(seen) > most:
                 yield from rows()
                 seen.clear()
@@ -183,39 +216,55 @@ class WordIds:
                 yield i, flat[s:e]
 
 
+def word_ids(words: list[str], enc: Encoder, table: WordIds) -> dict[str, tuple[str, bytes]]:
+    """For each pre-token its ids as text and the bytes they decode to."""
+    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in raw], np.uint64)
+    order = np.argsort(hashes)
+    place = order.tolist()
+    out: dict[str, tuple[str, bytes]] = {}
+    for i, ids in table.find(hashes[order]):
+        if (said := enc.decode(ids)) == raw[place[i]]:
+            out[words[place[i]]] = (",".join([enc.digits[t] for t in ids]), said)
+    for w, r in zip(words, raw):
+        if w not in out:
+            ids = enc.encode(r)
+            out[w] = (",".join([enc.digits[t] for t in ids]), enc.decode(ids))
+    return out
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", id_col: str = "doc_id", keep_ids: bool = False, most: int = 200_000) -> DataFrame:
     """The id column, n_tokens, ids_sha256, decoded_sha256 (and the ids themselves) of every whole text."""
+    small_batches(docs.sparkSession)
     root, bits = word_table(docs, path, pattern, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, table = encoder(path, pattern), WordIds(root, bits)
-        digits = enc.digits
-        known: dict[str, tuple[int, str, bytes]] = {}
+        # Pieces (the first of a text, those after a space) to their ids as text and to the bytes these stand for.
+        said: tuple[dict[str, str], dict[str, str]] = ({}, {})
+        back: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         for b in slices(batches, "t"):
-            texts = [enc.split(t) if t else [] for t in column(b, "t")]
-            if len(known) > most:
-                known.clear()
-            new = list(set().union(*texts).difference(known))
-            raw = [w.encode("utf-8", "surrogatepass") for w in new]
-            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in raw], np.uint64)
-            order = np.argsort(hashes)
-            place, had = order.tolist(), len(known)
-            for i, ids in table.find(hashes[order]):
-                k = place[i]
-                if (said := enc.decode(ids)) == raw[k]:
-                    known[new[k]] = (len(ids), ",".join([digits[t] for t in ids]), said)
-            if len(known) < had + len(new):
-                for w, r in zip(new, raw):
-                    if w not in known:
-                        ids = enc.encode(r)
-                        known[w] = (len(ids), ",".join([digits[t] for t in ids]), enc.decode(ids))
+            texts, rest = enc.pieces(column(b, "t"))
+            if len(said[0]) + len(said[1]) > most:
+                for d in (*said, *back):
+                    d.clear()
+            begin = {p[0] for p in texts if p}.difference(said[0])
+            rest.difference_update(said[1])
+            split = [(0, p, enc.split(p)) for p in begin] + [(1, p, enc.split(" " + p)) for p in rest]
+            known = word_ids(list(set().union(*[w for _, _, w in split])), enc, table)
+            for k, p, words in split:
+                said[k][p] = ",".join([known[w][0] for w in words])
+                back[k][p] = b"".join([known[w][1] for w in words])
             n, a, d, own = [], [], [], []
-            for words in texts:
-                sizes, said, back = zip(*map(known.__getitem__, words)) if words else ((), (), ())
-                ids = ",".join(said)
-                n.append(sum(sizes))
+            for p in texts:
+                if p:
+                    ids = ",".join([said[0][p[0]], *map(said[1].__getitem__, p[1:])])
+                    raw = b"".join([back[0][p[0]], *map(back[1].__getitem__, p[1:])])
+                else:
+                    ids, raw = "", b""
+                n.append(ids.count(",") + 1 if ids else 0)
                 a.append(hashlib.sha256(ids.encode()).hexdigest())
-                d.append(hashlib.sha256(b"".join(back)).hexdigest())
+                d.append(hashlib.sha256(raw).hexdigest())
                 own.append(list(map(int, ids.split(","))) if keep_ids and ids else [])
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())] + [pa.array(own, pa.list_(pa.int32()))] * keep_ids
             yield pa.RecordBatch.from_arrays(cols, names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)

@@ -90,6 +90,20 @@ def slices(batches: Iterable[pa.RecordBatch], col: str, limit: int = 4_000_000)
             yield b.slice(lo, hi - lo)
 
 
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Bound the bytes of an Arrow batch sent to a Python worker, where the session doesn't say: rows differ in length a lot."""
+    if not spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def fresh(name: str, *taken: Iterable[str]) -> str:
+    """``name``, with underscores added until no column has it (names are compared without case, as Spark does)."""
+    used = {c.lower() for cols in taken for c in cols}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def column(b: pa.RecordBatch, name: str) -> list:
     return b.column(b.schema.get_field_index(name)).to_pylist()
 
@@ -111,6 +125,10 @@ class Hashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def arrow(b: pa.RecordBatch, name: str) -> pa.Array:
+    return b.column(b.schema.get_field_index(name))
+
+
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(33)
 
@@ -125,6 +143,65 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] += 32
+#: Of a word's last eight bytes, those that are its own.
+_OWN = np.array([256**k - 1 for k in range(9)], np.uint64)
+_C1, _C2 = np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xD1342543DE82EF95)
+
+
+def word_hashes(texts: pa.Array | list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of all words, words of each text); ``lower``: A-Z count as a-z.
+
+    Works on the bytes of all texts at once, eight of each word at a time; words of more
+    than 64 bytes are hashed one by one.
+    """
+    if isinstance(texts, list):
+        texts = pa.array(texts, pa.binary())
+    wide = pa.types.is_large_binary(texts.type) or pa.types.is_large_string(texts.type)
+    _, offsets, raw = texts.buffers()
+    if raw is None or not len(texts):
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    off = np.frombuffer(offsets, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    own = np.frombuffer(raw, np.uint8)[off[0] : off[-1]]
+    off -= off[0]
+    n = len(own)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    data = np.zeros(n + 8, np.uint8)
+    data[:n] = _SMALL[own] if lower else own
+    ink = ~_SPACE[own]
+    edge = ink.copy()
+    edge[1:] &= ~ink[:-1]
+    at = off[:-1][off[:-1] < n]
+    edge[at] = ink[at]
+    starts = np.flatnonzero(edge)
+    edge = ink
+    edge[:-1] &= _SPACE[own[1:]]
+    at = off[1:][off[1:] > 0] - 1
+    edge[at] = ~_SPACE[own[at]]
+    size = np.flatnonzero(edge) + 1 - starts
+    eight = np.ndarray((n + 1,), "<u8", data.data, strides=(1,))
+    h = mix((eight[starts] & _OWN[np.minimum(size, 8)]) * _C1 + size.astype(np.uint64))
+    for k in range(8, 64, 8):
+        at = np.flatnonzero(size > k)
+        if not len(at):
+            break
+        h[at] = mix(h[at] * _C2 + (eight[starts[at] + k] & _OWN[np.minimum(size[at] - k, 8)]))
+    for i in np.flatnonzero(size > 64).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + size[i]].data)
+    return h, np.diff(np.searchsorted(starts, off))
+
+
+def split_words(texts: pa.Array | list[bytes], lower: bool = False) -> list[np.ndarray]:
+    """The hashes of each text's words."""
+    h, n = word_hashes(texts, lower)
+    ends = np.cumsum(n).tolist()
+    return [h[lo:hi] for lo, hi in zip([0, *ends], ends)]
+
+
 #: Odd, so invertible modulo 2**64: windows of a running sum can be brought to one scale.
 _BASE = 0x9E3779B97F4A7C15
 _POW = [np.ones(1, np.uint64), np.ones(1, np.uint64)]

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Hashes, Sieve, SortedTable, bucket_bits, column, materialise, mix, shared_path, slices, text_bytes
+from docloom.llm.common import Sieve, SortedTable, arrow, bucket_bits, column, materialise, mix, shared_path, slices, small_batches, text_bytes, word_hashes
 
 SHINGLE, PERCENT = 4, 85
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -57,11 +57,9 @@ BLOCK_SETS = 128
 SKETCH = 8
 
 
-def shingle_sets(texts: list[bytes], hashes: Hashes, k: int = SHINGLE) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array | list[bytes], k: int = SHINGLE) -> list[np.ndarray]:
     """For each text, with A-Z in lower case: sorted hashes of its distinct k-word shingles (of all words, if fewer)."""
-    words = [t.lower().split() for t in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    h = np.concatenate([hashes.array(w) for w in words]) if len(words) else np.zeros(0, np.uint64)
+    h, sizes = word_hashes(texts, lower=True)
     ends = np.cumsum(sizes)
     full = h[: max(0, len(h) - k + 1)]
     for i in range(1, k):
@@ -82,8 +80,8 @@ def shingle_sets(texts: list[bytes], hashes: Hashes, k: int = SHINGLE) -> list[n
     return out
 
 
-def shingles(text: bytes, hashes: Hashes, k: int = SHINGLE) -> np.ndarray:
-    return shingle_sets([text], hashes, k)[0]
+def shingles(text: bytes, k: int = SHINGLE) -> np.ndarray:
+    return shingle_sets([text], k)[0]
 
 
 def set_id(s: np.ndarray) -> tuple[int, int]:
@@ -260,12 +258,11 @@ def texts_of(wanted: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> Data
     bits, root = bucket_bits(docs.sparkSession), id_table(wanted, "rep")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, among = Hashes(), Sieve(SortedTable(root, bits, ["u4"]))
+        among = Sieve(SortedTable(root, bits, ["u4"]))
         for b in slices(batches, "text"):
             keep = among(b.column(1).to_numpy(zero_copy_only=False).view(np.uint64))
             b = b.filter(pa.array(keep))
-            texts = column(b, "text")
-            ids = [set_id(s)[0] for s in shingle_sets(texts, hashes, shingle)]
+            ids = [set_id(s)[0] for s in shingle_sets(arrow(b, "text"), shingle)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(0), b.column(2)], names=["i1", "rep", "text"])
 
     # Rows that repeat an id may differ in text: the set's id tells them apart.
@@ -281,7 +278,6 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, s
     joined = left.join(texts.select(F.col("i1").alias("o"), F.col("rep").alias("v"), F.col("text").alias("b")), "o").select("u", "v", "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         known: dict[int, np.ndarray] = {}
         held = 0
 
@@ -291,7 +287,7 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, s
                 if held > KEPT:
                     known.clear()
                     held = 0
-                known[doc] = shingles(t, hashes, shingle)
+                known[doc] = shingles(t, shingle)
                 held += len(known[doc])
             return known[doc]
 
@@ -334,11 +330,10 @@ def link_counts(classes: DataFrame, comp: DataFrame, docs: DataFrame, percent: i
     dealt = dealt.select("i1", "rep", "size", "c", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         key, group = None, []
 
         def counts() -> pa.RecordBatch:
-            sets = shingle_sets([g[3] for g in group], hashes, shingle)
+            sets = shingle_sets([g[3] for g in group], shingle)
             left = [i for i, g in enumerate(group) if g[4] == key[1]]
             right = [i for i, g in enumerate(group) if g[4] == key[2]]
             got = np.zeros(len(group), np.int64)
@@ -367,16 +362,16 @@ def link_counts(classes: DataFrame, comp: DataFrame, docs: DataFrame, percent: i
 def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_list: int = 16, shingle: int = SHINGLE, links: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id of every row, with ``links`` also n_links: how many other rows link with it. ``shingle``: words of a shingle."""
     spark: SparkSession = docs.sparkSession
+    small_batches(spark)
     bits = bucket_bits(spark)
     first_at, second_at = shared_path(spark, "first-tally"), shared_path(spark, "second-tally")
     d = docs.select(F.col("doc_id").cast("long").alias("doc"), text_bytes().alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for b in slices(batches, "text"):
             rows: list[tuple] = []
             found = []
-            for doc, s in zip(column(b, "doc"), shingle_sets(column(b, "text"), hashes, shingle)):
+            for doc, s in zip(column(b, "doc"), shingle_sets(arrow(b, "text"), shingle)):
                 p = prefix_size(len(s), percent) if len(s) else 0
                 k = element_keys(s)
                 found.append(np.partition(k, p - 1)[:p] if p < len(k) else k)
@@ -390,9 +385,9 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
     sizes = {r["n"]: r["c"] for r in own.groupBy(F.least("n", F.lit(4 * MOST_LIGHT)).alias("n")).agg(F.count("*").alias("c")).collect()}
     x = boundary(sizes, percent)
 
-    def entered(texts: list[bytes], hashes: Hashes, common: Sieve) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    def entered(texts: pa.Array, common: Sieve) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
         """The sets of some texts, the lists they enter and their places there."""
-        s = shingle_sets(texts, hashes, shingle)
+        s = shingle_sets(texts, shingle)
         k = [element_keys(e) for e in s]
         got = [keys(e, own, c, x, percent) for e, own, c in zip(s, k, each(common, k))]
         return s, [g[0] for g in got], [g[1] for g in got]
@@ -410,22 +405,22 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
             yield b.filter(pa.array(~copies(b.column(1).to_numpy(zero_copy_only=False).view(np.uint64))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, common = Hashes(), Sieve(SortedTable(first_at, bits, ["u4"]))
+        common = Sieve(SortedTable(first_at, bits, ["u4"]))
         for b in firsts(batches):
-            rows = list(zip(*blobs(entered(column(b, "text"), hashes, common)[1], bits))) or [(), (), ()]
+            rows = list(zip(*blobs(entered(arrow(b, "text"), common)[1], bits))) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "ks", "cs"])
 
     tally(hashed.mapInArrow(count, _BLOBS), second_at, 2)
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, common, second = Hashes(), Sieve(SortedTable(first_at, bits, ["u4"])), SortedTable(second_at, bits, ["u4"])
+        common, second = Sieve(SortedTable(first_at, bits, ["u4"])), SortedTable(second_at, bits, ["u4"])
 
         def twice(ks: np.ndarray) -> np.ndarray:
             k, back = np.unique(ks, return_inverse=True)
             return second.find(k)[0][back] > 1
 
         for b in firsts(batches):
-            s, ks, places = entered(column(b, "text"), hashes, common)
+            s, ks, places = entered(arrow(b, "text"), common)
             rows = [(doc, *set_id(e), len(e), k[c].view(np.int64), at[c], sketch(e)) for doc, e, k, at, c in zip(column(b, "doc"), s, ks, places, each(twice, ks)) if c.any()]
             cols = list(zip(*rows)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())))], names=["doc", "i1", "i2", "n", "ks", "places", "sk"])

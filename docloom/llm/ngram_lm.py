@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Hashes, SortedTable, bucket_bits, column, crc_mod, materialise, mix, shared_path, slices, text_bytes
+from docloom.llm.common import SortedTable, arrow, bucket_bits, column, crc_mod, materialise, mix, shared_path, slices, small_batches, text_bytes, word_hashes
 
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _P = np.uint64(0xA24BAED4963EE407)
@@ -39,15 +39,19 @@ def pair_hash(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(v * _P + w)
 
 
-def stream(texts: list[bytes], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def stream(texts: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(histories, words, words per text) of the texts one after another; each ends with END."""
-    v, w, n = [], [], []
-    for t in texts:
-        h = hashes.array(t.lower().split())
-        v += [np.array([START]), h]
-        w += [h, np.array([END])]
-        n.append(len(h) + 1)
-    return np.concatenate(v), np.concatenate(w), np.array(n, np.int64)
+    h, n = word_hashes(texts, lower=True)
+    n = n + 1
+    ends = np.cumsum(n)
+    own = np.ones(len(h) + len(n), bool)
+    own[ends - 1] = False
+    w = np.full(len(own), END)
+    w[own] = h
+    v = np.empty_like(w)
+    v[1:] = w[:-1]
+    v[ends - n] = START
+    return v, w, n
 
 
 def summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -78,9 +82,9 @@ def large_histories(train: DataFrame, share: int) -> list[int]:
     """Hashes of words with at least 1/share of all words of some task and of all: at most ``share``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total, kept = Hashes(), 0, (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        total, kept = 0, (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         for b in slices(batches, "text"):
-            h, c = np.unique(np.concatenate([hashes.array(t.lower().split()) for t in column(b, "text")]), return_counts=True)
+            h, c = np.unique(word_hashes(arrow(b, "text"), lower=True)[0], return_counts=True)
             total += int(c.sum())
             (k,), c = summed([np.concatenate([kept[0], h])], np.concatenate([kept[1], c]))
             keep = c * share * 8 >= total  # lossy counting: what is dropped had too few so far
@@ -114,9 +118,8 @@ def train_model(train: DataFrame) -> Model:
         return (h >> shift).astype(np.int64) if bits else np.zeros(len(h), np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for b in slices(batches, "text", 8_000_000):
-            v, w, _ = stream(column(b, "text"), hashes)
+            v, w, _ = stream(arrow(b, "text"))
             (w, v), c = summed([w, v], np.ones(len(v), np.int64))
             # The START history is as large as there are texts.
             split = np.isin(v, large) | (v == START)
@@ -197,9 +200,9 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     m = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, words, pairs = Hashes(), SortedTable(m.words, m.bits, WORD_KINDS), SortedTable(m.pairs, m.bits, PAIR_KINDS)
+        words, pairs = SortedTable(m.words, m.bits, WORD_KINDS), SortedTable(m.pairs, m.bits, PAIR_KINDS)
         for b in slices(batches, "text"):
-            v, w, n = stream(column(b, "text"), hashes)
+            v, w, n = stream(arrow(b, "text"))
             types, at = np.unique(np.concatenate([w, v]), return_inverse=True)
             cw, cv = at[: len(w)], at[len(w) :]
             count, left, cont = words.find(types)
@@ -244,6 +247,7 @@ def find_pairs(pairs: SortedTable, v: np.ndarray, w: np.ndarray, m: Model) -> np
 
 def lm_scores(docs: DataFrame) -> DataFrame:
     """Learn from rows whose crc32(doc_id) mod 5 is not 1; score all."""
+    small_batches(docs.sparkSession)
     d = docs.select("doc_id", text_bytes().alias("text"))
     model = train_model(d.where(crc_mod("doc_id", 5) != 1).select("text"))
     out = score_texts(d, model)

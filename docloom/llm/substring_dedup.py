@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import NULL_ID, Hashes, Windows, column, materialise, signed, slices, text_bytes
+from docloom.llm.common import NULL_ID, Windows, arrow, column, fresh, materialise, slices, small_batches, split_words, text_bytes
 
 LENGTH, SEED = 50, 20
 _LOW = np.uint64(2**24 - 1)
@@ -64,18 +64,17 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str
 
     ``th`` is the text's hash: it tells rows of one id apart.
     """
+    small_batches(docs.sparkSession)
     d = _keyed(docs, id_col, text)
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for b in slices(batches, "text"):
             cols: list[list] = [[], [], [], [], []]
-            for doc, th, t in zip(column(b, "doc"), column(b, "th"), column(b, "text")):
-                words = t.split()
-                n = len(words)
+            for doc, th, h in zip(column(b, "doc"), column(b, "th"), split_words(arrow(b, "text"))):
+                n = len(h)
                 if n < length:
                     continue
-                win = Windows(hashes.array(words))
+                win = Windows(h)
                 a, lo, hi = anchors(win, n, length, seed)
                 for c, v in zip(cols, (a, win.at(lo, hi + length), np.full(len(a), doc), np.full(len(a), th), (lo << 32) | hi)):
                     c.append(v.view(np.int64))
@@ -91,17 +90,17 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str
     # Every block of the anchor is the same: all windows are in the document with the smallest id.
     plain = found.where("NOT forks AND doc > low").select("doc", "th", "span")
     forked = found.where("forks")
-    least = forked.groupBy("a", "b").agg(F.min("doc").alias("block_low"))
+    # Written before the join too, as ``first`` below.
+    least = materialise(forked.groupBy("a", "b").agg(F.min("doc").alias("block_low")), "least")
     marked = materialise(forked.join(least, ["a", "b"]), "blocks")
     whole = marked.where("doc > block_low").select("doc", "th", "span")
     heads = marked.where("doc = block_low").groupBy("doc", "th").agg(F.collect_list(F.struct("a", "span", "low")).alias("heads"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for b in slices(batches, "text"):
             cols: list[list] = [[], [], [], [], [], []]
-            for doc, th, t, hs in zip(column(b, "doc"), column(b, "th"), column(b, "text"), column(b, "heads")):
-                win = Windows(hashes.array(t.split()))
+            for doc, th, words, hs in zip(column(b, "doc"), column(b, "th"), split_words(arrow(b, "text")), column(b, "heads")):
+                win = Windows(words)
                 for h in hs:
                     lo, hi = h["span"] >> 32, h["span"] & 0xFFFFFFFF
                     at = np.arange(lo, hi + 1)
@@ -112,7 +111,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["a", "w", "doc", "th", "at", "low"])
 
     forks = materialise(d.join(heads, ["doc", "th"]).mapInArrow(windows, "a bigint, w bigint, doc bigint, th bigint, at bigint, low bigint"), "windows")
-    first = forks.groupBy("a", "w").agg(F.min("doc").alias("w_low"), F.max("doc").alias("w_top")).where("w_low < w_top").select("a", "w", "w_low")
+    first = materialise(forks.groupBy("a", "w").agg(F.min("doc").alias("w_low"), F.max("doc").alias("w_top")).where("w_low < w_top").select("a", "w", "w_low"), "first")
     single = forks.where("doc > low").join(first, ["a", "w"]).where("doc > w_low").select("doc", "th", F.shiftleft("at", 32).bitwiseOR(F.col("at")).alias("span"))
     return plain.unionAll(whole).unionAll(single).groupBy("doc", "th").agg(F.collect_list("span").alias("spans"))
 
@@ -160,9 +159,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     """``docs`` with repeated passages cut out of ``text`` (texts without any stay as they are); emptied rows go."""
     spans = repeats(docs, length, seed)
     names = docs.columns
-    d = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn("_th", F.xxhash64(text_bytes("text")))
-    spans = spans.select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("spans").alias("_spans"))
-    joined = d.join(spans, ["_doc", "_th"], "left")
+    c_doc, c_th, c_spans, c_new = (fresh(c, names) for c in ("_doc", "_th", "_spans", "_new"))
+    d = docs.withColumn(c_doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn(c_th, F.xxhash64(text_bytes("text")))
+    spans = spans.select(F.col("doc").alias(c_doc), F.col("th").alias(c_th), F.col("spans").alias(c_spans))
+    joined = d.join(spans, [c_doc, c_th], "left")
     from pyspark.sql.functions import arrow_udf
 
     @arrow_udf("string")
@@ -176,8 +176,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
             out.append(own)
         return pa.array(out, pa.string())
 
-    new = joined.withColumn("_new", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut("text", "_spans")))
-    new = new.where("_spans IS NULL OR length(_new) > 0").withColumn("text", F.col("_new"))
+    whole = F.col(c_spans).isNull()
+    new = joined.withColumn(c_new, F.when(whole, F.col("text")).otherwise(cut("text", c_spans)))
+    new = new.where(whole | (F.length(c_new) > 0)).withColumn("text", F.col(c_new))
     if "n_chars" in names:
-        new = new.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        new = new.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return new.select(*names)
