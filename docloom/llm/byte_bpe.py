@@ -3,14 +3,15 @@
 The distinct pre-tokens of all texts are shuffled by hash so that each is encoded
 once; their ids are laid down in the shared folder as sorted hash arrays; every text
 then joins the ids of its pre-tokens back in order, by position, and decoding joins
-the token-byte table. A pre-token whose ids don't decode to it (two words of one hash)
-is encoded on the spot.
+the token-byte table.
 
 Positions never leave the task that reads the text: rows of (document, position) for
 every pre-token are a multiple of the input (README has the measured figure).
 
-Where the pattern breaks at every space between two characters that are no white space,
-texts are cut there first and the pattern is run once for each distinct piece only.
+Texts are cut by the pattern, or, where it is one whose alternatives are those of
+``PLAIN``, by the same rules over the classes of all characters of a slice at once.
+Decoded texts are compared with the texts: where two pre-tokens share a hash, the text
+is encoded word by word.
 
 Defined results: null is the empty text, with no ids; repeated rows encode alike.
 """
@@ -24,16 +25,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Store, bucket_bits, column, shared_path, slices, small_batches
+from docloom.llm.common import Store, bucket_bits, column, gather, range_hashes, shared_path, slices, small_batches
 
 
-#: Alternatives of patterns that break at every space between two characters that are no white space:
-#: none but the last two takes white space, except one space at its start.
-BREAKS = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d", r" ?\p{L}+", r" ?\p{N}+", r" ?[^\s\p{L}\p{N}]+", r"\s+(?!\S)", r"\s+"}
+# The alternatives of a common pattern, in order.
+PLAIN = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", r" ?\p{L}+", r" ?\p{N}+", r" ?[^\s\p{L}\p{N}]+", r"\s+(?!\S)", r"\s+"]
+OTHER, LETTER, NUMBER, SPACE = range(4)
 
 
 class Encoder:
@@ -43,25 +43,69 @@ class Encoder:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes_of = {v: k for k, v in self.ranks.items()}
-        self.digits = {v: str(v) for v in self.bytes_of}
         # White space as in Unicode's property, and no other controls.
         space = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
         self.split = regex.compile(pattern.replace(r"[^\s", f"[^{space}").replace(r"(?!\S)", f"(?![^{space}])").replace(r"\s", f"[{space}]")).findall
-        self.breaks = set(pattern.split("|")) <= BREAKS
-        self._cut = regex.compile(f"(?<=[^{space}]) (?=[^{space}])").split
-
-    def pieces(self, texts: list[str | None]) -> tuple[list[list[str]], set[str]]:
-        """Pieces of each text that the pattern splits independently, and the distinct ones; all but a text's first stand after a space that is left out."""
-        if not self.breaks:
-            return [[t] if t else [] for t in texts], set()
-        out = [t.split(" ") if t else [] for t in texts]
-        # Pieces with white space at an edge: what stands beside them depends on them.
-        distinct = set().union(*out)
-        odd = {p for p in distinct if not p or p[0].isspace() or p[-1].isspace()}
-        if odd:
-            out = [p if odd.isdisjoint(p) else self._cut(t) for t, p in zip(texts, out)]
-            distinct = set().union(*out)
-        return out, distinct
+        self.kinds = self._kinds(space) if pattern.split("|") == PLAIN else None
+        # The decimals of each id with a comma, and its bytes, one after another.
+        ids = range(max(self.bytes_of) + 1)
+        self.said = self._table([b"%d," % i for i in ids])
+        self.means = self._table([self.bytes_of.get(i, b"") for i in ids])
+
+    @staticmethod
+    def _kinds(space: str) -> np.ndarray:
+        """The class of each code point."""
+        out = np.zeros(0x110000, np.uint8)
+        every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+        for kind, said in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, f"[{space}]")):
+            out[[ord(c) for c in regex.findall(said, every)]] = kind
+        return out
+
+    @staticmethod
+    def _table(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = np.array([len(p) for p in parts], np.int64)
+        return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(size) - size, size
+
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all texts (and eight more), where each pre-token starts, its bytes, and the pre-tokens of each text."""
+        if self.kinds is None:
+            words = [self.split(t) for t in texts]
+            raw = [w.encode("utf-8", "surrogatepass") for own in words for w in own]
+            size = np.array([len(w) for w in raw], np.int64)
+            return np.frombuffer(b"".join(raw) + bytes(8), np.uint8), np.cumsum(size) - size, size, np.array([len(w) for w in words], np.int64)
+        whole = "".join(texts)
+        raw = whole.encode("utf-8", "surrogatepass")
+        c = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        n = len(c)
+        off = np.cumsum([0, *map(len, texts)])
+        first = np.zeros(n + 3, bool)
+        first[off] = True
+        first[n:] = True
+        kind = self.kinds[c]
+        new = first[:n].copy()
+        new[1:] |= kind[1:] != kind[:-1]
+        # The last white space before other characters stands alone, or is the space at their start.
+        at = np.flatnonzero(new & (kind != SPACE) & ~first[:n])
+        at = at[kind[at - 1] == SPACE]
+        new[at - 1] = True
+        new[at[c[at - 1] == 32]] = False
+        at = np.flatnonzero(new & (c == ord("'")))
+        at = at[~first[at + 1]]
+        if len(at):
+            a = c[at + 1]
+            b = np.where(first[at + 2], 0, c[np.minimum(at + 2, n - 1)])
+            short = np.isin(a, [ord(x) for x in "stmd"])
+            long = (np.isin(a, [ord("r"), ord("v")]) & (b == ord("e"))) | ((a == ord("l")) & (b == ord("l")))
+            new[at[short | long] + 1] = False
+            ends = np.concatenate([at[short] + 2, at[long] + 3])
+            ends = ends[ends < n]
+            new[ends[kind[ends] == LETTER]] = True
+        starts = np.flatnonzero(new)
+        per = np.diff(np.searchsorted(starts, off))
+        if len(raw) > n:
+            width = 1 + (c > 0x7F).astype(np.int8) + (c > 0x7FF) + (c > 0xFFFF)
+            starts = (np.cumsum(width, dtype=np.int64) - width)[starts]
+        return np.frombuffer(raw + bytes(8), np.uint8), starts, np.diff(np.append(starts, len(raw))), per
 
     def encode(self, word: bytes) -> list[int]:
         """The ids of one pre-token: the pair of lowest rank merges first, the left one of equals."""
@@ -136,32 +180,18 @@ def word_table(docs: DataFrame, path: str, pattern: str, text: str = "text", mos
     root = shared_path(spark, "bpe-words")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, seen, first, later = encoder(path, pattern), set(), set(), set()
-        split = enc.split
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            words = [w.encode("utf-8", "surrogatepass") for w in seen]
-            tops = [xxhash.xxh3_64_intdigest(w) >> (64 - bits) if bits else 0 for w in words]
-            for lo in range(0, len(words), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(tops[lo : lo + 50_000], pa.int32()), pa.array(words[lo : lo + 50_000], pa.binary())], names=["bucket", "word"])
-
+        enc, seen = encoder(path, pattern), np.zeros(0, np.uint64)
         for b in slices(batches, "t"):
-            texts, rest = enc.pieces(column(b, "t"))
-            begin = {p[0] for p in texts if p} - first
-            rest -= later
-            for p in begin:
-                seen.update(split(p))
-            for p in rest:
-                seen.update(split(" " + p))
-            first |= begin
-            later |= rest
-            if len(first) + len(later) > most:
-                first.clear()
-                later.clear()
-            if len(seen) > most:
-                yield from rows()
-                seen.clear()
-        yield from rows()
+            data, starts, size, _ = enc.cut([t or "" for t in column(b, "t")])
+            h, at = np.unique(range_hashes(data, starts, size), return_index=True)
+            if len(seen):
+                new = seen[np.minimum(np.searchsorted(seen, h), len(seen) - 1)] != h
+                h, at = h[new], at[new]
+            seen = h if len(seen) > most else np.sort(np.concatenate([seen, h]))
+            starts, size = starts[at], size[at]
+            words = pa.Array.from_buffers(pa.binary(), len(h), [None, pa.py_buffer(np.append(0, np.cumsum(size)).astype(np.int32)), pa.py_buffer(gather(data, starts, size))])
+            top = (h >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(h), np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(top), words], names=["bucket", "word"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, by = encoder(path, pattern), {}
@@ -170,7 +200,10 @@ def word_table(docs: DataFrame, path: str, pattern: str, text: str = "text", mos
                 by.setdefault(k, set()).add(w)
         done = 0
         for k, words in by.items():
-            got = sorted({xxhash.xxh3_64_intdigest(w): w for w in sorted(words)}.items())
+            own = sorted(words)
+            size = np.array([len(w) for w in own], np.int64)
+            hashes = range_hashes(np.frombuffer(b"".join(own) + bytes(8), np.uint8), np.cumsum(size) - size, size)
+            got = sorted(dict(zip(hashes.tolist(), own)).items())
             ids = [enc.encode(w) for _, w in got]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.uint32)
             flat = np.fromiter((i for x in ids for i in x), np.uint32, int(ends[-1]))
@@ -190,8 +223,9 @@ class WordIds:
     def __init__(self, root: str, bits: int) -> None:
         self.store, self.bits, self.open = Store(root), bits, {}
 
-    def find(self, hashes: np.ndarray) -> Iterator[tuple[int, list[int]]]:
-        """(index, ids) of those hashes, ascending, that are there."""
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For ascending distinct hashes: the number of ids of each (0: absent), and all ids one after another."""
+        count, flat = np.zeros(len(hashes), np.int64), []
         tops = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
         cuts = np.flatnonzero(np.diff(tops)) + 1
         edges = [0, *cuts.tolist(), len(tops)] if len(tops) else []
@@ -209,63 +243,50 @@ class WordIds:
             at = np.minimum(np.searchsorted(part[0], hashes[lo:hi]), len(part[0]) - 1)
             hit = np.flatnonzero(part[0][at] == hashes[lo:hi])
             begin = part[1][at[hit]].astype(np.int64)
-            ends = np.cumsum(part[1][at[hit] + 1] - begin)
-            starts = np.append(0, ends[:-1])[: len(hit)]
-            flat = part[2][np.repeat(begin - starts, ends - starts) + np.arange(ends[-1] if len(hit) else 0)].tolist()
-            for i, s, e in zip((lo + hit).tolist(), starts.tolist(), ends.tolist()):
-                yield i, flat[s:e]
-
-
-def word_ids(words: list[str], enc: Encoder, table: WordIds) -> dict[str, tuple[str, bytes]]:
-    """For each pre-token its ids as text and the bytes they decode to."""
-    raw = [w.encode("utf-8", "surrogatepass") for w in words]
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in raw], np.uint64)
-    order = np.argsort(hashes)
-    place = order.tolist()
-    out: dict[str, tuple[str, bytes]] = {}
-    for i, ids in table.find(hashes[order]):
-        if (said := enc.decode(ids)) == raw[place[i]]:
-            out[words[place[i]]] = (",".join([enc.digits[t] for t in ids]), said)
-    for w, r in zip(words, raw):
-        if w not in out:
-            ids = enc.encode(r)
-            out[w] = (",".join([enc.digits[t] for t in ids]), enc.decode(ids))
+            size = part[1][at[hit] + 1] - begin
+            count[lo + hit] = size
+            flat.append(gather(part[2], begin, size))
+        return count, np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+
+
+def joined(table: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The bytes that a table has for the ids, of each run of ``count`` ids together, as an array of bytes objects."""
+    data, starts, size = table
+    size = size[ids]
+    whole = gather(data, starts[ids], size).tobytes()
+    ends = np.append(0, np.cumsum(size))[np.cumsum(count)].tolist()
+    out = np.empty(len(count), object)
+    out[:] = [whole[lo:hi] for lo, hi in zip([0, *ends], ends)]
     return out
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", id_col: str = "doc_id", keep_ids: bool = False, most: int = 200_000) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", id_col: str = "doc_id", keep_ids: bool = False) -> DataFrame:
     """The id column, n_tokens, ids_sha256, decoded_sha256 (and the ids themselves) of every whole text."""
     small_batches(docs.sparkSession)
     root, bits = word_table(docs, path, pattern, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, table = encoder(path, pattern), WordIds(root, bits)
-        # Pieces (the first of a text, those after a space) to their ids as text and to the bytes these stand for.
-        said: tuple[dict[str, str], dict[str, str]] = ({}, {})
-        back: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         for b in slices(batches, "t"):
-            texts, rest = enc.pieces(column(b, "t"))
-            if len(said[0]) + len(said[1]) > most:
-                for d in (*said, *back):
-                    d.clear()
-            begin = {p[0] for p in texts if p}.difference(said[0])
-            rest.difference_update(said[1])
-            split = [(0, p, enc.split(p)) for p in begin] + [(1, p, enc.split(" " + p)) for p in rest]
-            known = word_ids(list(set().union(*[w for _, _, w in split])), enc, table)
-            for k, p, words in split:
-                said[k][p] = ",".join([known[w][0] for w in words])
-                back[k][p] = b"".join([known[w][1] for w in words])
+            texts = [t or "" for t in column(b, "t")]
+            data, starts, size, per = enc.cut(texts)
+            words, back = np.unique(range_hashes(data, starts, size), return_inverse=True)
+            count, ids = table.find(words)
+            said, means = joined(enc.said, ids, count), joined(enc.means, ids, count)
+            begin = np.cumsum(count) - count
             n, a, d, own = [], [], [], []
-            for p in texts:
-                if p:
-                    ids = ",".join([said[0][p[0]], *map(said[1].__getitem__, p[1:])])
-                    raw = b"".join([back[0][p[0]], *map(back[1].__getitem__, p[1:])])
-                else:
-                    ids, raw = "", b""
-                n.append(ids.count(",") + 1 if ids else 0)
-                a.append(hashlib.sha256(ids.encode()).hexdigest())
+            ends = np.cumsum(per).tolist()
+            for t, lo, hi in zip(texts, [0, *ends], ends):
+                w = back[lo:hi]
+                k, line, raw = int(count[w].sum()), b"".join(said[w].tolist())[:-1], b"".join(means[w].tolist())
+                got = gather(ids, begin[w], count[w]).tolist() if keep_ids else []
+                if raw != t.encode("utf-8", "surrogatepass"):
+                    got = [i for x in enc.split(t) for i in enc.encode(x.encode("utf-8", "surrogatepass"))]
+                    k, line, raw = len(got), b",".join([b"%d" % i for i in got]), enc.decode(got)
+                n.append(k)
+                a.append(hashlib.sha256(line).hexdigest())
                 d.append(hashlib.sha256(raw).hexdigest())
-                own.append(list(map(int, ids.split(","))) if keep_ids and ids else [])
+                own.append(got if keep_ids else [])
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())] + [pa.array(own, pa.list_(pa.int32()))] * keep_ids
             yield pa.RecordBatch.from_arrays(cols, names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
 

@@ -152,11 +152,30 @@ _OWN = np.array([256**k - 1 for k in range(9)], np.uint64)
 _C1, _C2 = np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xD1342543DE82EF95)
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ranges of bytes; ``data`` ends with eight bytes that are in no range."""
+    eight = np.ndarray((len(data) - 7,), "<u8", data.data, strides=(1,))
+    h = mix((eight[starts] & _OWN[np.minimum(size, 8)]) * _C1 + size.astype(np.uint64))
+    for k in range(8, 64, 8):
+        at = np.flatnonzero(size > k)
+        if not len(at):
+            break
+        h[at] = mix(h[at] * _C2 + (eight[starts[at] + k] & _OWN[np.minimum(size[at] - k, 8)]))
+    for i in np.flatnonzero(size > 64).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + size[i]].data)
+    return h
+
+
+def gather(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ranges of ``data``, one after another."""
+    ends = np.cumsum(size)
+    return data[np.repeat(starts - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 def word_hashes(texts: pa.Array | list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes of all words, words of each text); ``lower``: A-Z count as a-z.
 
-    Works on the bytes of all texts at once, eight of each word at a time; words of more
-    than 64 bytes are hashed one by one.
+    Works on the bytes of all texts at once.
     """
     if isinstance(texts, list):
         texts = pa.array(texts, pa.binary())
@@ -183,16 +202,7 @@ def word_hashes(texts: pa.Array | list[bytes], lower: bool = False) -> tuple[np.
     at = off[1:][off[1:] > 0] - 1
     edge[at] = ~_SPACE[own[at]]
     size = np.flatnonzero(edge) + 1 - starts
-    eight = np.ndarray((n + 1,), "<u8", data.data, strides=(1,))
-    h = mix((eight[starts] & _OWN[np.minimum(size, 8)]) * _C1 + size.astype(np.uint64))
-    for k in range(8, 64, 8):
-        at = np.flatnonzero(size > k)
-        if not len(at):
-            break
-        h[at] = mix(h[at] * _C2 + (eight[starts[at] + k] & _OWN[np.minimum(size[at] - k, 8)]))
-    for i in np.flatnonzero(size > 64).tolist():
-        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + size[i]].data)
-    return h, np.diff(np.searchsorted(starts, off))
+    return range_hashes(data, starts, size), np.diff(np.searchsorted(starts, off))
 
 
 def split_words(texts: pa.Array | list[bytes], lower: bool = False) -> list[np.ndarray]:
