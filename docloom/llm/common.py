@@ -104,6 +104,11 @@ def fresh(name: str, *taken: Iterable[str]) -> str:
     return name
 
 
+def every(names: Iterable[str]) -> list[Column]:
+    """Columns by their exact names, dots and all."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in names]
+
+
 def column(b: pa.RecordBatch, name: str) -> list:
     return b.column(b.schema.get_field_index(name)).to_pylist()
 

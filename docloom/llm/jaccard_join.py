@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Sieve, SortedTable, arrow, bucket_bits, column, materialise, mix, shared_path, slices, small_batches, text_bytes, word_hashes
+from docloom.llm.common import Sieve, SortedTable, arrow, bucket_bits, column, every, materialise, mix, shared_path, slices, small_batches, text_bytes, word_hashes
 
 SHINGLE, PERCENT = 4, 85
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -490,4 +490,4 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = 2, long_lis
 def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, and rows without an id. Rows that repeat an id stay or go together."""
     gone = join(docs, percent, shingle=shingle).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*every(docs.columns))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import column, crc_mod, slices
+from docloom.llm.common import column, crc_mod, slices, small_batches
 
 BLOCK = 512
 #: Cells that tables of all languages may have together; automata beyond are kept as sorted transitions.
@@ -227,6 +227,8 @@ def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     """doc_id, lang_pred and score of every whole text. The samples are bounded, see ``fit``."""
     sent = docs.sparkSession.sparkContext.broadcast(samples)
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sent.value is not None and id(sent.value) not in _BUILT:
             _BUILT.clear()

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import column
+from docloom.llm.common import column, every, fresh
 
 
 def whole(weights: list) -> list[int]:
@@ -160,14 +160,16 @@ def block_places(spark: SparkSession, blocks: list[int], weight: list[int], leng
 
 
 def mix_sources(docs: DataFrame, target: Callable[[dict], dict] = root_weights, block_rows: int = 8, range_slots: int = 16_384) -> DataFrame:
-    """``docs`` with ``_mix`` (block, phase, slot, offset) added; order by slot, offset to read the mix.
+    """``docs`` with a last column ``_mix`` (block, phase, slot, offset; another name if that one is taken); order by slot, offset to read the mix.
 
     Ranks within a source are counted per (source, hash bucket) and shifted by bucket
     totals, so that a source with a third of all rows is spread over many tasks. The
     places of a bucket's blocks come to it as one list.
     """
     spark = docs.sparkSession
-    rows = docs.withColumn("_h", F.xxhash64("doc_id", "text") if "text" in docs.columns else F.xxhash64("doc_id"))
+    text = [F.col(c) for c in docs.columns if c.lower() == "text"]
+    # The row travels as one column, so none of its names can clash.
+    rows = docs.select(F.struct(*every(docs.columns)).alias("_row"), "source", "doc_id", F.xxhash64("doc_id", *text).alias("_h"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.withColumn("_b", F.pmod(F.shiftright("_h", 32), F.lit(4 * parts)).cast("int"))
     sums = rows.groupBy("source", "_b").agg(F.count("*").alias("n"))
@@ -186,7 +188,7 @@ def mix_sources(docs: DataFrame, target: Callable[[dict], dict] = root_weights,
     ranked = ranked.withColumn("_block", F.floor(F.col("_rank") / block_rows)).withColumn("_offset", (F.col("_rank") % block_rows).cast("int"))
     place = F.get("_places", (F.col("_block") - F.floor(F.col("_before") / block_rows)).cast("int"))
     mixed = F.struct(F.col("_block").alias("block"), place["_phase"].alias("phase"), place["_slot"].alias("slot"), F.col("_offset").alias("offset"))
-    return ranked.withColumn("_mix", mixed).select(*docs.columns, "_mix")
+    return ranked.withColumn("_mix", mixed).select("_row.*", F.col("_mix").alias(fresh("_mix", docs.columns)))
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
@@ -195,7 +197,7 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
-    """The rows laid out in the order of the mix, without the column that held it."""
+    """The rows of ``mix_sources`` laid out in the order of the mix, without the last column, which held it."""
     parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = [c for c in mixed.columns if c != "_mix"]
-    return mixed.repartitionByRange(parts, "_mix.slot", "_mix.offset").sortWithinPartitions("_mix.slot", "_mix.offset").select(*cols)
+    *cols, mix = mixed.columns
+    return mixed.repartitionByRange(parts, f"{mix}.slot", f"{mix}.offset").sortWithinPartitions(f"{mix}.slot", f"{mix}.offset").select(*every(cols))

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from docloom.llm.common import fresh, small_batches
+
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -201,6 +203,7 @@ def rule_column(rules: list[Rule], s: str) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8000) -> list[Rule]:
     """Learn from at most ``max_rows`` labelled documents, those with the smallest hashed ids."""
+    small_batches(docs.sparkSession)
     sample = (
         labels.select(F.col("doc_id"), F.col("quality")).where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -219,8 +222,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8000) -> list[Rule]:
 
 def judge(docs: DataFrame, rules: list[Rule], s: str = "_quality") -> DataFrame:
     """``docs`` with a struct column ``s`` (statistics, base_failed, rule, kept) added."""
-    while s in docs.columns:
-        s += "_"
+    small_batches(docs.sparkSession)
+    s = fresh(s, docs.columns)
     measured = docs.withColumn(s, statistics("text"))
     failed = base_failed(s)
     rule = rule_column(rules, s)

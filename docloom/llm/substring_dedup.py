@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import NULL_ID, Windows, arrow, column, fresh, materialise, slices, small_batches, split_words, text_bytes
+from docloom.llm.common import NULL_ID, Windows, arrow, column, every, fresh, materialise, slices, small_batches, split_words, text_bytes
 
 LENGTH, SEED = 50, 20
 _LOW = np.uint64(2**24 - 1)
@@ -181,4 +181,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     new = new.where(whole | (F.length(c_new) > 0)).withColumn("text", F.col(c_new))
     if "n_chars" in names:
         new = new.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return new.select(*names)
+    return new.select(*every(names))

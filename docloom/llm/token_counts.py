@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import column, slices, text_bytes
+from docloom.llm.common import column, slices, small_batches, text_bytes
 
 
 class Counter:
@@ -116,6 +116,8 @@ def count_tokens(docs: DataFrame, path: str, most: int = 300_000) -> DataFrame:
     counts of at most ``most`` distinct words.
     """
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _COUNTERS:
             _COUNTERS[path] = Counter(set(sentencepiece_vocabulary(path)))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import column, crc_mod, slices, text_bytes
+from docloom.llm.common import column, crc_mod, slices, small_batches, text_bytes
 
 SEGMENT, PER_DOC = 24, 4
 EDGE = b".,;:!?\"'()[]{}<>*_~"
@@ -216,6 +216,8 @@ def tag(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
     word_re = re.compile(rb"[^\x20\x09-\x0D]+")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("text", pa.string()), ("probability", pa.float64())]))
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Field(*sent.value)
 
