@@ -78,7 +78,7 @@ def text_bytes(col: str = "text") -> Column:
 
 
 def slices(batches: Iterable[pa.RecordBatch], col: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each piece holds about ``limit`` bytes of ``col`` or one row."""
+    """Cut Arrow batches so that each piece holds about ``limit`` bytes of ``col`` or one row; at the end memory goes back to the system."""
     for b in batches:
         if not b.num_rows:
             continue
@@ -88,20 +88,19 @@ def slices(batches: Iterable[pa.RecordBatch], col: str, limit: int = 4_000_000)
         edges = [0, *cuts.tolist(), b.num_rows]
         for lo, hi in zip(edges, edges[1:]):
             yield b.slice(lo, hi - lo)
+    give_back()
 
 
-def small_batches(spark: SparkSession, size: str = "4m") -> None:
-    """Bound the bytes of an Arrow batch sent to a Python worker, where the session doesn't say: rows differ in length a lot."""
-    if not spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+def give_back() -> None:
+    """Return freed memory to the system: a worker serves many tasks, and what allocators keep would add up."""
+    import ctypes
+    import sys
 
-
-def fresh(name: str, *taken: Iterable[str]) -> str:
-    """``name``, with underscores added until no column has it (names are compared without case, as Spark does)."""
-    used = {c.lower() for cols in taken for c in cols}
-    while name.lower() in used:
-        name += "_"
-    return name
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # absent outside glibc
+        if trim:
+            trim(0)
 
 
 def every(names: Iterable[str]) -> list[Column]:
