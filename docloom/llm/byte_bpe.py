@@ -34,6 +34,8 @@ from docloom.llm.common import Store, bucket_bits, column, gather, range_hashes,
 # The alternatives of a common pattern, in order.
 PLAIN = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", r" ?\p{L}+", r" ?\p{N}+", r" ?[^\s\p{L}\p{N}]+", r"\s+(?!\S)", r"\s+"]
 OTHER, LETTER, NUMBER, SPACE = range(4)
+#: Bytes of text that a worker cuts at once.
+SLICE = 2_000_000
 
 
 class Encoder:
@@ -181,7 +183,7 @@ def word_table(docs: DataFrame, path: str, pattern: str, text: str = "text", mos
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, seen = encoder(path, pattern), np.zeros(0, np.uint64)
-        for b in slices(batches, "t"):
+        for b in slices(batches, "t", SLICE):
             data, starts, size, _ = enc.cut([t or "" for t in column(b, "t")])
             h, at = np.unique(range_hashes(data, starts, size), return_index=True)
             if len(seen):
@@ -267,7 +269,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, table = encoder(path, pattern), WordIds(root, bits)
-        for b in slices(batches, "t"):
+        for b in slices(batches, "t", SLICE):
             texts = [t or "" for t in column(b, "t")]
             data, starts, size, per = enc.cut(texts)
             words, back = np.unique(range_hashes(data, starts, size), return_inverse=True)

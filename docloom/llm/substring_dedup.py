@@ -176,6 +176,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
             out.append(own)
         return pa.array(out, pa.string())
 
+    cut = cut.asNondeterministic()  # else the plan would run it once for the filter and once more for the text
     whole = F.col(c_spans).isNull()
     new = joined.withColumn(c_new, F.when(whole, F.col("text")).otherwise(cut("text", c_spans)))
     new = new.where(whole | (F.length(c_new) > 0)).withColumn("text", F.col(c_new))
