@@ -4,7 +4,8 @@ DataFrame functions only. A paragraph is a line of the text; its leaves are runs
 ``leaf`` code points; its node hashes its leaves' hashes. A section is a run of
 paragraphs that ends after one whose hash starts with 0-3 (content-defined, so an
 edit moves no later boundary) ; the root hashes the sections. Equal texts have equal
-roots; comparing two trees level by level finds the branches that differ.
+roots; comparing two trees level by level finds the branches that differ, and the nodes
+that two lists share at either end tell where an edit lies.
 
 Defined results: a null text is an empty text, one empty paragraph; equal rows get
 equal rows; ids that are null come last in descending order.
@@ -58,8 +59,19 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def differing(a: Column, b: Column, level: str) -> Column:
-    """Positions (from 0) of the nodes of ``a`` at ``level`` that ``b`` has not."""
-    return F.filter(F.transform(a[level], lambda x, i: F.when(F.array_contains(b[level], x), F.lit(-1)).otherwise(i)), lambda i: i >= 0)
+    """The distinct nodes of ``a`` at ``level`` that ``b`` has not, in time linear in both."""
+    return F.array_except(a[level], b[level])
+
+
+def same_at_start(a: Column, b: Column) -> Column:
+    """How many nodes two lists of hashes have in common before the first that differs."""
+    first = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), F.lit(False))
+    return F.when(first > 0, first - 1).otherwise(F.size(a)).cast("long")
+
+
+def changed(a: Column, b: Column, level: str) -> tuple[Column, Column]:
+    """Where an edit lies at ``level``: the nodes before it and the nodes after it that both trees have in common."""
+    return same_at_start(a[level], b[level]), same_at_start(F.reverse(a[level]), F.reverse(b[level]))
 
 
 def edited_pairs(docs: DataFrame, most_broadcast: int = 64 << 20) -> DataFrame:
@@ -94,10 +106,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, with likenesses."""
     out = with_tree(with_tree(with_tree(edited_pairs(docs), "text", "_a"), "edited", "_e"), "next_text", "_x")
     a, e, x = F.col("_a"), F.col("_e"), F.col("_x")
+    before, after = changed(a, e, "paragraphs")
     return out.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         a["root"].alias("fingerprint"), e["root"].alias("edited_fingerprint"), likeness(a, e).alias("near_edited"), likeness(a, x).alias("near_next"),
-        F.size(differing(a, e, "paragraphs")).cast("long").alias("n_paragraphs_changed"),
+        F.size(differing(a, e, "paragraphs")).cast("long").alias("n_paragraphs_changed"), before.alias("paragraphs_before"), after.alias("paragraphs_after"),
     )
 
 
@@ -113,6 +126,8 @@ r AS (SELECT doc_id, k, list_distinct(leaves) AS leaves, paras, sha256(array_to_
 SELECT e.doc_id, CAST(length(e.text) AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha256, a.root AS fingerprint, b.root AS edited_fingerprint,
   CASE WHEN a.root = b.root THEN 1.0 WHEN len(a.leaves) + len(b.leaves) = 0 THEN 0.0 ELSE 2.0 * len(list_intersect(a.leaves, b.leaves)) / (len(a.leaves) + len(b.leaves)) END::DOUBLE AS near_edited,
   CASE WHEN a.root = x.root THEN 1.0 WHEN len(a.leaves) + len(x.leaves) = 0 THEN 0.0 ELSE 2.0 * len(list_intersect(a.leaves, x.leaves)) / (len(a.leaves) + len(x.leaves)) END::DOUBLE AS near_next,
-  CAST(len(list_filter(a.paras, lambda h: NOT list_contains(b.paras, h))) AS BIGINT) AS n_paragraphs_changed
+  CAST(len(list_filter(list_distinct(a.paras), lambda h: NOT list_contains(b.paras, h))) AS BIGINT) AS n_paragraphs_changed,
+  CAST(coalesce(nullif(list_position(list_transform(list_zip(a.paras, b.paras), lambda z: coalesce(z[1] = z[2], false)), false), 0) - 1, len(a.paras)) AS BIGINT) AS paragraphs_before,
+  CAST(coalesce(nullif(list_position(list_transform(list_zip(list_reverse(a.paras), list_reverse(b.paras)), lambda z: coalesce(z[1] = z[2], false)), false), 0) - 1, len(a.paras)) AS BIGINT) AS paragraphs_after
 FROM e JOIN r a ON a.doc_id = e.doc_id AND a.k = 'a' JOIN r b ON b.doc_id = e.doc_id AND b.k = 'e' JOIN r x ON x.doc_id = e.doc_id AND x.k = 'x'
 """

@@ -19,6 +19,7 @@ no labelled text every prediction is ``und``; ties go to the smaller name.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -220,20 +221,20 @@ def fit(train: DataFrame, sample_chars: int = 40_000, piece: int = 1500) -> dict
     return {k: v for k, v in out.items() if v}
 
 
-_BUILT: dict[int, Automata] = {}
+_BUILT: dict[str, Automata] = {}
 
 
 def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     """doc_id, lang_pred and score of every whole text. The samples are bounded, see ``fit``."""
-    sent = docs.sparkSession.sparkContext.broadcast(samples)
+    sent, key = docs.sparkSession.sparkContext.broadcast(samples), uuid.uuid4().hex
 
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if sent.value is not None and id(sent.value) not in _BUILT:
+        if key not in _BUILT:
             _BUILT.clear()
-            _BUILT[id(sent.value)] = Automata(sent.value)
-        model = _BUILT[id(sent.value)]
+            _BUILT[key] = Automata(sent.value)
+        model = _BUILT[key]
         for b in slices(batches, "text", 3_000_000):
             langs, scores = model.score(column(b, "text"))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])

@@ -247,10 +247,12 @@ def tag(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
                 hits = np.flatnonzero(own >= 0.5) if n and spans else ()
                 if len(hits):
                     places = [m.span() for m in word_re.finditer(text)]
+                    at, chars = 0, 0  # bytes and code points so far
                     runs = np.split(hits, np.flatnonzero(np.diff(hits) > 1) + 1)
                     for r in runs:
                         lo, hi = places[r[0]][0], places[r[-1]][1]
-                        start = len(text[:lo].decode("utf-8", "replace"))
+                        chars += len(text[at:lo].decode("utf-8", "replace"))
+                        at, start = lo, chars
                         said = text[lo:hi].decode("utf-8", "replace")
                         got.append({"start": start, "end": start + len(said), "text": said, "probability": float(own[r].max())})
                 found.append(got)
@@ -262,4 +264,4 @@ def tag(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:
     """Learn from rows whose crc32(doc_id) mod 5 is not 0; score all."""
     field = fit(docs, labels.where(crc_mod("doc_id", 5) != 0), **bounds)
-    return tag(docs, field).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"))
+    return tag(docs, field).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"), "spans")
