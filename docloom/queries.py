@@ -15,7 +15,7 @@ from docloom.functions import normalize as N
 from docloom.functions import text as T
 from docloom.operators import layout, lines, merge
 from docloom.plans import rules, yaml_ops
-from docloom.sources import writers
+from docloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 _Q: dict[str, Query] = {}
@@ -66,7 +66,6 @@ _column("y04_find_after", lambda t: T.slice_after(t, "zzz", "keep"), "CASE WHEN
 _column("y05_take_before", lambda t: T.slice_before(t, "ing", "keep"), "CASE WHEN strpos(t, 'ing') > 0 THEN substr(t, 1, strpos(t, 'ing') - 1) ELSE t END")
 _column("y11_compact_ws", lambda t: T.compact_spaces(t, False), "regexp_replace(t, '[\\s\\x{a0}\\x{3000}]+', '', 'g')", *_PAD)
 _column("y11_collapse_ws", lambda t: T.compact_spaces(t, True), "trim(regexp_replace(t, '[\\s\\x{a0}\\x{3000}]+', ' ', 'g'))", *_PAD)
-_column("y12_concat", lambda t: F.concat(F.lit("<"), F.substring(t, 1, 30), F.lit(">")), "'<' || substr(t, 1, 30) || '>'")
 _column("y12_concat_whole", lambda t: F.concat(F.lit("<"), t, F.lit(">")), "'<' || t || '>'")
 _column("x01_partition_right", lambda t: T.slice_after(t, "zzz", "empty"), "CASE WHEN strpos(t, 'zzz') > 0 THEN substr(t, strpos(t, 'zzz') + 3) ELSE '' END")
 _column("x02_partition_left", lambda t: T.slice_before(t, "zzz", "keep"), "CASE WHEN strpos(t, 'zzz') > 0 THEN substr(t, 1, strpos(t, 'zzz') - 1) ELSE t END")
@@ -87,7 +86,6 @@ _column("c04_compress_spaces", T.compress_spaces, "array_to_string(list_transfor
 _column("c05_unit_spaces", T.unit_spaces, "replace(replace(replace(replace(replace(replace(t, ' 年', '年'), '年 ', '年'), ' m', 'm'), 'm ', 'm'), ' %', '%'), '% ', '%')", *_WIDE)
 _column("c06_dashes", T.dashes, "translate(t, '－—─–―', '-----')", *_WIDE)
 _column("c07_drop_footers", T.drop_footers, "array_to_string(list_filter(string_split(regexp_replace(t, '\\n$', ''), chr(10)), lambda l: NOT regexp_matches(trim(l), '^-\\s*\\d+\\s*-$')), chr(10))", *_BLANK)
-_column("c16_split_words", lambda t: F.replace(t, F.lit("th e"), F.lit("the")), "replace(t, 'th e', 'the')")
 _column("c16_common_split_words", T.common_split_words, "replace(replace(t, '入 札', '入札'), 'に ついて', 'について')", lambda t: F.concat(F.lit("入 札 入 札に ついて "), t, F.lit(" に ついて 入 札")), "'入 札 入 札に ついて ' || text || ' に ついて 入 札'")
 _column("c21_has_cjk", T.has_cjk, "true", *_WIDE)
 _column("t01_normal_markers", T.normal_markers, "'x' || chr(10) || '[[PAGE_START 3]]' || chr(10) || text || chr(10) || '[[PAGE_END]]' || chr(10)".replace("text", "t"), lambda t: F.concat(F.lit("x [[PAGE_START 3]] "), F.replace(t, F.lit("[["), F.lit("")), F.lit(" [[PAGE_END]]")), "text")
@@ -176,61 +174,127 @@ def y13_yaml_program(spark: SparkSession, d: str) -> DataFrame:
     return yaml_ops.emit_rows(_read(spark, d, "documents"), STEPS, "doc_id")
 
 
-def _conversation_files(spark: SparkSession, d: str) -> DataFrame:
+_NAMES = ["MAIN【個別_入札説明書】", "x【個別_入札説明書_別紙-4】", "【個別_入札説明書】と【個別_入札説明書_別紙-5】", "Kyoutsuusetsumeisho", "kobetsusetsumeisyo", "besshi_5", "b other", "A other"]
+
+
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    """Turns of conversations as files of projects; projects with an even number name theirs by tokens."""
     c = _read(spark, d, "conversations")
-    return c.select(F.col("conv_id").alias("project"), F.concat(F.lpad(F.col("turn").cast("string"), 4, "0"), F.lit("_"), "role").alias("file_name"), "text", "role", "turn")
+    at = F.when(F.col("conv_id") % 2 == 0, F.col("turn") % 3).otherwise(3 + F.pmod(F.col("turn") * 3 + F.col("conv_id"), F.lit(5)))
+    base = F.element_at(F.array(*map(F.lit, _NAMES)), (at + 1).cast("int"))
+    return c.select(F.col("conv_id").alias("project"), F.concat(base, F.lit("_"), (9 - F.col("turn")).cast("string"), F.lit(".txt")).alias("file_name"), F.concat("text", F.lit("\n\n")).alias("text"))
+
 
+_LIST = ", ".join(f"'{n}'" for n in _NAMES)
+_FILES = f"""c AS (SELECT conv_id AS project, list_extract([{_LIST}], CAST(CASE WHEN conv_id % 2 = 0 THEN turn % 3 ELSE 3 + (turn * 3 + conv_id) % 5 END AS INTEGER) + 1) || '_' || (9 - turn)::VARCHAR || '.txt' AS file_name, text || chr(10) || chr(10) AS text FROM conversations)"""
+_BY_TOKENS = """t AS (SELECT c.*, k.rank FROM c JOIN (VALUES ('【個別_入札説明書】', 0), ('【個別_入札説明書_別紙-4】', 1), ('【個別_入札説明書_別紙-5】', 2)) k(token, rank) ON contains(file_name, token)),
+tf AS (SELECT project, file_name, text, rank FROM t QUALIFY row_number() OVER (PARTITION BY project, rank ORDER BY lower(file_name), file_name) = 1)"""
+_BY_KIND = """h AS (SELECT c.*, unnest(CASE WHEN a OR b OR e THEN list_filter([CASE WHEN a THEN 0 END, CASE WHEN b THEN 1 END, CASE WHEN e THEN 2 END], lambda x: x IS NOT NULL) ELSE [3] END) AS rank FROM
+(SELECT *, regexp_matches(file_name, '(?i)kyoutsu|共通[ 　]*説明書|共通_?入札説明書|共通説明') AS a, regexp_matches(file_name, '(?i)kobetsusetsumei(sho|syo)') AS b, regexp_matches(file_name, '(?i)besshi[-_‐ー－–−]?[ 　]*[5５]|別紙[ 　]*[-_‐ー－–−]?[ 　]*[5５]') AS e FROM c) c),
+hf AS (SELECT project, file_name, text, rank FROM h QUALIFY rank = 3 OR row_number() OVER (PARTITION BY project, rank ORDER BY lower(file_name), file_name) = 1)"""
+_PLACE = "CAST(row_number() OVER (PARTITION BY project ORDER BY rank, lower(file_name), file_name) - 1 AS INTEGER) AS place"
+_BOTH = f"WITH {_FILES}, {_BY_TOKENS}, {_BY_KIND}, o AS (SELECT * FROM tf UNION ALL SELECT * FROM hf WHERE project NOT IN (SELECT project FROM tf)), p AS (SELECT project, file_name, text, {_PLACE} FROM o)"
 
-@_query("""WITH c AS (SELECT conv_id AS project, lpad(turn::VARCHAR, 4, '0') || '_' || role AS file_name, text, CASE WHEN contains(role, 'system') THEN 0 WHEN contains(role, 'user') THEN 1 WHEN contains(role, 'assistant') THEN 2 END AS r FROM conversations),
-n AS (SELECT *, row_number() OVER (PARTITION BY project, r ORDER BY lower(file_name), file_name) AS k FROM c WHERE r IS NOT NULL)
-SELECT project, file_name, CAST(row_number() OVER (PARTITION BY project ORDER BY r) - 1 AS INTEGER) AS place FROM n WHERE k = 1""")
+
+@_query(f"WITH {_FILES}, {_BY_TOKENS} SELECT project, file_name, {_PLACE} FROM tf")
 def m01_order_by_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return merge.order_by_tokens(_conversation_files(spark, d), ["system", "user", "assistant"]).select("project", "file_name", "place")
+    return merge.order_by_tokens(_files(spark, d), [t for t, _ in merge.TOKENS]).select("project", "file_name", "place")
+
+
+@_query(f"WITH {_FILES}, {_BY_KIND} SELECT project, file_name, {_PLACE} FROM hf")
+def m02_order_by_kind(spark: SparkSession, d: str) -> DataFrame:
+    return merge.order_by_kind(_files(spark, d)).select("project", "file_name", "place")
 
 
-@_query("""SELECT conv_id AS project, lpad(turn::VARCHAR, 4, '0') || '_' || role AS file_name, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN contains(role, 'system') THEN 0 ELSE 1 END DESC, lpad(turn::VARCHAR, 4, '0') || '_' || role DESC) - 1 AS INTEGER) AS place FROM conversations""")
+@_query(f"""WITH {_FILES}, k AS (SELECT *, CASE WHEN regexp_matches(file_name, '(?i)kyoutsu|共通') THEN 'kyoutsuu' END AS a, CASE WHEN regexp_matches(file_name, '(?i)kobetsusetsumei(sho|syo)') THEN 'kobetsusetsumeisho' END AS b, CASE WHEN regexp_matches(file_name, '(?i)besshi_5|別紙-5') THEN '別紙_besshi-5' END AS e FROM c),
+g AS (SELECT project, list(file_name ORDER BY lower(file_name), file_name) FILTER (WHERE a IS NOT NULL) AS a, list(file_name ORDER BY lower(file_name), file_name) FILTER (WHERE b IS NOT NULL) AS b, list(file_name ORDER BY lower(file_name), file_name) FILTER (WHERE e IS NOT NULL) AS e FROM k GROUP BY project),
+w AS (SELECT project, [CASE WHEN a IS NULL THEN 'Missing kyoutsuu file.' WHEN len(a) > 1 THEN 'Multiple kyoutsuu files; ignored: ' || array_to_string(a[2:], ', ') END, CASE WHEN b IS NULL THEN 'Missing kobetsusetsumeisho file.' WHEN len(b) > 1 THEN 'Multiple kobetsusetsumeisho files; ignored: ' || array_to_string(b[2:], ', ') END, CASE WHEN e IS NULL THEN 'Missing 別紙_besshi-5 file.' WHEN len(e) > 1 THEN 'Multiple 別紙_besshi-5 files; ignored: ' || array_to_string(e[2:], ', ') END] AS l FROM g)
+SELECT project, array_to_string(list_filter(l, lambda x: x IS NOT NULL), '|') AS warnings FROM w""")
+def m02_order_warnings(spark: SparkSession, d: str) -> DataFrame:
+    return merge.order_warnings(_files(spark, d)).select("project", F.array_join("warnings", "|").alias("warnings"))
+
+
+@_query(f"WITH {_FILES} SELECT project, file_name, bool_or(contains(file_name, '【個別_入札説明書】') OR contains(file_name, '【個別_入札説明書_別紙-4】') OR contains(file_name, '【個別_入札説明書_別紙-5】')) OVER (PARTITION BY project) AS regular FROM c")
+def m03_uses_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return merge.uses_tokens(_files(spark, d), [t for t, _ in merge.TOKENS]).select("project", "file_name", "regular")
+
+
+@_query(f"WITH {_FILES} SELECT project, file_name, CAST(row_number() OVER (PARTITION BY project ORDER BY CASE WHEN contains(file_name, 'sho') OR contains(file_name, '-4') THEN 0 ELSE 1 END DESC, lower(file_name) DESC, file_name DESC) - 1 AS INTEGER) AS place FROM c")
 def m05_order_preferred(spark: SparkSession, d: str) -> DataFrame:
-    return merge.order_preferred(_conversation_files(spark, d), ["system"]).select("project", "file_name", "place")
+    return merge.order_preferred(_files(spark, d), ["sho", "-4"]).select("project", "file_name", "place")
 
 
-_PART = "'=== ' || CASE place WHEN 0 THEN 'FIRST' WHEN 1 THEN 'SECOND' WHEN 2 THEN 'THIRD' ELSE 'FILE ' || (place + 1)::VARCHAR END || ' FILE START: ' || file_name || ' ===' || chr(10) || chr(10) || text"
-_ORDERED = "WITH c AS (SELECT conv_id AS project, lpad(turn::VARCHAR, 4, '0') || '_' || role AS file_name, text FROM conversations), o AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY file_name) - 1 AS place FROM c)"
+def _part(named: int) -> str:
+    label = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(merge.PLACES[:named]))
+    return f"'=== ' || CASE place {label} ELSE 'FILE ' || (place + 1)::VARCHAR END || ' FILE START: ' || file_name || ' ===' || chr(10) || chr(10) || rtrim(text, chr(10))"
 
 
-@_query(f"{_ORDERED} SELECT project, string_agg({_PART}, chr(10) || chr(10) ORDER BY place) || chr(10) || chr(10) || '=== END OF DOCUMENT ===' AS text, count(*) AS n_files FROM o GROUP BY project")
+@_query(f"{_BOTH} SELECT project, string_agg({_part(3)}, chr(10) || chr(10) ORDER BY place) || chr(10) || chr(10) || '=== END OF DOCUMENT ===' || chr(10) AS text, count(*) AS n_files FROM p GROUP BY project")
 def m04_combine_texts(spark: SparkSession, d: str) -> DataFrame:
-    return merge.combine_texts(merge.order_preferred(_conversation_files(spark, d), [], descending=False))
+    return merge.combine_projects(_files(spark, d))
 
 
-@_query(f"{_ORDERED} SELECT project, string_agg({_PART} || CASE WHEN place = 1 THEN chr(10) || chr(10) || '=== END OF DOCUMENT ===' ELSE '' END, chr(10) || chr(10) ORDER BY place) AS text, count(*) AS n_files FROM o GROUP BY project")
+@_query(f"WITH {_FILES}, p AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY CASE WHEN contains(file_name, 'sho') THEN 0 ELSE 1 END DESC, lower(file_name) DESC, file_name DESC) - 1 AS place FROM c) SELECT project, string_agg({_part(2)} || CASE WHEN place = 1 THEN chr(10) || chr(10) || '=== END OF DOCUMENT ===' ELSE '' END, chr(10) || chr(10) ORDER BY place) || chr(10) AS text, count(*) AS n_files FROM p GROUP BY project")
 def m06_combine_two(spark: SparkSession, d: str) -> DataFrame:
-    return merge.combine_texts(merge.order_preferred(_conversation_files(spark, d), [], descending=False), end_after=1)
+    return merge.combine_texts(merge.order_preferred(_files(spark, d), ["sho"]), end_after=1)
 
 
-@_query("SELECT conv_id AS project, turn, bool_or(contains(role, 'system')) OVER (PARTITION BY conv_id) AS regular FROM conversations")
-def m03_uses_tokens(spark: SparkSession, d: str) -> DataFrame:
-    f = _conversation_files(spark, d).withColumn("file_name", F.col("role"))
-    return merge.uses_tokens(f, ["system"]).select("project", "turn", "regular")
+@_query("SELECT project, file_name, text FROM (SELECT 'p' || (doc_id % 7)::VARCHAR AS project, doc_id::VARCHAR || CASE WHEN doc_id % 3 = 0 THEN '.TXT' WHEN doc_id % 3 = 1 THEN '.txt' ELSE '.csv' END AS file_name, text FROM documents) WHERE lower(file_name) LIKE '%.txt'")
+def m07_project_files(spark: SparkSession, d: str) -> DataFrame:
+    t = _read(spark, d, "documents")
+    end = F.when(F.col("doc_id") % 3 == 0, ".TXT").when(F.col("doc_id") % 3 == 1, ".txt").otherwise(".csv")
+    path = F.concat(F.lit("file:/in/p"), (F.col("doc_id") % 7).cast("string"), F.lit("/"), F.col("doc_id").cast("string"), end)
+    return readers.by_project(t.select(path.alias("path"), "text"))
 
 
-@_query("""WITH c AS (SELECT conv_id, turn, role = 'assistant' AS annex, substr(text, 1, 40) AS main, CASE WHEN turn % 2 = 0 THEN substr(text, 1, 20) ELSE '' END AS other FROM conversations)
-SELECT conv_id, CAST(min(turn) AS BIGINT) AS first_pos, count(*) AS n_rows, arg_min(main, turn + CASE WHEN annex THEN 1000000000000 ELSE 0 END) FILTER (WHERE trim(main) <> '') AS main,
-coalesce(CASE WHEN bool_or(NOT annex) THEN arg_max(other, turn) FILTER (WHERE annex AND trim(other) <> '') END, arg_min(other, turn) FILTER (WHERE trim(other) <> '')) AS other FROM c GROUP BY conv_id""")
-def m11_coalesce_rows(spark: SparkSession, d: str) -> DataFrame:
-    c = _read(spark, d, "conversations").select("conv_id", "turn", (F.col("role") == "assistant").alias("annex"), F.substring("text", 1, 40).alias("main"), F.when(F.col("turn") % 2 == 0, F.substring("text", 1, 20)).otherwise("").alias("other"))
-    return merge.coalesce_rows(c, "conv_id", "turn", "annex", ["main"], ["other"])
+_KEYED = [("①_", " 別紙-5 (x)_a.b.txt"), ("12. ", "【A 別紙 b】[c].csv"), ("", " 個別事項(個別 4)入札説明書（甲）.pdf"), ("３-", "　別紙 ５__z"), ("", "別紙4.txt")]
+_KEYS = "CASE doc_id % 5 " + " ".join(f"WHEN {i} THEN 'dir.d/{a}' || lang || '{b}'" for i, (a, b) in enumerate(_KEYED)) + " END"
+
+
+def _named(spark: SparkSession, d: str) -> DataFrame:
+    name = F.lit(None).cast("string")
+    for i, (a, b) in enumerate(_KEYED):
+        name = F.when(F.col("doc_id") % 5 == i, F.concat(F.lit(f"dir.d/{a}"), "lang", F.lit(b))).otherwise(name)
+    return _read(spark, d, "documents").select("doc_id", name.alias("name"))
+
+
+@_query(rf"""WITH n AS (SELECT doc_id, regexp_replace(regexp_replace({_KEYS}, '^.*/', ''), '^(.+)\.[^.]+$', '\1') AS s FROM documents),
+b AS (SELECT doc_id, regexp_replace(regexp_replace(s, '^[①-⑳0-9０-９]+[._-]?[ 　]*', ''), '【[^】]*(入札説明書|別紙|個別)[^】]*】|\[[^\]]*(入札説明書|別紙|個別)[^\]]*\]|（[^）]*(入札説明書|別紙|個別)[^）]*）|\([^)]*(入札説明書|別紙|個別)[^)]*\)', ' ', 'g') AS s FROM n),
+w AS (SELECT doc_id, replace(replace(replace(regexp_replace(s, '別紙[ 　]*[-‐ー－–−]?[ 　]*5|別紙[ 　]*５', ' ', 'g'), '入札説明書', ' '), '個別事項', ' '), '個別', ' ') AS s FROM b)
+SELECT doc_id, trim(regexp_replace(translate(s, '【】[]()（）_', '         '), '[ 　]+', ' ', 'g')) AS out FROM w""")
+def m08_name_key(spark: SparkSession, d: str) -> DataFrame:
+    return _named(spark, d).select("doc_id", merge.name_key(F.col("name")).alias("out"))
+
 
+@_query(f"SELECT doc_id, regexp_matches({_KEYS}, '別紙[ 　]*[-‐ー－–−]?[ 　]*5|別紙[ 　]*５') AS out FROM documents")
+def m09_is_annex(spark: SparkSession, d: str) -> DataFrame:
+    return _named(spark, d).select("doc_id", merge.is_annex(F.col("name")).alias("out"))
 
-@_query("""WITH c AS (SELECT conv_id, turn, role, role = 'assistant' AS annex, text FROM conversations)
-SELECT conv_id, CAST(min(turn) AS BIGINT) AS first_pos, count(*) AS n_rows, arg_min(text, turn + CASE WHEN annex THEN 1000000000000 ELSE 0 END) FILTER (WHERE trim(text) <> '') AS main,
-coalesce(CASE WHEN bool_or(NOT annex) THEN arg_max(text, turn) FILTER (WHERE annex AND trim(text) <> '') END, arg_min(text, turn) FILTER (WHERE trim(text) <> '')) AS other,
-coalesce(CASE WHEN bool_or(NOT annex) THEN arg_max(role, turn) FILTER (WHERE annex AND trim(role) <> '') END, arg_min(role, turn) FILTER (WHERE trim(role) <> '')) AS role FROM c GROUP BY conv_id""")
-def m11_coalesce_whole_rows(spark: SparkSession, d: str) -> DataFrame:
-    """The rows of a conversation as one, of whole texts and all turns."""
-    c = _read(spark, d, "conversations").select("conv_id", "turn", (F.col("role") == "assistant").alias("annex"), F.col("text").alias("main"), F.col("text").alias("other"), "role")
+
+@_query("""WITH c AS (SELECT conv_id, turn, role, role = 'assistant' AS annex, CASE WHEN role = 'system' THEN ' ' || chr(12288) ELSE text END AS text FROM conversations),
+b AS (SELECT conv_id, coalesce(min(turn) FILTER (WHERE NOT annex), min(turn)) AS base, bool_or(NOT annex) AS main FROM c GROUP BY conv_id),
+v AS (SELECT *, trim(text, ' ' || chr(12288)) <> '' AS has FROM c)
+SELECT v.conv_id, CAST(min(turn) AS BIGINT) AS first_pos, count(*) AS n_rows, coalesce(max(text) FILTER (WHERE turn = base AND has), arg_min(text, turn) FILTER (WHERE has), '') AS main,
+coalesce(CASE WHEN any_value(b.main) THEN arg_max(text, turn) FILTER (WHERE annex AND has) END, max(text) FILTER (WHERE turn = base AND has), arg_min(text, turn) FILTER (WHERE has), '') AS other,
+coalesce(CASE WHEN any_value(b.main) THEN arg_max(role, turn) FILTER (WHERE annex) END, max(role) FILTER (WHERE turn = base)) AS role FROM v JOIN b ON v.conv_id = b.conv_id GROUP BY v.conv_id""")
+def m11_coalesce_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a conversation as one; the texts of its system turns count as empty."""
+    c = _read(spark, d, "conversations").withColumn("text", F.when(F.col("role") == "system", " \u3000").otherwise(F.col("text")))
+    c = c.select("conv_id", "turn", (F.col("role") == "assistant").alias("annex"), F.col("text").alias("main"), F.col("text").alias("other"), "role")
     return merge.coalesce_rows(c, "conv_id", "turn", "annex", ["main"], ["other", "role"])
 
 
+@_query("""WITH n AS (SELECT doc_id AS pos, 'f' || (doc_id % 9)::VARCHAR || CASE WHEN doc_id % 2 = 0 THEN ' 別紙-5.txt' ELSE '.txt' END AS name, source, text, doc_id % 2 = 0 AS annex FROM documents)
+SELECT 'f' || (pos % 9)::VARCHAR AS norm_key, min(pos) AS first_pos, count(*) AS n_rows, arg_min(name, pos + CASE WHEN annex THEN 1000000000000 ELSE 0 END) AS "file name", arg_min(source, pos + CASE WHEN annex THEN 1000000000000 ELSE 0 END) AS source,
+CASE WHEN bool_or(NOT annex) AND bool_or(annex) THEN arg_max(text, pos) FILTER (WHERE annex) ELSE arg_min(text, pos) END AS text FROM n GROUP BY ALL""")
+def m10_merge_summary(spark: SparkSession, d: str) -> DataFrame:
+    name = F.concat(F.lit("f"), (F.col("doc_id") % 9).cast("string"), F.when(F.col("doc_id") % 2 == 0, " 別紙-5.txt").otherwise(".txt"))
+    return merge.merge_summary(_read(spark, d, "documents").select(name.alias("file name"), F.col("doc_id").alias("pos"), "source", "text"), prefer_main=("source",))
+
+
+_column("m12_has_value", lambda t: merge.has_value(t), "trim(t, ' ' || chr(9) || chr(10) || chr(12288)) <> ''", lambda t: F.when(F.length(t) % 3 == 0, F.lit(" \t\u3000\n")).otherwise(t), "CASE WHEN length(text) % 3 = 0 THEN ' ' || chr(9) || chr(12288) || chr(10) ELSE text END")
+
+
 @_query("SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text <> '')")
 def l00_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.lines(_read(spark, d, "documents"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Suffixes of binary documents and the library each needs.
@@ -14,10 +14,19 @@ BINARY = {"pdf": "fitz", "docx": "docx", "xlsx": "openpyxl", "xls": "xlrd"}
 def read_texts(spark: SparkSession, path: str, suffix: str = "txt") -> DataFrame:
     """(path, file_name, rel_dir, text) of whole text files under a folder."""
     d = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*.[{suffix[0].lower()}{suffix[0].upper()}]*").withColumn("path", F.input_file_name())
-    name = F.element_at(F.split("path", "/"), -1)
-    root = path.rstrip("/").split("/")[-1]
-    d = d.where(F.lower(name).endswith("." + suffix))
-    return d.select("path", name.alias("file_name"), F.regexp_extract("path", f"/{root}/(?:(.*)/)?[^/]*$", 1).alias("rel_dir"), F.regexp_replace("value", r"\A\x{feff}", "").alias("text"))
+    d = d.where(F.lower(_name()).endswith("." + suffix))
+    root = "/" + path.rstrip("/").split("/")[-1] + "/"
+    inside = F.substring("path", F.instr("path", F.lit(root)) + len(root), F.length("path"))
+    return d.select("path", _name().alias("file_name"), F.regexp_replace(inside, "/?[^/]*$", "").alias("rel_dir"), F.regexp_replace("value", r"\A\x{feff}", "").alias("text"))
+
+
+def _name() -> Column:
+    return F.element_at(F.split("path", "/"), -1)
+
+
+def by_project(texts: DataFrame) -> DataFrame:
+    """(project, file_name, text) of the text files: a project is a file's folder."""
+    return texts.select(F.element_at(F.split("path", "/"), -2).alias("project"), _name().alias("file_name"), "text").where(F.lower("file_name").endswith(".txt"))
 
 
 def find_documents(spark: SparkSession, path: str) -> DataFrame:
