@@ -30,7 +30,7 @@ def widen(t: str) -> str:
 
 
 # Replaced after compatibility normalisation.
-AFTER_NFKC = {"・": "･", "〜": "~", "～": "~", "“": '"', "”": '"', "‘": "'", "’": "'"}
+AFTER_NFKC = {"・": "･", "〜": "~"}
 
 
 def narrow(t: str) -> str:

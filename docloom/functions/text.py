@@ -151,9 +151,14 @@ def full_width(t: Column) -> Column:
     return F.translate(t, src, "　" + "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)))
 
 
+#: What Unicode holds to be a digit, superscripts and circled ones among them.
+DIGIT = "[" + "".join(f"\\x{{{i:x}}}" for i in range(0x110000) if chr(i).isdigit()) + "]"
+
+
 def is_footer(line: Column) -> Column:
+    """Short lines that hold only a page number, in dashes, as a sheet or a page."""
     x = strip_u(line)
-    return (F.length(x) <= 12) & x.rlike(r"^(?:-\s*\d+\s*-|第\s*\d+\s*頁|(?i:page)\s*\d+)$")
+    return (F.length(x) <= 12) & x.rlike(rf"^(?:-[- ]*{WS}*{DIGIT}+{WS}*[- ]*-|第{DIGIT}+頁|(?i:page )(?:(?i:page )|{WS})*{DIGIT}(?:{DIGIT}|(?i:page ))*)\z")
 
 
 def drop_footers(t: Column) -> Column:
@@ -166,13 +171,14 @@ def drop_page_digits(t: Column) -> Column:
 
 
 def has_cjk(t: Column) -> Column:
-    return t.rlike(r"[\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{ff66}-\x{ff9f}々〆ヶ]")
+    return t.rlike(r"[\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{ff66}-\x{ff9d}々〆ヶ]")
 
 
-def normal_markers(t: Column) -> Column:
-    """Every page and table marker on a line of its own."""
-    own = F.regexp_replace(t, r"[ \t]*\n?[ \t]*(\[\[(?:PAGE|TABLE)_(?:START[^\]]*|END)\]\])[ \t]*\n?", "\n$1\n")
-    return F.regexp_replace(F.regexp_replace(own, r"\n{2,}(?=\[\[)", "\n"), r"\A\n", "")
+def is_label(line: Column) -> Column:
+    """Whether a list item is a short label for a value to come."""
+    # What labels end with.
+    core = F.regexp_replace(strip_u(line), rf"^(?:[0-9０-９IVXivx一二三四五六七八九十①-⑳()（）.]|{WS})+", "")
+    return (F.length(core) > 0) & (F.length(core) <= 12) & core.rlike("(?:日|等|名|場所|内容|概要|期|期間|方法|方式|金額)$")
 
 
 def common_split_words(t: Column) -> Column:
@@ -198,15 +204,49 @@ def join_cells(cells: Column) -> Column:
 
 
 def estimated_columns(rows: Column) -> Column:
-    return F.get(F.filter(F.transform(rows, lambda r: F.size(F.split(r, r"\|", -1))), lambda n: n > 1), F.lit(0))
+    """Cells of the first row that has more than one; bars at its edges don't count. Null if there is none."""
+    bare = F.transform(rows, lambda r: F.regexp_replace(strip_u(r), r"^\|+|\|+$", ""))
+    return F.get(F.filter(F.transform(bare, lambda r: F.size(F.split(r, r"\|", -1))), lambda n: n > 1), F.lit(0))
 
 
 def columns_compatible(a: Column, b: Column) -> Column:
-    d = F.abs(a - b)
-    return a.isNull() | b.isNull() | (d == 0) | ((d <= 2) & (d / F.least(a, b) <= 0.25))
+    d, least = F.abs(a - b), F.least(a, b)
+    return a.isNull() | b.isNull() | (d <= 2) | ((least > 0) & (4 * d <= least))
+
+
+def sanitize_cell(t: Column) -> Column:
+    """Cell text with single blanks; null is empty."""
+    return compact_spaces(F.coalesce(t.cast("string"), F.lit("")))
+
+
+def table_block(rows: Column, label: Column, n_rows: Column, n_cols: Column) -> Column:
+    """A table as a text block. rows: array of arrays of cells."""
+    body = F.array_join(F.transform(rows, lambda r: F.array_join(F.transform(r, sanitize_cell), " | ")), "\n")
+    head = F.concat(F.lit("[[TABLE_START "), label, F.lit(" rows="), n_rows.cast("string"), F.lit(" cols="), n_cols.cast("string"), F.lit("]]\n"))
+    return F.concat(head, F.when(body != "", F.concat(body, F.lit("\n"))).otherwise(F.lit("")), F.lit("[[TABLE_END]]\n\n"))
+
+
+def occurrences(t: Column, pattern: str) -> Column:
+    """Array of structs (start, end), from 0, of the matches of a regular expression without groups, left to right."""
+    parts, found = F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+    sizes = F.zip_with(parts, found, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("size")))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["gap"]
+        end = start + F.coalesce(x["size"], F.lit(0))
+        more = F.when(x["size"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end")))))
+        return F.struct(end.alias("at"), more.alias("out"))
+
+    return F.aggregate(sizes, zero, step)["out"]
+
+
+def ranked_matches(t: Column, literals: list[str]) -> Column:
+    """Array of structs (at, item) of the items that occur, by the place of their first occurrence; ties in the order listed."""
+    hits = [F.when(F.instr(t, x) > 0, F.struct((F.instr(t, x) - 1).alias("at"), F.lit(i).alias("item"))) for i, x in enumerate(literals)]
+    return F.array_sort(F.array_compact(F.array(*hits)))
 
 
-def ignorable(lines: Column) -> Column:
-    """Only blank or digit lines, or fewer than three short ones."""
-    text = F.filter(lines, lambda x: strip_u(x) != "")
-    return F.forall(text, lambda x: strip_u(x).rlike(r"^\p{Nd}+$")) | ((F.size(text) < 3) & F.forall(text, lambda x: F.length(x) <= 5))
+def has_word(t: Column, word: str) -> Column:
+    """Whether a word stands in the text with no letter, digit or underscore at its sides."""
+    return t.rlike(rf"(?<![\p{{L}}\p{{N}}_]){quoted(word)}(?![\p{{L}}\p{{N}}_])")

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.functions import text as T
+
 
-def lines_in_tables(lines: DataFrame, tables: DataFrame, shrink: float = 0.25) -> DataFrame:
-    """Lines whose centre lies in a table's box, its bottom drawn in by a part of a row. Joins on page, then on boxes."""
+def lines_in_tables(lines: DataFrame, tables: DataFrame, shrink: float = 0.25, pad: float = 1.0) -> DataFrame:
+    """Lines whose centre lies in a table's padded box, its bottom drawn in by a part of a row's height (height over rows). Joins on page, then on boxes."""
     t = tables.select("path", "page_no", "table_no", *[F.col(c).alias(f"t_{c}") for c in ("x0", "y0", "x1", "y1")], "row_count")
     cx, cy = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
-    bottom = F.col("t_y1") - shrink * (F.col("t_y1") - F.col("t_y0")) / F.greatest(F.col("row_count"), F.lit(1))
-    return lines.join(t, ["path", "page_no"]).where((cx >= F.col("t_x0")) & (cx <= F.col("t_x1")) & (cy >= F.col("t_y0")) & (cy <= bottom)).select(*lines.columns, "table_no")
+    bottom = F.col("t_y1") - F.when(F.col("row_count") > 0, shrink * (F.col("t_y1") - F.col("t_y0")) / F.col("row_count")).otherwise(F.lit(0.0))
+    inside = cx.between(F.col("t_x0") - pad, F.col("t_x1") + pad) & cy.between(F.col("t_y0") - pad, bottom + pad)
+    return lines.join(t, ["path", "page_no"]).where(inside).select(*lines.columns, "table_no")
 
 
 def outside_tables(chars: DataFrame, tables: DataFrame, pad: float = 1.0) -> DataFrame:
@@ -32,30 +38,114 @@ def reading_order(items: DataFrame) -> DataFrame:
 
 
 def join_spans(spans: DataFrame, gap: float = 1.5) -> DataFrame:
-    """Text of each line; a blank where two Latin spans stand apart."""
-    w = Window.partitionBy("path", "page_no", "block_no", "line_no").orderBy("span_no")
+    """Text of each line, its spans in reading order; a blank where two that meet in Latin letters or digits stand apart. Empty spans count for nothing."""
+    line = ["path", "page_no", "block_no", "line_no"]
+    w = Window.partitionBy(*line).orderBy("y0", "x0", "x1", "y1")
+    d = spans.where("text <> ''")
     latin = F.col("text").rlike("^[A-Za-z0-9]") & F.lag("text").over(w).rlike("[A-Za-z0-9]$")
     apart = F.coalesce(latin & (F.col("x0") - F.lag("x1").over(w) > gap), F.lit(False))
-    d = spans.withColumn("piece", F.concat(F.when(apart, F.lit(" ")).otherwise(F.lit("")), F.col("text")))
-    rows = F.array_sort(F.collect_list(F.struct("span_no", "piece")))
-    return d.groupBy("path", "page_no", "block_no", "line_no").agg(F.array_join(F.transform(rows, lambda x: x["piece"]), "").alias("text"))
+    d = d.withColumns({"_piece": F.concat(F.when(apart, F.lit(" ")).otherwise(F.lit("")), F.col("text")), "_at": F.row_number().over(w)})
+    return d.groupBy(*line).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_piece"))), lambda x: x["_piece"]), "").alias("text"))
 
 
 def column_split(lines: DataFrame, by: list[str], least_lines: int = 30, least_gap: float = 90.0) -> DataFrame:
-    """The x between two columns: the widest gap of line starts in the middle of the page, if wide enough."""
+    """The x between two columns of a page: the middle of the widest gap of its sorted line starts (the first of equals).
+
+    Pages with too few lines, a gap too narrow, or one not in the middle 20 to 80 % of the lines have none.
+    """
     w = Window.partitionBy(*by).orderBy("x0")
-    d = lines.withColumn("nxt", F.lead("x0").over(w)).withColumn("gap", F.col("nxt") - F.col("x0"))
-    page = Window.partitionBy(*by)
-    d = d.withColumns({"lo": F.min("x0").over(page), "hi": F.max("x1").over(page), "n": F.count("*").over(page)})
-    mid = (F.col("x0") + F.col("nxt")) / 2
-    ok = (mid >= F.col("lo") + 0.2 * (F.col("hi") - F.col("lo"))) & (mid <= F.col("lo") + 0.8 * (F.col("hi") - F.col("lo"))) & (F.col("gap") > least_gap) & (F.col("n") >= least_lines)
-    return d.where(ok).groupBy(*by).agg(F.max_by(mid, "gap").alias("split_x"))
+    d = lines.withColumns({"_next": F.lead("x0").over(w), "_rank": F.row_number().over(w), "_n": F.count("*").over(Window.partitionBy(*by))})
+    d = d.withColumn("_gap", F.col("_next") - F.col("x0")).where("_gap IS NOT NULL")
+    best = d.groupBy(*by).agg(F.max_by(F.struct((((F.col("x0") + F.col("_next")) / 2)).alias("x"), "_gap", "_rank", "_n"), F.struct(F.col("_gap"), -F.col("_rank"))).alias("b"))
+    ok = (F.col("b._n") >= least_lines) & (F.col("b._gap") > least_gap) & (F.col("b._rank") >= 0.2 * F.col("b._n")) & (F.col("b._rank") <= 0.8 * F.col("b._n"))
+    return best.where(ok).select(*by, F.col("b.x").alias("split_x"))
+
+
+# Lines that hold only a list marker.
+MARKER = r"^[\s\x{3000}]*(?:[ア-ン]|[A-Z]|[a-z]|[0-9]+|[①-⑳])[\s\x{3000}]*$"
+
+
+def _items(lines: DataFrame, out: str) -> DataFrame:
+    """The lines of each page as one array of structs, in order."""
+    item = F.struct(F.col("place"), F.col("text"), *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1", "size")])
+    return lines.groupBy("path", "page_no").agg(F.array_sort(F.collect_list(item)).alias(out))
+
+
+def _lines(df: DataFrame, items: Column) -> DataFrame:
+    return df.select("path", "page_no", F.posexplode(items).alias("place", "i")).select("path", "page_no", "place", *[f"i.{c}" for c in ("text", "x0", "y0", "x1", "y1", "size")])
 
 
 def merge_markers(lines: DataFrame) -> DataFrame:
-    """A line that holds only a list marker joins the next line."""
-    w = Window.partitionBy("path", "page_no").orderBy("place")
-    only = F.col("text").rlike(r"^\s*(?:[0-9０-９]+[.．)）]|[(（][0-9０-９]+[)）]|[①-⑳・※])\s*$")
-    d = lines.withColumns({"_only": only, "_prev": F.lag("text").over(w), "_after": F.coalesce(F.lag(only).over(w), F.lit(False)), "_last": F.lead("text").over(w).isNull()})
-    d = d.withColumn("text", F.when(F.col("_after") & ~F.col("_only"), F.concat(F.trim("_prev"), F.lit(" "), F.trim("text"))).otherwise(F.col("text")))
-    return d.where(~F.col("_only") | F.col("_last")).drop("_only", "_prev", "_after", "_last")
+    """A line that holds only a list marker joins the next line, unless that is blank; boxes are joined, the larger size counts."""
+    start = F.struct(F.array().cast("array<struct<place:int,text:string,x0:double,y0:double,x1:double,y1:double,size:double>>").alias("out"), F.lit(False).alias("open"))
+
+    def step(acc: Column, x: Column) -> Column:
+        last = F.element_at(acc["out"], -1)
+        joined = F.struct(
+            last["place"].alias("place"), F.concat(T.strip_u(last["text"]), F.lit(" "), F.regexp_replace(x["text"], f"^{T.WS}+", "")).alias("text"), F.least(last["x0"], x["x0"]).alias("x0"), F.least(last["y0"], x["y0"]).alias("y0"),
+            F.greatest(last["x1"], x["x1"]).alias("x1"), F.greatest(last["y1"], x["y1"]).alias("y1"), F.greatest(last["size"], x["size"]).alias("size"),
+        )
+        takes = acc["open"] & (T.strip_u(x["text"]) != "")
+        return F.when(takes, F.struct(F.concat(F.slice(acc["out"], 1, F.greatest(F.size(acc["out"]) - 1, F.lit(0))), F.array(joined)).alias("out"), F.lit(False).alias("open"))).otherwise(
+            F.struct(F.concat(acc["out"], F.array(x)).alias("out"), x["text"].rlike(MARKER).alias("open"))
+        )
+
+    typed = F.transform("items", lambda x: F.struct(x["place"].cast("int").alias("place"), *[x[c].alias(c) for c in ("text", "x0", "y0", "x1", "y1", "size")]))
+    folded = F.when(F.size("items") > 0, F.aggregate(typed, start, step)["out"])
+    return _lines(_items(lines, "items"), folded)
+
+
+def glyph_runs(rows: list[dict], least: int = 3, across: float = 2.0, down: float = 6.0) -> list[dict]:
+    """Lines of one CJK character that follow one another on a row or in a column become one line, if they are ``least`` or more; rows go before columns."""
+    single = [len(r["text"].strip()) == 1 and bool(re.match("[\u4e00-\u9fff\u3000-\u30ff]", r["text"].strip())) for r in rows]
+    mid = [((r["x0"] + r["x1"]) / 2, (r["y0"] + r["y1"]) / 2) for r in rows]
+
+    def end(i: int, along: int, off: float) -> int:
+        j = i + 1
+        while j < len(rows) and single[j] and abs(mid[j][1 - along] - mid[i][1 - along]) <= off and mid[j][along] > mid[j - 1][along]:
+            j += 1
+        return j
+
+    out, i = [], 0
+    while i < len(rows):
+        j = max(end(i, 0, across), end(i, 1, down)) if single[i] else i + 1
+        run = rows[i:j] if j - i >= least else rows[i : i + 1]
+        if len(run) > 1:
+            box = {c: f(r[c] for r in run) for c, f in (("x0", min), ("y0", min), ("x1", max), ("y1", max))}
+            out.append({**run[0], **box, "text": "".join(r["text"].strip() for r in run)})
+        else:
+            out += run
+        i += len(run)
+    return out
+
+
+def merge_glyph_runs(lines: DataFrame) -> DataFrame:
+    """``glyph_runs`` of every page."""
+    kind = "array<struct<place:int,text:string,x0:double,y0:double,x1:double,y1:double,size:double>>"
+
+    @F.arrow_udf(kind)
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.array([glyph_runs(p or []) for p in pages.to_pylist()], pages.type)
+
+    items = _items(lines.withColumn("place", F.col("place").cast("int")), "items")
+    return _lines(items, run(F.col("items")))
+
+
+def line_clusters(chars: list[dict], tolerance: float = 3.0) -> list[list[dict]]:
+    """Characters from the top, each on the line whose mean middle height is within the tolerance, else on a new one."""
+    out: list[list[dict]] = []
+    mean = 0.0
+    for c in sorted(chars, key=lambda c: ((c["y0"] + c["y1"]) / 2, c["x0"])):
+        y = (c["y0"] + c["y1"]) / 2
+        if out and abs(y - mean) <= tolerance:
+            out[-1].append(c)
+            mean += (y - mean) / len(out[-1])
+        else:
+            out.append([c])
+            mean = y
+    return [sorted(x, key=lambda c: c["x0"]) for x in out]
+
+
+def page_text(df: DataFrame, text: str = "text", plain: str = "plain") -> DataFrame:
+    """Where a page's own text is blank, its plain text."""
+    return df.withColumn(text, F.when(T.strip_u(F.coalesce(F.col(text), F.lit(""))) == "", F.col(plain)).otherwise(F.col(text)))

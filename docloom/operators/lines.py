@@ -32,29 +32,6 @@ def _near(df: DataFrame, id_col: str) -> DataFrame:
     })
 
 
-def without_page_digits(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Lines of up to three digits go where the last text was a page start, or the next is a page end or a table; not in tables."""
-    stray = T.strip_u(F.col("line")).rlike(r"^[\p{Nd}\p{No}]{1,3}$") & ~F.col("in_table")
-    near = F.coalesce(F.col("before").startswith("[[PAGE_START"), F.lit(False)) | F.coalesce(F.col("after").startswith("[[PAGE_END") | F.col("after").startswith("[[TABLE_START"), F.lit(False))
-    return _near(df, id_col).where(~(stray & near)).select(*df.columns)
-
-
-# Words that begin the annexes of a document.
-END_HEADINGS = ("別表", "様式", "仕様書", "参考資料", "添付", "別紙")
-
-
-def cut_at_end_heading(df: DataFrame, id_col: str = "doc_id", headings: tuple[str, ...] = END_HEADINGS) -> DataFrame:
-    """Lines before the first text after a page start that begins an annex and is no sentence."""
-    x = T.strip_u(F.col("line"))
-    starts = F.lit(False)
-    for h in headings:
-        starts = starts | x.startswith(h)
-    first = F.coalesce(F.col("before").startswith("[[PAGE_START"), F.lit(False))
-    hit = F.when(first & starts & ~x.rlike("[。、]"), F.col("line_no"))
-    marked = _near(df, id_col).withColumn("cut", F.min(hit).over(Window.partitionBy(id_col)))
-    return marked.where("cut IS NULL OR line_no < cut").select(*df.columns)
-
-
 def segments(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, seg_no, type, lines): runs of text and table lines."""
     kind = F.when(F.col("in_table"), "table").otherwise("text")

@@ -50,18 +50,18 @@ def strip_comment(line: str) -> str:
 
 
 def parse(script: str) -> list[Node]:
-    """The tree of a program by indentation; tabs count four blanks."""
+    """The tree of a program by indentation; tabs go to the next fourth column."""
     roots: list[Node] = []
     open_: list[Node] = []
     for raw in script.lstrip("﻿").splitlines():
-        line = strip_comment(raw.lstrip("﻿").replace("\t", "    ")).rstrip()
+        line = strip_comment(raw.lstrip("﻿")).rstrip().expandtabs(4)
         if not line.strip():
             continue
-        indent, body = len(line) - len(line.lstrip()), line.strip()
+        indent, body = len(line) - len(line.lstrip(" ")), re.sub(r"^seach\b", "search", line.strip())
         if call := _CALL.match(body):
             node = Node("command", call[1], call[2], indent)
         elif body.endswith(":"):
-            node = Node("block" if indent else "var", body[:-1].strip().replace("seach", "search"), None, indent)
+            node = Node("block" if indent else "var", body[:-1].strip(), None, indent)
         elif ":" in body:
             key, _, value = body.partition(":")
             node = Node("kv", key.strip().replace("seach", "search"), value.strip(), indent)
@@ -93,7 +93,7 @@ def split_list(text: str) -> list[str]:
         else:
             now += c
         i += 1
-    return [x for x in [*items, now.strip()] if x or items] if text.strip() else []
+    return [*items, *([now.strip()] if now.strip() else [])]
 
 
 def split_args(text: str, most: int) -> list[str]:

@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom import sql
+from docloom.functions import cleaner, tables
 from docloom.functions import normalize as N
 from docloom.functions import text as T
+from docloom.functions.folds import outside_tables, per_text
 from docloom.operators import layout, lines, merge
 from docloom.plans import rules, yaml_ops
 from docloom.sources import readers, writers
@@ -79,17 +82,12 @@ _full = "　" + "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
 _column("n01_full_width", T.full_width, f"translate(t, '{_ascii}', '{_full}')")
 _column("n01_full_width_kana", N.to_fullwidth, None, lambda t: F.concat(F.lit("ｶﾞ ｱ"), t))
 _column("n03_circled", N.circle, f"'④ ⓪ ((51)) ㊿ ' || text".replace("text", "t"), lambda t: F.concat(F.lit("((4)) （（０）） ((51)) ((50)) "), t), "text")
-_column("c01_roman_numerals", T.roman_numerals, "replace(replace(t, 'Ⅳ', 'IV'), 'Ⅻ', 'XII')", *_WIDE)
 _column("c02_half_width", N.to_halfwidth, None, lambda t: F.concat(F.lit("①Ａ１・"), t))
 _column("c03_ideographic_space", lambda t: F.replace(t, F.lit("　"), F.lit(" ")), "replace(t, chr(12288), ' ')", *_PAD)
 _column("c04_compress_spaces", T.compress_spaces, "array_to_string(list_transform(string_split(regexp_replace(t, '\\n$', ''), chr(10)), lambda l: trim(regexp_replace(l, '\\s+', ' ', 'g'))), chr(10))", *_BLANK)
 _column("c05_unit_spaces", T.unit_spaces, "replace(replace(replace(replace(replace(replace(t, ' 年', '年'), '年 ', '年'), ' m', 'm'), 'm ', 'm'), ' %', '%'), '% ', '%')", *_WIDE)
 _column("c06_dashes", T.dashes, "translate(t, '－—─–―', '-----')", *_WIDE)
-_column("c07_drop_footers", T.drop_footers, "array_to_string(list_filter(string_split(regexp_replace(t, '\\n$', ''), chr(10)), lambda l: NOT regexp_matches(trim(l), '^-\\s*\\d+\\s*-$')), chr(10))", *_BLANK)
 _column("c16_common_split_words", T.common_split_words, "replace(replace(t, '入 札', '入札'), 'に ついて', 'について')", lambda t: F.concat(F.lit("入 札 入 札に ついて "), t, F.lit(" に ついて 入 札")), "'入 札 入 札に ついて ' || text || ' に ついて 入 札'")
-_column("c21_has_cjk", T.has_cjk, "true", *_WIDE)
-_column("t01_normal_markers", T.normal_markers, "'x' || chr(10) || '[[PAGE_START 3]]' || chr(10) || text || chr(10) || '[[PAGE_END]]' || chr(10)".replace("text", "t"), lambda t: F.concat(F.lit("x [[PAGE_START 3]] "), F.replace(t, F.lit("[["), F.lit("")), F.lit(" [[PAGE_END]]")), "text")
-_column("t03_table_meta", lambda t: T.table_meta(t)["rows"], "'2'", *_TABLE)
 _column("t13_split_cells", lambda t: T.join_cells(T.split_cells(F.concat(t, F.lit("| x |")))), "array_to_string(list_transform(string_split(t || '| x |', '|'), lambda c: regexp_replace(c, '^\\s+|\\s+$', '', 'g')), ' | ')")
 _column("t14_page_digits", T.drop_page_digits, "regexp_replace(regexp_replace(t, '- \\d{0,3} -', '', 'g'), '\\n', '', 'g')", *_BLANK)
 
@@ -154,23 +152,45 @@ def q30_rule_program(spark: SparkSession, d: str) -> DataFrame:
 
 
 STEPS = [
+    {"op": "print_file_info"},
     {"op": "contains", "phrase": "the", "in": "first_n", "n": 20, "set": "early"},
+    {"op": "contains", "phrase": "de", "in": "first_n", "n": 0, "set": "any"},
     {"op": "find_after", "pattern": ". "},
     {"op": "take_before", "pattern": ". "},
+    {"op": "take_before", "pattern": "zzz", "into": "never"},
     {"op": "copy", "as": "b"},
     {"op": "compact_ws"},
-    {"op": "set_var", "name": "v"},
+    {"op": "set_var", "name": "v", "from_text": True},
+    {"op": "set_var", "name": "none"},
     {"op": "restore", "from": "b"},
-    {"op": "if_var", "var": "early", "truthy": True, "then": [{"op": "emit", "key": "early", "literal": "yes"}], "else": [{"op": "emit", "key": "early", "literal": "no"}]},
+    {"op": "restore", "from": "unknown"},
+    {"op": "set_var", "name": "w", "literal": " \u3000x y "},
+    {"op": "strip", "var": "w"},
+    {"op": "strip", "var": "unknown"},
+    {"op": "concat", "target": "c", "prefix": "<", "from_var": "w", "suffix": ">"},
+    {"op": "concat", "target": "empty", "from_var": "unknown"},
+    {"op": "unknown op"},
+    {
+        "op": "if_var", "var": "early", "truthy": True,
+        "then": [{"op": "emit", "key": "early", "literal": "yes"}, {"op": "set_text", "from_var": "c", "literal": "not this"}],
+        "else": [{"op": "emit", "key": "early", "from_var": "early", "literal": "no"}, {"op": "if_var", "var": "any", "equals": True, "then": [{"op": "set_text", "literal": "any"}]}],
+    },
+    {"op": "if_var", "var": "none", "then": [{"op": "emit", "key": "wrong"}], "else": [{"op": "emit", "from_var": "none"}]},
+    {"op": "if_var", "var": "empty", "falsy": True, "then": [{"op": "emit", "key": "nothing"}]},
+    {"op": "if_var", "var": "w", "not_equals": "x y", "then": [{"op": "emit", "key": "wrong"}]},
     {"op": "emit", "key": "compact", "from_var": "v"},
-]
+    {"op": "set_var", "name": "t", "from_text": True},
+    {"op": "emit", "key": "text", "from_var": "t"},
+    {"op": "len_print"},
+]
 
 
 @_query("""WITH d AS (SELECT doc_id, text, CASE WHEN strpos(text, '. ') > 0 THEN substr(text, strpos(text, '. ') + 2) ELSE text END AS r FROM documents),
-e AS (SELECT *, CASE WHEN strpos(r, '. ') > 0 THEN substr(r, 1, strpos(r, '. ') - 1) ELSE r END AS s FROM d)
-SELECT doc_id, 0::INTEGER AS seq, 'early' AS key, CASE WHEN contains(substr(text, 1, 20), 'the') THEN 'yes' ELSE 'no' END AS value FROM e
-UNION ALL SELECT doc_id, 1::INTEGER, 'compact', regexp_replace(s, '\\s+', '', 'g') FROM e""")
+e AS (SELECT *, CASE WHEN strpos(r, '. ') > 0 THEN substr(r, 1, strpos(r, '. ') - 1) ELSE r END AS s, contains(substr(text, 1, 20), 'the') AS early FROM d)
+SELECT doc_id, CAST(unnest([0, 1, 2, 3, 4]) AS INTEGER) AS seq, unnest(['early', 'output', 'nothing', 'compact', 'text']) AS key,
+unnest([CASE WHEN early THEN 'yes' ELSE 'False' END, 'None', '', regexp_replace(s, '\\s+', '', 'g'), CASE WHEN early THEN '<x y>' WHEN contains(text, 'de') THEN 'any' ELSE s END]) AS value FROM e""")
 def y13_yaml_program(spark: SparkSession, d: str) -> DataFrame:
+    """A program of all operations over every document, as columns."""
     return yaml_ops.emit_rows(_read(spark, d, "documents"), STEPS, "doc_id")
 
 
@@ -305,14 +325,69 @@ def _marked(spark: SparkSession, d: str) -> DataFrame:
     return lines.lines(_read(spark, d, "documents").select("doc_id", t.alias("text")))
 
 
-@_query("SELECT doc_id, '[[PAGE_START 1]]' || chr(10) || chr(10) || text || chr(10) || '[[PAGE_END]]' || chr(10) || '[[PAGE_START 2]]' || chr(10) || '別表 a' || chr(10) || text || chr(10) || '[[PAGE_END]]' AS text FROM documents")
-def t02_page_digits(spark: SparkSession, d: str) -> DataFrame:
-    return lines.joined(lines.without_page_digits(_marked(spark, d)))
+def _built(name: str, make: Callable[[Column], Column], built: str, want: str, as_: str = "out") -> None:
+    """A query over a text that an SQL expression builds from a document (Spark and DuckDB both read it), and the text it must give."""
 
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        t = _read(spark, d, "documents").select("doc_id", F.expr(built).alias("t"))
+        return t.select("doc_id", make(F.col("t")).alias(as_))
 
-@_query("SELECT doc_id, '[[PAGE_START 1]]' || chr(10) || chr(10) || '12' || chr(10) || text || chr(10) || '7' || chr(10) || '[[PAGE_END]]' || chr(10) || '[[PAGE_START 2]]' AS text FROM documents")
-def c11_cut_at_end_heading(spark: SparkSession, d: str) -> DataFrame:
-    return lines.joined(lines.cut_at_end_heading(_marked(spark, d)))
+    _Q[name] = q
+    _S[name] = f"SELECT doc_id, {want} AS {as_} FROM documents"
+
+
+_N = " || chr(10) || "
+_built("c01_roman_numerals", T.roman_numerals, "'" + "".join(T.ROMAN) + " x ' || text", "'" + "".join(T.ROMAN.values()) + " x ' || text")
+_FOOT = ["- 12 -", "--5--", "-3-", "第12頁", "Page 7", "page  8"]
+_STAY = ["page3", "第 1 頁", "- x -", "-", "- 123456789 -"]
+_built("c07_drop_footers", T.drop_footers, _N.join(["lang", *(f"'{a}'{_N}'{b}'" for a, b in zip(_FOOT, _STAY)), f"'{_FOOT[-1]}'", "source"]), _N.join(["lang", *(f"'{b}'" for b in _STAY), "source"]))
+_built("c21_has_cjk", T.has_cjk, "CASE doc_id % 6 WHEN 0 THEN lang WHEN 1 THEN lang || '豈' WHEN 2 THEN lang || 'ﾞ' WHEN 3 THEN lang || 'ｱ' WHEN 4 THEN '々' || lang ELSE lang || '入' END", "doc_id % 6 >= 3")
+_built("c20_is_label", T.is_label, "CASE doc_id % 4 WHEN 0 THEN '(1) 工事場所' WHEN 1 THEN '2．' || lang WHEN 2 THEN '① 契約の担当官の名前と方法等' ELSE '３ ' || lang || '期間' END", "doc_id % 4 IN (0, 3)")
+_built("c10b_start_at_title", per_text(cleaner.start_at_title), "CASE doc_id % 5 "
+    f"WHEN 0 THEN lang{_N}'[[PAGE_START 4]]'{_N}'[[HEADING]] 入札説明書(甲)'{_N}text "
+    f"WHEN 1 THEN '[[PAGE_START 1]]'{_N}lang{_N}'[[PAGE_START 2]]'{_N}'[[HEADING]]'{_N}''{_N}' 入札 説明書（乙）'{_N}text "
+    f"WHEN 2 THEN lang{_N}'入 札 説 明 書'{_N}text "
+    f"WHEN 3 THEN lang{_N}'入'{_N}'札'{_N}'説'{_N}'明'{_N}'書'{_N}text "
+    f"ELSE lang{_N}'入札説明書等'{_N}text END",
+    f"CASE doc_id % 5 WHEN 0 THEN '[[PAGE_START 4]]'{_N}'入札説明書(甲)'{_N}text WHEN 1 THEN '[[PAGE_START 2]]'{_N}'入札 説明書（乙）'{_N}text WHEN 4 THEN lang{_N}'入札説明書等'{_N}text ELSE '入札説明書'{_N}text END")
+_built("c11_cut_at_annex", per_text(cleaner.cut_at_annex), f"'[[PAGE_START 1]]'{_N}''{_N}CASE doc_id % 3 WHEN 0 THEN '別表、' WHEN 1 THEN 'x別紙' ELSE '仕様書 ' END || lang{_N}text{_N}'[[PAGE_START 2]]'{_N}'別紙 2'{_N}text",
+    f"'[[PAGE_START 1]]'{_N}'' || CASE doc_id % 3 WHEN 0 THEN chr(10) || '別表、' || lang{_N}text{_N}'[[PAGE_START 2]]' WHEN 1 THEN chr(10) || 'x別紙' || lang{_N}text{_N}'[[PAGE_START 2]]' ELSE '' END")
+_built("c14_collapse_points", per_text(cleaner.collapse_points), f"'(1) ' || lang{_N}'続き'{_N}'きの'{_N}source{_N}'(2) 工事名'{_N}'橋'{_N}'(4) x'{_N}'3) y「'{_N}'ア) 」z'{_N}''{_N}'tail'{_N}'[[TABLE_START page=1]]'{_N}'1. a'{_N}'b'{_N}'[[TABLE_END]]'{_N}'・p,'{_N}'・q' || chr(10)",
+    f"'(1) ' || lang || ' 続ききの ' || source{_N}'(2) 工事名 橋 (4) x'{_N}'3) y「ア) 」z'{_N}''{_N}'tail'{_N}'[[TABLE_START page=1]]'{_N}'1. a'{_N}'b'{_N}'[[TABLE_END]]'{_N}'・p, ・q' || chr(10)")
+_built("c15_collapse_paragraphs", per_text(cleaner.collapse_paragraphs), f"lang{_N}source || '!'{_N}'・' || lang{_N}'次の'{_N}'行（注'{_N}'終。'{_N}'まだ）'{_N}''{_N}'第2章 x'{_N}lang{_N}'[[TABLE_START page=1]]'{_N}'a'{_N}'b'{_N}'[[TABLE_END]]'{_N}'end'{_N}lang",
+    f"lang || ' ' || source || '!'{_N}'・' || lang{_N}'次の行（注終。 まだ）'{_N}''{_N}'第2章 x'{_N}lang{_N}'[[TABLE_START page=1]]'{_N}'a'{_N}'b'{_N}'[[TABLE_END]]'{_N}'end ' || lang")
+_built("c19_outside_tables", per_text(lambda t: outside_tables(t, str.upper)), f"lang{_N}'[[TABLE_START x]]'{_N}lang{_N}'[[TABLE_END]]'{_N}{_N[4:-4]}{_N}lang{_N}'[[TABLE_START y'{_N}lang".replace(f"{_N}{_N[4:-4]}{_N}", f"{_N}''{_N}"),
+    f"upper(lang){_N}'[[TABLE_START x]]'{_N}lang{_N}'[[TABLE_END]]'{_N}''{_N}upper(lang){_N}'[[TABLE_START y'{_N}lang")
+_built("c22_point", lambda t: per_text(lambda x: "|".join(map(str, (p.depth, p.kind, p.number, p.marker, p.rest))) if (p := cleaner.point(x)) else "none")(t),
+    "CASE doc_id % 8 WHEN 0 THEN ' ((12)) ' || lang WHEN 1 THEN '・　' || lang WHEN 2 THEN '③' || lang WHEN 3 THEN 'ギ）' || lang WHEN 4 THEN 'ⅩⅤ.' || lang WHEN 5 THEN 'b) ' || lang WHEN 6 THEN '12 ' || lang ELSE '(AB ' || lang END",
+    "CASE doc_id % 8 WHEN 0 THEN '2|digit|12|((12))|' || lang WHEN 1 THEN '0|symbol|None|・　|' || lang WHEN 2 THEN '0|circled|3|③|' || lang WHEN 3 THEN '0|katakana|7|ギ）|' || lang WHEN 4 THEN '0|roman|15|ⅩⅤ.|' || lang WHEN 5 THEN '0|lower|2|b)|' || lang WHEN 6 THEN 'none' ELSE '1|upper|None|(AB|' || lang END")
+_built("c23_numeral_values", lambda t: per_text(lambda x: f"{cleaner.roman_value(x)} {cleaner.kana_value(x)}")(t), "CASE doc_id % 5 WHEN 0 THEN 'ⅩⅭⅤ' WHEN 1 THEN 'Ⅱ' WHEN 2 THEN 'ｱ' WHEN 3 THEN 'プ' ELSE 'ン' END", "CASE doc_id % 5 WHEN 0 THEN '95 None' WHEN 1 THEN 'None None' WHEN 2 THEN 'None 1' WHEN 3 THEN 'None 28' ELSE 'None 46' END")
+_RAW = f"lang{_N}'[[PAGE_START 1]]'{_N}'[[HEADING]] 入札説明書'{_N}'（Ⅳ）　３　年　' || lang{_N}'に ついて'{_N}'- 3 -'{_N}'次の'{_N}'入 札'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 2]]'{_N}'別紙 1'{_N}text"
+_built("c00_clean", cleaner.clean, _RAW, f"'[[PAGE_START 1]]'{_N}'入札説明書'{_N}'(IV) 3年' || lang || ' について次の入札'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 2]]'")
+_built("c24_single_line", cleaner.clean_single_line, _RAW, "'入札説明書(IV) 3年' || lang || ' について次の入札'")
+_built("c25_tight_paragraphs", per_text(cleaner.collapse_tight), f"lang{_N}source{_N}'に'{_N}'あ b'{_N}'。'{_N}'・x'", f"lang || source || 'にあ b。'{_N}'・x'")
+_built("t01_marks_on_lines", per_text(tables.marks_on_lines), f"lang || ' [[PAGE_START 3]] ' || lang || '[[TABLE_START page=3 rows=1]][[TABLE_END]]'{_N}'x[[PAGE_END]]'{_N}source || chr(10)", f"lang || ' '{_N}'[[PAGE_START 3]]'{_N}' ' || lang{_N}'[[TABLE_START page=3 rows=1]]'{_N}'[[TABLE_END]]'{_N}''{_N}'x'{_N}'[[PAGE_END]]'{_N}''{_N}source || chr(10) || chr(10)")
+_built("t02_page_digits", per_text(tables.without_page_numbers), f"'[[PAGE_START 1]]'{_N}''{_N}'12'{_N}text{_N}'５'{_N}'½'{_N}'[[TABLE_START page=1]]'{_N}'[[PAGE_START 9]]'{_N}'4'{_N}'[[TABLE_END]]'{_N}'6'{_N}text{_N}'7'{_N}''{_N}'[[PAGE_END]]'", f"'[[PAGE_START 1]]'{_N}''{_N}text{_N}'５'{_N}'½'{_N}'[[TABLE_START page=1]]'{_N}'[[PAGE_START 9]]'{_N}'4'{_N}'[[TABLE_END]]'{_N}'6'{_N}text{_N}''{_N}'[[PAGE_END]]'")
+_built("t03_table_header", per_text(lambda x: tables.header({**tables.read_header(x), "rows": 5})), "'[[TABLE_START zz=' || lang || ' cols=' || (doc_id % 7) || ' page=' || (doc_id % 3) || ' junk index=1 rows=2]]'", "'[[TABLE_START page=' || (doc_id % 3) || ' index=1 rows=5 cols=' || (doc_id % 7) || ' zz=' || lang || ']]'")
+_built("t04_estimated_columns", lambda t: T.estimated_columns(F.split(t, "\n")), f"lang{_N}'| ' || lang || ' | ' || source || repeat('| x ', CAST(doc_id % 3 AS INTEGER)) || ' |'{_N}'a | b'", "CAST(2 + doc_id % 3 AS INTEGER)")
+_built("t05_columns_compatible", lambda t: T.columns_compatible((t % 13).cast("int"), F.when(t % 11 > 0, (t % 11).cast("int"))), "doc_id", "CASE WHEN doc_id % 11 = 0 THEN true ELSE abs(doc_id % 13 - doc_id % 11) <= 2 OR (least(doc_id % 13, doc_id % 11) > 0 AND abs(doc_id % 13 - doc_id % 11) / least(doc_id % 13, doc_id % 11) <= 0.25) END")
+_built("t06_join_split_row", per_text(lambda x: "\n".join(r for part in tables.join_split_row(*(p.split("\n") for p in x.split("\n=\n"))) for r in part)), f"'h | h'{_N}lang || ' | 1'{_N}''{_N}'='{_N}''{_N}CASE doc_id % 3 WHEN 0 THEN source || ' |' WHEN 1 THEN source || ' |  | q' ELSE ' | ' END{_N}'z'", f"'h | h'{_N}CASE doc_id % 3 WHEN 0 THEN lang || ' ' || source || ' | 1'{_N}''{_N}'' WHEN 1 THEN lang || ' | 1'{_N}''{_N}''{_N}source || ' |  | q' ELSE lang || ' | 1'{_N}''{_N}''{_N}' | ' END{_N}'z'")
+_built("t08_ignorable", lambda t: per_text(lambda x: str(tables.Segment(x.split("\n")).ignorable()).lower())(t).cast("boolean"), f"CASE doc_id % 5 WHEN 0 THEN '12'{_N}''{_N}'3'{_N}'4' WHEN 1 THEN lang{_N}source WHEN 2 THEN lang{_N}lang{_N}lang WHEN 3 THEN lang || '((' || doc_id || '))' ELSE repeat('x', 101) END", "doc_id % 5 < 2")
+_PAGES = f"'[[PAGE_START 1]]'{_N}lang{_N}'[[TABLE_START page=1 rows=2 cols=2]]'{_N}'a | ' || lang{_N}'b | c'{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 2]]'{_N}'2'{_N}CASE doc_id % 3 WHEN 0 THEN '[[TABLE_START page=2 cols=3]]' WHEN 1 THEN '[[TABLE_START page=2 cols=9]]' ELSE 'x'{_N}'y'{_N}'z'{_N}'[[TABLE_START page=2]]' END{_N}' | d'{_N}'e | ' || source{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 3]]'{_N}'[[TABLE_START page=3]]'{_N}'f | g'{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'"
+_APART = f"'[[PAGE_START 1]]'{_N}lang{_N}'[[TABLE_START page=1 rows=2 cols=2]]'{_N}'a | ' || lang{_N}'b | c'{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 2]]'{_N}'2'{_N}CASE doc_id % 3 WHEN 1 THEN '[[TABLE_START page=2 cols=9]]' ELSE 'x'{_N}'y'{_N}'z'{_N}'[[TABLE_START page=2 rows=2 cols=2]]' END"
+_built("t10_join_tables", per_text(tables.join_tables), _PAGES,
+    f"CASE doc_id % 3 WHEN 0 THEN '[[PAGE_START 1]]'{_N}lang{_N}'[[TABLE_START page=1 rows=3 cols=2]]'{_N}'a | ' || lang{_N}'b | c d'{_N}'e f | ' || source || ' g'{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 2]]'{_N}'2'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 3]]'{_N}'[[PAGE_END]]' "
+    f"WHEN 1 THEN {_APART}{_N}' | d'{_N}'e | ' || source{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 3]]'{_N}'[[TABLE_START page=3]]'{_N}'f | g'{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]' "
+    f"ELSE {_APART}{_N}' | d'{_N}'e f | ' || source || ' g'{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 3]]'{_N}'[[PAGE_END]]' END")
+_built("t11_rows_outside", per_text(tables.rows_outside), f"lang{_N}'[[TABLE_START page=1 index=2 rows=9 cols=9]]'{_N}''{_N}CASE doc_id % 3 WHEN 0 THEN '３ | ）' || lang || ' | y' WHEN 1 THEN 'Ⅱ) | ' || lang ELSE lang || ' | 1' END{_N}'a | b | c'{_N}'※1 | ' || source{_N}'z | '{_N}'[[TABLE_END]]'",
+    f"lang{_N}CASE doc_id % 3 WHEN 0 THEN '３）' || lang || ' y' || chr(10) WHEN 1 THEN 'Ⅱ) ' || lang || chr(10) ELSE '' END || '[[TABLE_START page=1 index=2 rows=' || CASE WHEN doc_id % 3 = 2 THEN '4 cols=2' ELSE '3 cols=3' END || ']]'{_N}''{_N}CASE WHEN doc_id % 3 = 2 THEN lang || ' | 1' || chr(10) ELSE '' END || 'a | b | c'{_N}'z | '{_N}'[[TABLE_END]]'{_N}'※1 ' || source")
+_built("t12_title", per_text(lambda x: tables.title(x.split("|"))), "CASE doc_id % 3 WHEN 0 THEN 'ⅣⅠ|）' || lang || '|x' WHEN 1 THEN '3|' || lang ELSE '3' END", "CASE doc_id % 3 WHEN 0 THEN 'ⅣⅠ）' || lang || ' x' WHEN 1 THEN '3 ' || lang ELSE '3' END")
+_built("t00_post_clean", tables.post_clean, f"lang || '[[PAGE_START 1]]'{_N}'4'{_N}source || '[[TABLE_START page=1 rows=2 cols=2]]'{_N}'1) | ' || lang{_N}'a | b'{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'", f"lang{_N}'[[PAGE_START 1]]'{_N}''{_N}source{_N}'1) ' || lang{_N}'[[TABLE_START page=1 rows=2 cols=2]]'{_N}''{_N}'a | b'{_N}'[[TABLE_END]]'{_N}''{_N}'[[PAGE_END]]' || chr(10)")
+_built("l01_sanitize_cell", T.sanitize_cell, "CASE WHEN doc_id % 3 = 0 THEN NULL ELSE '  ' || lang || chr(9) || chr(10) || source || ' ' END", "CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang || ' ' || source END")
+_built("l02_table_block", lambda t: T.table_block(F.array(F.array(t, F.lit(" a  b ")), F.array(F.lit(None).cast("string"), t)), F.lit("page=1 index=2"), F.lit(2), F.lit(2)), "lang", f"'[[TABLE_START page=1 index=2 rows=2 cols=2]]'{_N}lang || ' | a b'{_N}' | ' || lang{_N}'[[TABLE_END]]' || chr(10) || chr(10)")
+_column("x07_spans", lambda t: F.array_join(F.transform(T.occurrences(t, "th|de"), lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ","), "array_to_string(list_transform(list_filter(range(1, length(t)), lambda i: substr(t, i, 2) IN ('th', 'de')), lambda i: (i - 1)::VARCHAR || '-' || (i + 1)::VARCHAR), ',')")
+_column("x06_ranked_matches", lambda t: F.array_join(F.transform(T.ranked_matches(t, ["zzz", "de", "the", "th"]), lambda x: x["item"].cast("string")), ","), "array_to_string(list_transform(list_sort(list_filter([{'a': nullif(strpos(t, 'de'), 0), 'i': 1}, {'a': nullif(strpos(t, 'the'), 0), 'i': 2}, {'a': nullif(strpos(t, 'th'), 0), 'i': 3}], lambda x: x.a IS NOT NULL)), lambda x: x.i::VARCHAR), ',')")
+_column("x08_has_word", lambda t: T.has_word(t, "the"), "regexp_matches(t, '(^|[^\\p{L}\\p{N}_])the($|[^\\p{L}\\p{N}_])')")
 
 
 @_query("SELECT doc_id, 1::INTEGER AS page_no, CAST(3 + len(string_split(text, chr(10))) AS BIGINT) AS n_lines FROM documents UNION ALL SELECT doc_id, 2::INTEGER, CAST(1 + len(string_split(text, chr(10))) AS BIGINT) FROM documents")
@@ -340,7 +415,7 @@ def _boxes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return i, o
 
 
-@_query("SELECT l_orderkey::VARCHAR AS path, l_linenumber AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity * 10 + 10 BETWEEN 0 AND 250 AND l_linenumber * 12.0 + 5 BETWEEN 0 AND 45")
+@_query("SELECT l_orderkey::VARCHAR AS path, l_linenumber AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity * 10 + 10 BETWEEN -1 AND 251 AND l_linenumber * 12.0 + 5 BETWEEN -1 AND 46")
 def l03_lines_in_tables(spark: SparkSession, d: str) -> DataFrame:
     return layout.lines_in_tables(*_boxes(spark, d)).select("path", "n")
 
@@ -355,6 +430,106 @@ def l05_reading_order(spark: SparkSession, d: str) -> DataFrame:
     return layout.reading_order(_boxes(spark, d)[0]).select("path", "n", "place")
 
 
+def _spans(spark: SparkSession, d: str) -> DataFrame:
+    """Ten documents as the spans of a line."""
+    k = (F.col("doc_id") % 10).cast("double")
+    text = F.when(k % 4 == 3, "").when(k % 4 == 2, F.concat("lang", F.lit("、"))).otherwise(F.col("lang"))
+    x1 = k * 10 + 8 + F.when(F.col("n_chars") % 2 == 0, 1.0).otherwise(0.0)
+    return _read(spark, d, "documents").select(F.floor(F.col("doc_id") / 10).cast("string").alias("path"), F.lit(1).alias("page_no"), F.lit(1).alias("block_no"), F.lit(1).alias("line_no"), text.alias("text"), (k * 10).alias("x0"), F.lit(0.0).alias("y0"), x1.alias("x1"), F.lit(9.0).alias("y1"))
+
+
+@_query("""WITH s AS (SELECT CAST(doc_id // 10 AS VARCHAR) AS path, CASE WHEN doc_id % 10 % 4 = 2 THEN lang || '、' ELSE lang END AS text, doc_id % 10 * 10 AS x0, doc_id % 10 * 10 + CASE WHEN n_chars % 2 = 0 THEN 9 ELSE 8 END AS x1 FROM documents WHERE doc_id % 10 % 4 <> 3),
+g AS (SELECT *, CASE WHEN regexp_matches(lag(text) OVER w, '[A-Za-z0-9]$') AND x0 - lag(x1) OVER w > 1.5 THEN ' ' ELSE '' END AS b FROM s WINDOW w AS (PARTITION BY path ORDER BY x0))
+SELECT path, string_agg(b || text, '' ORDER BY x0) AS text FROM g GROUP BY path""")
+def l06_join_spans(spark: SparkSession, d: str) -> DataFrame:
+    return layout.join_spans(_spans(spark, d)).select("path", "text")
+
+
+def _placed(spark: SparkSession, d: str, texts: list[str]) -> DataFrame:
+    """Ten documents as the lines of a page, with texts from a list."""
+    text = F.element_at(F.array(*map(F.lit, texts)), (F.pmod(F.col("doc_id") * 7 + F.floor(F.col("doc_id") / 10), F.lit(len(texts))) + 1).cast("int"))
+    n = (F.col("doc_id") % 10).cast("double")
+    return _read(spark, d, "documents").select(F.floor(F.col("doc_id") / 10).cast("string").alias("path"), F.lit(1).alias("page_no"), n.cast("int").alias("place"), text.alias("text"), (n * 10).alias("x0"), F.lit(0.0).alias("y0"), (n * 10 + 8).alias("x1"), F.lit(9.0).alias("y1"), n.alias("size"))
+
+
+@_query("""WITH c AS (SELECT CAST(doc_id // 10 AS VARCHAR) AS path, doc_id % 10 AS place, list_extract(['1', 'a b', '②', ' '], CAST((doc_id * 7 + doc_id // 10) % 4 AS INTEGER) + 1) AS text FROM documents),
+n AS (SELECT *, text IN ('1', '②') AS m, lead(text) OVER w AS nxt, lag(text) OVER w AS prev FROM c WINDOW w AS (PARTITION BY path ORDER BY place))
+SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY place) - 1 AS INTEGER) AS place, CASE WHEN m AND trim(coalesce(nxt, '')) <> '' THEN text || ' ' || nxt ELSE text END AS text FROM n WHERE NOT (trim(text) <> '' AND coalesce(prev, '') IN ('1', '②'))""")
+def l08_merge_markers(spark: SparkSession, d: str) -> DataFrame:
+    return layout.merge_markers(_placed(spark, d, ["1", "a b", "②", " "])).select("path", "place", "text")
+
+
+@_query("""WITH c AS (SELECT CAST(doc_id // 10 AS VARCHAR) AS path, doc_id % 10 AS place, list_extract(['入', '札', '説', 'ab'], CAST((doc_id * 7 + doc_id // 10) % 4 AS INTEGER) + 1) AS text FROM documents),
+r AS (SELECT *, sum(CASE WHEN text = 'ab' THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY place) AS run FROM c),
+g AS (SELECT *, count(*) FILTER (WHERE text <> 'ab') OVER (PARTITION BY path, run) AS n, row_number() OVER (PARTITION BY path, run, text = 'ab' ORDER BY place) AS k FROM r),
+t AS (SELECT path, place, CASE WHEN text <> 'ab' AND n >= 3 THEN string_agg(text, '') FILTER (WHERE text <> 'ab') OVER (PARTITION BY path, run ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) ELSE text END AS text, text <> 'ab' AND n >= 3 AND k > 1 AS gone FROM g)
+SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY place) - 1 AS INTEGER) AS place, text FROM t WHERE NOT gone""")
+def l07_glyph_runs(spark: SparkSession, d: str) -> DataFrame:
+    return layout.merge_glyph_runs(_placed(spark, d, ["入", "札", "説", "ab"])).select("path", "place", "text")
+
+
+@_query("""WITH l AS (SELECT source AS path, doc_id, CASE WHEN (doc_id * 7919) % 100 < 50 THEN (doc_id * 7919) % 100 ELSE 200 + (doc_id * 7919) % 100 END::DOUBLE AS x0 FROM documents),
+g AS (SELECT *, lead(x0) OVER w AS nxt, row_number() OVER w AS r, count(*) OVER (PARTITION BY path) AS n FROM l WINDOW w AS (PARTITION BY path ORDER BY x0)),
+b AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY nxt - x0 DESC, r) AS best FROM g WHERE nxt IS NOT NULL)
+SELECT path, (x0 + nxt) / 2 AS split_x FROM b WHERE best = 1 AND n >= 30 AND nxt - x0 > 90 AND r BETWEEN 0.2 * n AND 0.8 * n""")
+def l12_column_split(spark: SparkSession, d: str) -> DataFrame:
+    x = (F.col("doc_id") * 7919) % 100
+    t = _read(spark, d, "documents").select(F.col("source").alias("path"), F.when(x < 50, x).otherwise(x + 200).cast("double").alias("x0"))
+    return layout.column_split(t, ["path"])
+
+
+@_query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source ELSE lang END AS text FROM documents")
+def l13_page_text(spark: SparkSession, d: str) -> DataFrame:
+    t = _read(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, " \n").otherwise(F.col("lang")).alias("text"), F.col("source").alias("plain"))
+    return layout.page_text(t).select("doc_id", "text")
+
+
+@_query("SELECT doc_id, CAST(unnest([1, 2, 3]) AS INTEGER) AS page_no, unnest([lang, '', text]) AS text FROM documents")
+def s14_text_pages(spark: SparkSession, d: str) -> DataFrame:
+    t = _read(spark, d, "documents").select("doc_id", F.concat("lang", F.lit("\f\f"), "text", F.lit("\f")).alias("text"))
+    return readers.text_pages(t)
+
+
+@_query("SELECT CAST(doc_id // 10 AS VARCHAR) AS path, CAST(doc_id % 10 AS INTEGER) AS row_no, lang || '|' || source AS cells FROM documents WHERE doc_id % 10 <> 2")
+def s17_first_table_rows(spark: SparkSession, d: str) -> DataFrame:
+    i = _read(spark, d, "documents").withColumn("k", (F.col("doc_id") % 10).cast("int"))
+    cells = F.when(F.col("k") == 2, F.array(F.lit(""), F.lit(None).cast("string"))).otherwise(F.array("lang", "source"))
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("k", cells.alias("c")))), lambda x: x["c"])
+    t = i.groupBy(F.floor(F.col("doc_id") / 10).cast("string").alias("path")).agg(rows.alias("rows"))
+    t = t.select("path", "rows", F.lit(1).alias("page_no"), F.lit(1).alias("table_no")).unionAll(t.select("path", F.array(F.array(F.lit("later"))), F.lit(2), F.lit(0)))
+    return readers.first_table_rows(t).select("path", "row_no", F.array_join("cells", "|").alias("cells"))
+
+
+@_query("SELECT doc_id, CAST(unnest([0, 1]) AS INTEGER) AS seq, unnest(['lang: ' || lang, 'n_chars: ' || n_chars]) AS value FROM documents")
+def k06_key_values(spark: SparkSession, d: str) -> DataFrame:
+    return writers.key_values(_read(spark, d, "documents").select("doc_id", "lang", "n_chars"), "doc_id")
+
+
+@_query("SELECT source AS file, CAST(CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE 0 END AS INTEGER) AS pages, CASE WHEN doc_id % 5 = 0 THEN 'FAIL' ELSE 'OK' END AS status, CASE WHEN doc_id % 5 = 0 THEN 'no' ELSE '' END AS error FROM documents")
+def k08_extraction_log(spark: SparkSession, d: str) -> DataFrame:
+    t = _read(spark, d, "documents").select(F.col("source").alias("path"), F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")).alias("pages"), F.when(F.col("doc_id") % 5 == 0, "no").alias("error"))
+    return writers.extraction_log(t).drop("timestamp")
+
+
+@_query("SELECT doc_id, CAST(length(text) AS INTEGER) AS chars_before, CAST(length(replace(text, ' ', '')) AS INTEGER) AS chars_after, contains(text, ' ') AS changed FROM documents")
+def k09_rule_status(spark: SparkSession, d: str) -> DataFrame:
+    t = _read(spark, d, "documents").select("doc_id", "text")
+    return writers.rule_status(t, t.select("doc_id", F.replace("text", F.lit(" "), F.lit("")).alias("text")), "doc_id")
+
+
+@_query("SELECT doc_id, translate(lang, 'abcdefghijklmnopqrstuvwxyz', 'ａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ') || '③' AS project, lang || 'x' AS other FROM documents")
+def n05_output_value(spark: SparkSession, d: str) -> DataFrame:
+    t = _read(spark, d, "documents").select("doc_id", F.concat("lang", F.lit("((3))")).alias("a"), F.concat("lang", F.lit(" x ")).alias("b"))
+    return t.select("doc_id", N.output_value("「工事名」", F.col("a")).alias("project"), N.output_value("other", F.col("b")).alias("other"))
+
+
+@_query("SELECT doc_id, lang || chr(10) || '[[PAGE_END]]' || chr(10) AS out FROM documents")
+def u01_sql_function(spark: SparkSession, d: str) -> DataFrame:
+    sql.register(spark)
+    _read(spark, d, "documents").createOrReplaceTempView("_docloom_documents")
+    return spark.sql("SELECT doc_id, dl_marks_on_lines(concat(lang, '[[PAGE_END]]')) AS out FROM _docloom_documents")
+
+
 @_query("SELECT doc_id, CAST(unnest([0, 1, 2]) AS INTEGER) AS seq, unnest(['lang', 'source', 'n_chars']) AS field, unnest([lang, source, n_chars::VARCHAR]) AS value FROM documents")
 def k01_long_form(spark: SparkSession, d: str) -> DataFrame:
     return writers.long_form(_read(spark, d, "documents"), "doc_id", ["lang", "source", "n_chars"])

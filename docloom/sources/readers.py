@@ -56,3 +56,17 @@ def read_rules(path: str) -> list | str:
 
         return yaml.safe_load(body)["steps"]
     return body
+
+
+def text_pages(texts: DataFrame, text: str = "text") -> DataFrame:
+    """The pages of text dumps, which form feeds part: all other columns, page_no (from 1) and text. A last form feed adds no page."""
+    keep = [c for c in texts.columns if c != text]
+    parts = F.split(F.regexp_replace(text, r"\x0c\z", ""), r"\x0c", -1)
+    return texts.select(*keep, F.posexplode(parts).alias("page_no", text)).withColumn("page_no", F.col("page_no") + 1)
+
+
+def first_table_rows(tables: DataFrame) -> DataFrame:
+    """(path, row_no, cells) of each document's first table (by page, then table); rows whose cells are all empty go. ``rows`` holds arrays of cells."""
+    first = tables.groupBy("path").agg(F.min_by("rows", F.struct("page_no", "table_no")).alias("rows"))
+    d = first.select("path", F.posexplode("rows").alias("row_no", "cells"))
+    return d.where(F.exists("cells", lambda c: F.coalesce(c, F.lit("")) != ""))
