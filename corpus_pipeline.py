@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import byte_bpe, jaccard_join, mixing, quality_rules, substring_dedup
-from docloom.llm.common import every, shared_path, table
+from docloom.llm.common import every, remove, shared_path, table
 from docloom.llm.queries import pattern, tokenizer_path
 
 
@@ -54,10 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each stage's rows are written to the shared folder and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """Each stage's rows are written to the shared folder and read again by the next; then they are removed, all but the last's."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = shared_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if last:
+            remove(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -29,13 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset (single-machine tests) a temporary folder is set.
+    Only where that is unset and driver and executors are one process (tests) a temporary folder is set.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="docloom-shared-")
         spark.sparkContext.setCheckpointDir(where)
         return where
@@ -46,18 +48,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; it is removed when the driver ends."""
     path = f"{shared_dir(spark).rstrip('/')}/docloom/{name}-{uuid.uuid4().hex}"
 
-    def remove() -> None:
+    def at_exit() -> None:
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            remove(spark, path)
         except Exception:  # the session may already be gone
             pass
 
-    atexit.register(remove)
+    atexit.register(at_exit)
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

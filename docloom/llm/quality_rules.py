@@ -32,11 +32,13 @@ _CLASS: list[np.ndarray] = []
 
 
 def _classes() -> np.ndarray:
-    """Per code point below 65,536: 1 lower letter, 2 upper letter, 3 digit, 4 other letter, 0 the rest."""
+    """Per code point: 1 lower letter, 2 upper letter, 3 digit, 4 other letter, 0 the rest."""
     if not _CLASS:
-        c = np.zeros(65536, np.uint8)
-        for i in range(65536):
+        c = np.zeros(0x110000, np.uint8)
+        for i in range(0x110000):
             x = chr(i)
+            if not x.isalnum():
+                continue
             c[i] = 1 if x.islower() else 2 if x.isupper() else 3 if x.isdigit() else 4 if x.isalpha() else 0
         _CLASS.append(c)
     return _CLASS[0]
@@ -75,7 +77,7 @@ def measure(text: str | None) -> tuple:
     lines = [x for x in raw.split(b"\n") if x.strip(b" \t\r\x0b\x0c")]
     dup = len(lines) - len(set(lines))
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    kinds = np.bincount(_classes()[np.minimum(codes, 65535)], minlength=5)
+    kinds = np.bincount(_classes()[codes], minlength=5)
     spaces = sum(map(raw.count, (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")))
     chars = len(codes) - spaces
     symbols = sum(map(text.count, SYMBOLS))

@@ -2,14 +2,15 @@
 
 Labels name documents, so the tags to learn from come first: in sampled training
 documents labelled toxic, the words that are far commoner there than in the others
-are tagged. The field is then trained on segments of tagged words (features: the word
+are tagged, and so is a word that stands between two of them. The field is then trained on segments of tagged words (features: the word
 and its shape; weights by gradient ascent on the conditional likelihood) and applied
 to every word of every whole text. Forward-backward gives each word's probability;
 the score of a document is its largest, and runs of words over one half are its spans,
 with code point offsets.
 
 Bounds, all parameters: ``max_docs`` training documents of each label, those with the
-smallest hashed ids; ``SEGMENT`` words in a segment, at most ``PER_DOC`` of one document.
+smallest hashed ids; ``SEGMENT`` words in a segment, at most ``PER_DOC`` of one document;
+``most_tagged`` words tagged on their own, ``most_words`` words with a weight.
 
 Defined results: null and empty texts score 0; without labels every score is 0;
 rows with a null label or id aren't learned from; repeated rows score alike.
@@ -159,7 +160,7 @@ def train(segments: list[tuple[list[bytes], list[int]]], rounds: int = 120, rate
     return Field({w: float(theta[i]) for w, i in vocab.items()}, theta[i_shape:i_bias].tolist(), float(theta[i_bias]), float(theta[i_start]), tr.tolist())
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 2000, ratio: float = 8.0, least: int = 4, surprise: float = 24.0) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 2000, ratio: float = 8.0, least: int = 4, surprise: float = 24.0, most_tagged: int = 2000, most_words: int = 20_000) -> Field:
     """A field learned from at most ``max_docs`` documents of each label."""
     lab = labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -187,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 2000, ratio: float =
     # Log-likelihood ratio of the word's places against the labels' shares: chance words of small samples stay out.
     t, o = F.col("t"), F.col("n") - F.col("t")
     g2 = 2 * (t * F.log(t / F.col("n") / share) + F.when(o > 0, o * F.log(o / F.col("n") / max(1 - share, 1e-9))).otherwise(0.0))
-    tagged = {bytes(r["word"]) for r in counts.where((t >= least) & (g2 >= surprise) & (rate >= ratio) & (F.length("word") > 1)).orderBy(rate.desc(), F.col("t").desc(), "word").limit(2000).select("word").collect()}
+    tagged = {bytes(r["word"]) for r in counts.where((t >= least) & (g2 >= surprise) & (rate >= ratio) & (F.length("word") > 1)).orderBy(rate.desc(), F.col("t").desc(), "word").limit(most_tagged).select("word").collect()}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -196,6 +197,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 2000, ratio: float =
                 w = text.split()
                 tags = [int(toxic == 1 and normal(x) in tagged) for x in w]
                 hits = [i for i, x in enumerate(tags) if x]
+                for i, j in zip(hits, hits[1:]):
+                    if j == i + 2:
+                        tags[i + 1] = 1
                 step = max(1, len(hits) // PER_DOC)
                 starts = [max(0, i - SEGMENT // 2) for i in hits[::step]][:PER_DOC] if hits else [] if toxic else [len(w) * i // PER_DOC for i in range(PER_DOC)]
                 for lo in sorted(set(starts)):
@@ -207,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 2000, ratio: float =
     # At most 2 * max_docs * PER_DOC segments.
     rows = sample.select("text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(cut, "words array<binary>, tags array<int>").collect()
     segments = sorted(([bytes(w) for w in r["words"]], list(r["tags"])) for r in rows)
-    return train(segments)
+    return train(segments, most_words=most_words)
 
 
 def tag(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
