@@ -124,6 +124,28 @@ def removed_mask(n: int, spans: list[int], length: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
+def maximal_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, first_word, n_words): each maximal run of words that windows also found in a document with a smaller id cover."""
+    spans = repeats(docs, length, seed, id_col, text)
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            docs_, firsts, sizes = [], [], []
+            for doc, found in zip(column(b, "doc"), column(b, "spans")):
+                s = np.sort(np.array(found, np.int64))  # by first window
+                lo, hi = s >> 32, np.maximum.accumulate((s & 0xFFFFFFFF) + length)
+                new = np.append(True, lo[1:] > hi[:-1])
+                at = np.flatnonzero(new)
+                ends = hi[np.append(at[1:], len(s)) - 1]
+                docs_ += [doc] * len(at)
+                firsts += lo[at].tolist()
+                sizes += (ends - lo[at]).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(firsts, pa.int64()), pa.array(sizes, pa.int64())], names=["doc", "first_word", "n_words"])
+
+    out = spans.select("doc", "spans").mapInArrow(runs, "doc bigint, first_word bigint, n_words bigint")
+    return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias(id_col), "first_word", "n_words")
+
+
 def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, keep_text: bool = False, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the id, n_words, n_removed, kept_sha256, the number of maximal repeats, and the kept text on demand."""
     spans = repeats(docs, length, seed, id_col, text)
