@@ -151,6 +151,61 @@ def q30_rule_program(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "notice", "opening", "second", "both")
 
 
+def _fin(x: str) -> str:
+    """What becomes of a value at the end, for texts whose white space is blanks and newlines."""
+    return f"trim(array_to_string(list_filter(string_split({x}, chr(10)), lambda l: trim(l) <> ''), chr(10)), ' ' || chr(10))"
+
+
+def _right(x: str, literal: str) -> str:
+    return f"CASE WHEN strpos({x}, {literal}) > 0 THEN substr({x}, strpos({x}, {literal}) + length({literal})) END"
+
+
+def _left(x: str, literal: str) -> str:
+    return f"CASE WHEN strpos({x}, {literal}) > 0 THEN substr({x}, 1, strpos({x}, {literal}) - 1) END"
+
+
+def _program(name: str, script: str, **want: str) -> None:
+    """A query that runs a program over every document, and SQL for its variables."""
+
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        return rules.extract(_read(spark, d, "documents").select("doc_id", "text"), script).select("doc_id", *want)
+
+    _Q[name] = q
+    _S[name] = "SELECT doc_id, " + ", ".join(f'{v} AS "{k}"' for k, v in want.items()) + " FROM documents"
+
+
+_program("p01_strip_comment", '  ## v: no\nv:  # name\n    search text : "e"  # with "quotes"\n    if found :\n        take right :  # rest\n            add in right("#")\n            store(r)\n            set(r)\n', v=_fin(f"({_right('text', chr(39) + 'e' + chr(39))}) || '#'"))
+_program("p02_indentation", 'v:\n  \tsearch text : "e"\n    if found :\n\t  \ttake right :\n\t\t    if found :\n\t\t        set("wrong")\n\t\t    store(r)\n\t\tset("x")\n    if not found :\n\t    set("none")\n', v="CASE WHEN contains(text, 'e') THEN 'x' ELSE 'none' END")
+_program("p03_variables", 'a:\n    set("1")\nnot a variable\nb c:\n    search text : "zz"\n    if found :\n        set("2")\n', a="'1'", **{"b c": "CASE WHEN contains(text, 'zz') THEN '2' END"})
+_program("p04_unknown_block", 'v:\n    search text : "qq"\n    whatever this is :\n        set("ran")\n    if found :\n        set("found")\n', v="CASE WHEN contains(text, 'qq') THEN 'found' ELSE 'ran' END")
+_program("p05_key_value", 'v:\n    search text : "a: b"\n    unknown key : set("no")\n    if not found :\n        search text : ". "\n        if found :\n            set("x : y")\n', v="CASE WHEN NOT contains(text, 'a: b') AND contains(text, '. ') THEN 'x : y' END")
+_program("p06_calls", 'v:\n    replace("the", "(x)")\n    add in right ("!")\n    add in left(\'<\')\n    store( all of it )\n    set(all of it)\n', v=_fin("'<' || replace(text, 'the', '(x)') || '!'"))
+_program("p07_bare_commands", 'v:\n    remove whitespace\n    Remove Whitespaces\n    do something else\n    store(t)\n    set(t)\n', v=_fin("text"))
+_program("p08_seach", 'v:\n    seach in : all\n    seach text : "e"\n    if found :\n        set(true)\n', v="CASE WHEN contains(text, 'e') THEN 'True' END")
+_program("p09_list_literal", 'v:\n    search text : ("zz\\z, " , \'de\', th\\,e ,)\n    if found :\n        take right :\n            store(r)\n            set(r)\n', v=_fin(_right("text", "'de'")))
+_program("p10_two_arguments", 'v:\n    replace(". ", ", ")\n    replace(",", \'";"\')\n    store(t)\n    set(t)\n', v=_fin("replace(replace(text, '. ', ', '), ',', '\";\"')"))
+_program("p11_three_arguments", 'v:\n    add in left("The ")\n    add in right(" end, last")\n    replace(start, "The", "A, b")\n    replace(end, "end, last", "z")\n    store(t)\n    set(t)\n', v=_fin("'A, b ' || text || ' z'"))
+_program("p12_unquote", 'v:\n    search text : \'e"\'\n    if not found :\n        search text : "e\n        if not found :\n            set(\'it"s\')\n', v="CASE WHEN NOT contains(text, 'e\"') AND NOT contains(text, '\"e') THEN 'it\"s' END")
+_program("p13_search_escapes", 'v:\n    search text : ".\\n"\n    if found :\n        take right :\n            store(r)\n            set(r)\n    if not found :\n        search text : "\\t"\n        if found :\n            set("tab")\n', v=f"CASE WHEN contains(text, '.' || chr(10)) THEN {_fin(_right('text', chr(39) + '.' + chr(39) + ' || chr(10)'))} WHEN contains(text, chr(9)) THEN 'tab' END".replace("length('.' || chr(10))", "2"))
+_program("p14_add_escapes", 'v:\n    add in right("\\n\\tx\\\\\\q")\n    store(t)\n    set(t)\n', v=_fin("text || chr(10) || chr(9) || 'x' || chr(92) || chr(92) || 'q'"))
+_NESTED = 'v:\n    search text : "e"\n    if found :\n        take right :\n            search in : {scope}\n            search text : "a"\n            if found :\n                take left :\n                    store(r)\n                    set(r)\n'
+_program("q01_search_in_all", _NESTED.format(scope="all"), v=f"CASE WHEN contains(text, 'e') THEN {_fin(_left('text', chr(39) + 'a' + chr(39)))} END")
+_E = f"({_right('text', chr(39) + 'e' + chr(39))})"
+_program("q02_search_in_taken", _NESTED.format(scope="taken"), v=_fin(_left(_E, "'a'")))
+_program("q04_named_scope", 'w:\n    search text : "e"\n    if found :\n        take right :\n            store(x)\n            set(x)\nv:\n    search text : ". "\n    if found :\n        take right :\n            store(kept)\n    search in : kept\n    search text : "a"\n    if found :\n        take left :\n            store(r)\n            set(r)\nu:\n    search in : unknown\n    search text : "a"\n    if found :\n        take left :\n            store(r)\n            set(r)\n',
+    v=_fin(_left(f"coalesce({_right('text', chr(39) + '. ' + chr(39))}, text)", "'a'")), u=_fin(_left("text", "'a'")))
+_program("q05_scope_resets", 'v:\n    search in first : 5\n    search text : "zz"\n    search text : "e"\n    if found :\n        take left :\n            store(r)\n            set(r)\n', v=_fin(_left("text", "'e'")))
+_program("q10_if_found", 'v:\n    if found :\n        set("before")\n    if not found :\n        set("none")\n    search text : ["th", "de"]\n    if found :\n        set("both")\n', v="CASE WHEN contains(text, 'th') AND contains(text, 'de') THEN 'both' ELSE 'none' END")
+_program("q11_check_variable", 'a:\n    search text : "de"\n    if found :\n        set(true)\nv:\n    check : a\n    if true :\n        set("yes")\n    if false :\n        set("no")\n', v="CASE WHEN contains(text, 'de') THEN 'yes' ELSE 'no' END")
+_program("q12_has_value", 'a:\n    search text : "de"\n    if found :\n        set("x y")\n    if not found :\n        set("z")\nv:\n    has value : "z"\n    check : a\n    if true :\n        set("is z")\n    if false :\n        set("is not")\n', v="CASE WHEN contains(text, 'de') THEN 'is not' ELSE 'is z' END")
+_program("q13_if_true_stored", 'v:\n    search text : "e"\n    if found :\n        take left :\n            store(head)\n    check : head\n    if true :\n        set("text before")\n    if false :\n        set("nothing")\n', v="CASE WHEN strpos(text, 'e') > 1 THEN 'text before' ELSE 'nothing' END")
+_program("q16_scopes_of_blocks", 'v:\n    search text : "e"\n    if found :\n        take right :\n            if found :\n                set("wrong")\n            remove whitespaces\n            store(inner)\n    if found :\n        store(outer)\n        replace("e", "E")\n        set(inner)\n', v=_fin(_right("text", "'e'")))
+_program("q21_added_values", 'w:\n    set("W")\nv:\n    search text : "e"\n    if found :\n        take left :\n            store(head)\n            add in right(w)\n            add in right("w")\n            add in left(none of these)\n            add in right(head)\n            store(r)\n            set(r)\n', v=_fin(f"'none of these' || {_left('text', chr(39) + 'e' + chr(39))} || 'Ww' || {_left('text', chr(39) + 'e' + chr(39))}".replace("CASE", "(CASE").replace("END", "END)")))
+_program("q25_store", 'v:\n    replace("e", "")\n    store(a)\n    replace("a", "")\n    store(a)\n    set(a)\n', v=_fin("replace(replace(text, 'e', ''), 'a', '')"))
+_program("q26_set", 'a:\n    set("first")\n    set("last")\nb:\n    set(all)\nc:\n    set(a)\nd:\n    set(False)\ne:\n    set(raw words)\n', a="'last'", b=_fin("text"), c="'last'", d="'False'", e="'raw words'")
+_program("q27_variables_in_order", 'a:\n    store(x)\n    set(b)\nb:\n    set("B")\nc:\n    set(x)\nd:\n    set(b)\n', a="'b'", b="'B'", c="'x'", d="'B'")
+
+
 STEPS = [
     {"op": "print_file_info"},
     {"op": "contains", "phrase": "the", "in": "first_n", "n": 20, "set": "early"},
