@@ -159,12 +159,8 @@ def join_pages(a: Page, b: Page) -> bool:
     return True
 
 
-def join_tables(text: str) -> str:
-    """Tables that go on over page ends become one, on the page where they begin.
-
-    A chain goes on while the page whose table was taken holds no text of its own and no
-    further table at its start.
-    """
+def read_pages(text: str) -> tuple[list[str], list[Page], list[str]]:
+    """The lines before the first page, the pages, and the lines outside pages after it."""
     pages: list[Page] = []
     before: list[str] = []
     after: list[str] = []
@@ -177,6 +173,20 @@ def join_tables(text: str) -> str:
             pages[-1].end, inside = x, False
         else:
             (pages[-1].body if inside else after if pages or x.startswith("[[PAGE_END") else before).append(x)
+    return before, pages, after
+
+
+def write_pages(before: list[str], pages: list[Page], after: list[str]) -> list[str]:
+    return [*before, *(x for p in pages for x in (p.start, *p.body, *([p.end] if p.end else []))), *after]
+
+
+def join_tables(text: str) -> str:
+    """Tables that go on over page ends become one, on the page where they begin.
+
+    A chain goes on while the page whose table was taken holds no text of its own and no
+    further table at its start.
+    """
+    before, pages, after = read_pages(text)
     for i, p in enumerate(pages):
         for q in pages[i + 1 :]:
             if not join_pages(p, q):
@@ -184,8 +194,7 @@ def join_tables(text: str) -> str:
             left = segments(q.body)
             if any(not s.table and not s.ignorable() for s in left) or _table_at(left, range(len(left))) is not None:
                 break
-    body = [x for p in pages for x in (p.start, *p.body, *([p.end] if p.end else []))]
-    return with_end([*before, *body, *after], text)
+    return with_end(write_pages(before, pages, after), text)
 
 
 # What a row that is a section heading begins with; both widths of digits, brackets and stops are meant.

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import sql
-from docloom.functions import cleaner, tables
+from docloom.functions import cleaner, optional_rules, tables
 from docloom.functions import normalize as N
 from docloom.functions import text as T
 from docloom.functions.folds import outside_tables, per_text
@@ -438,6 +438,17 @@ _built("t11_rows_outside", per_text(tables.rows_outside), f"lang{_N}'[[TABLE_STA
     f"lang{_N}CASE doc_id % 3 WHEN 0 THEN '３）' || lang || ' y' || chr(10) WHEN 1 THEN 'Ⅱ) ' || lang || chr(10) ELSE '' END || '[[TABLE_START page=1 index=2 rows=' || CASE WHEN doc_id % 3 = 2 THEN '4 cols=2' ELSE '3 cols=3' END || ']]'{_N}''{_N}CASE WHEN doc_id % 3 = 2 THEN lang || ' | 1' || chr(10) ELSE '' END || 'a | b | c'{_N}'z | '{_N}'[[TABLE_END]]'{_N}'※1 ' || source")
 _built("t12_title", per_text(lambda x: tables.title(x.split("|"))), "CASE doc_id % 3 WHEN 0 THEN 'ⅣⅠ|）' || lang || '|x' WHEN 1 THEN '3|' || lang ELSE '3' END", "CASE doc_id % 3 WHEN 0 THEN 'ⅣⅠ）' || lang || ' x' WHEN 1 THEN '3 ' || lang ELSE '3' END")
 _built("t00_post_clean", tables.post_clean, f"lang || '[[PAGE_START 1]]'{_N}'4'{_N}source || '[[TABLE_START page=1 rows=2 cols=2]]'{_N}'1) | ' || lang{_N}'a | b'{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'", f"lang{_N}'[[PAGE_START 1]]'{_N}''{_N}source{_N}'1) ' || lang{_N}'[[TABLE_START page=1 rows=2 cols=2]]'{_N}''{_N}'a | b'{_N}'[[TABLE_END]]'{_N}''{_N}'[[PAGE_END]]' || chr(10)")
+_built("c08_page_heads", optional_rules.without_page_heads, f"'  関東地方整備局 x'{_N}lang || '課長'{_N}''{_N}lang || '課です。'{_N}text{_N}repeat('x', 25) || '省'", f"'[疑いフラグ] ' || lang || '課長'{_N}''{_N}lang || '課です。'{_N}text{_N}repeat('x', 25) || '省'")
+_built("c09_announcement", per_text(optional_rules.without_announcement), f"lang{_N}CASE WHEN doc_id % 4 <> 2 THEN '公告日 x' ELSE 'y' END{_N}'a:'{_N}''{_N}'b'{_N}CASE doc_id % 4 WHEN 0 THEN '入札説明書' WHEN 2 THEN '入札説明書' WHEN 1 THEN 'c：' ELSE 'c' END{_N}'指名停止'{_N}'1'{_N}'2'{_N}'3'{_N}'4'{_N}source || chr(10)",
+    f"CASE doc_id % 4 WHEN 0 THEN lang{_N}'入札説明書'{_N}'指名停止'{_N}'1'{_N}'2'{_N}'3'{_N}'4'{_N}source WHEN 1 THEN lang{_N}'c：'{_N}'指名停止'{_N}'1'{_N}'2'{_N}'3'{_N}'4'{_N}source WHEN 2 THEN lang{_N}'y'{_N}'a:'{_N}''{_N}'b'{_N}'入札説明書'{_N}source ELSE lang{_N}source END")
+_built("c10a_start_at_any_title", per_text(optional_rules.start_at_any_title), f"lang{_N}'[[PAGE_START 3]] '{_N}CASE doc_id % 3 WHEN 0 THEN ' 入札 説明書等' WHEN 1 THEN '入'{_N}' 札'{_N}'説'{_N}'明'{_N}'書' ELSE 'x入札説明書' END{_N}text", f"CASE WHEN doc_id % 3 < 2 THEN '[[PAGE_START 3]]'{_N}'入札説明書'{_N}text ELSE lang{_N}'[[PAGE_START 3]] '{_N}'x入札説明書'{_N}text END")
+_built("c12_indented_headings", per_text(optional_rules.indented), f"' (1) ' || lang{_N}'① x'{_N}'ア y'{_N}' z'{_N}''{_N}'b. ' || source{_N}'A) q'", f"'(1) ' || lang{_N}'　　① x'{_N}'　　　　ア y'{_N}' z'{_N}''{_N}''{_N}''{_N}'　　b. ' || source{_N}'　　　　A) q'")
+_built("c13_unwrapped_points", per_text(optional_rules.unwrapped), f"lang{_N}' 1) ' || lang || ' '{_N}'  さらに'{_N}'。'{_N}'（'{_N}''{_N}'・a（'{_N}'b'{_N}'(2 c'{_N}source || chr(10)", f"lang{_N}' 1) ' || lang || ' さらに。 （'{_N}''{_N}'・a（b'{_N}'(2 c ' || source || chr(10)")
+_built("c17_footnotes", per_text(optional_rules.footnotes), f"lang{_N}' ※1 ' || lang{_N}'注）'{_N}'[[TABLE_START page=1 rows=3 cols=2]]'{_N}'a | b'{_N}'※ t | ' || source{_N}'Corins | x'{_N}'[[TABLE_END]]'{_N}'end' || chr(10)", f"lang{_N}''{_N}'【注】 1 ' || lang{_N}''{_N}'【注】'{_N}''{_N}'[[TABLE_START page=1 rows=1 cols=2]]'{_N}'a | b'{_N}'[[TABLE_END]]'{_N}'end'{_N}''{_N}'【注】 t | ' || source{_N}''{_N}'【注】 Corins | x' || chr(10)")
+_STRICT = f"'[[PAGE_START 1]]'{_N}'[[TABLE_START page=1 index=1 rows=1 cols=2 x=y]]'{_N}'a | ' || lang{_N}'[[TABLE_END]]'{_N}''{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 2]]'{_N}CASE WHEN doc_id % 2 = 0 THEN '' ELSE '2' END{_N}'[[TABLE_START page=2 rows=1 cols=2]]'{_N}'c | d'{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 3]]'{_N}'[[TABLE_START page=3 rows=1 cols=2]]'{_N}'e | f'{_N}'[[TABLE_END]]'{_N}source{_N}'[[PAGE_END]]'"
+_built("c18_join_strictly", per_text(optional_rules.join_tables_strictly), _STRICT,
+    f"CASE WHEN doc_id % 2 = 0 THEN '[[PAGE_START 1]]'{_N}'[[TABLE_START page=1 index=1 rows=3 cols=2]]'{_N}'a | ' || lang{_N}'c | d'{_N}'e | f'{_N}'[[TABLE_END]]'{_N}''{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 2]]'{_N}''{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 3]]'{_N}source{_N}'[[PAGE_END]]' "
+    f"ELSE '[[PAGE_START 1]]'{_N}'[[TABLE_START page=1 index=1 rows=1 cols=2 x=y]]'{_N}'a | ' || lang{_N}'[[TABLE_END]]'{_N}''{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 2]]'{_N}'2'{_N}'[[TABLE_START page=2 index= rows=2 cols=2]]'{_N}'c | d'{_N}'e | f'{_N}'[[TABLE_END]]'{_N}'[[PAGE_END]]'{_N}'[[PAGE_START 3]]'{_N}source{_N}'[[PAGE_END]]' END")
 _built("l01_sanitize_cell", T.sanitize_cell, "CASE WHEN doc_id % 3 = 0 THEN NULL ELSE '  ' || lang || chr(9) || chr(10) || source || ' ' END", "CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang || ' ' || source END")
 _built("l02_table_block", lambda t: T.table_block(F.array(F.array(t, F.lit(" a  b ")), F.array(F.lit(None).cast("string"), t)), F.lit("page=1 index=2"), F.lit(2), F.lit(2)), "lang", f"'[[TABLE_START page=1 index=2 rows=2 cols=2]]'{_N}lang || ' | a b'{_N}' | ' || lang{_N}'[[TABLE_END]]' || chr(10) || chr(10)")
 _column("x07_spans", lambda t: F.array_join(F.transform(T.occurrences(t, "th|de"), lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ","), "array_to_string(list_transform(list_filter(range(1, length(t)), lambda i: substr(t, i, 2) IN ('th', 'de')), lambda i: (i - 1)::VARCHAR || '-' || (i + 1)::VARCHAR), ',')")
