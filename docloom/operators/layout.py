@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from statistics import median
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -57,7 +58,7 @@ def column_split(lines: DataFrame, by: list[str], least_lines: int = 30, least_g
     d = lines.withColumns({"_next": F.lead("x0").over(w), "_rank": F.row_number().over(w), "_n": F.count("*").over(Window.partitionBy(*by))})
     d = d.withColumn("_gap", F.col("_next") - F.col("x0")).where("_gap IS NOT NULL")
     best = d.groupBy(*by).agg(F.max_by(F.struct((((F.col("x0") + F.col("_next")) / 2)).alias("x"), "_gap", "_rank", "_n"), F.struct(F.col("_gap"), -F.col("_rank"))).alias("b"))
-    ok = (F.col("b._n") >= least_lines) & (F.col("b._gap") > least_gap) & (F.col("b._rank") >= 0.2 * F.col("b._n")) & (F.col("b._rank") <= 0.8 * F.col("b._n"))
+    ok = (F.col("b._n") >= least_lines) & (F.col("b._gap") > least_gap) & (F.col("b._rank") - 1 > 0.2 * F.col("b._n")) & (F.col("b._rank") - 1 < 0.8 * F.col("b._n"))
     return best.where(ok).select(*by, F.col("b.x").alias("split_x"))
 
 
@@ -132,20 +133,80 @@ def merge_glyph_runs(lines: DataFrame) -> DataFrame:
 
 
 def line_clusters(chars: list[dict], tolerance: float = 3.0) -> list[list[dict]]:
-    """Characters from the top, each on the line whose mean middle height is within the tolerance, else on a new one."""
+    """Characters from the top, each on the line whose mean top is within the tolerance, else on a new one; in a line from the left."""
     out: list[list[dict]] = []
     mean = 0.0
-    for c in sorted(chars, key=lambda c: ((c["y0"] + c["y1"]) / 2, c["x0"])):
-        y = (c["y0"] + c["y1"]) / 2
-        if out and abs(y - mean) <= tolerance:
+    for c in sorted(chars, key=lambda c: (c["y0"], c["x0"])):
+        if out and abs(c["y0"] - mean) <= tolerance:
             out[-1].append(c)
-            mean += (y - mean) / len(out[-1])
+            mean += (c["y0"] - mean) / len(out[-1])
         else:
             out.append([c])
-            mean = y
+            mean = c["y0"]
     return [sorted(x, key=lambda c: c["x0"]) for x in out]
 
 
+def _word(c: str) -> bool:
+    return c.isascii() and (c.isalnum() or c in "_-.")
+
+
+def char_line(chars: list[dict], gap: float) -> dict | None:
+    """One line of its characters: a blank where two Latin word characters stand further apart than ``gap`` median sizes; none if it is blank."""
+    space = median(c["size"] for c in chars) * gap
+    text, last = "", None
+    for c in chars:
+        if not c["text"]:
+            continue
+        if last and c["x0"] - last["x1"] > space and _word(last["text"][-1]) and _word(c["text"][0]) and not text.endswith(" "):
+            text += " "
+        text += c["text"]
+        last = c
+    if not text.strip():
+        return None
+    said = [c for c in chars if c["text"]]
+    return {"text": text, **{k: f(c[k] for c in said) for k, f in (("x0", min), ("y0", min), ("x1", max), ("y1", max), ("size", max))}}
+
+
+def char_lines(chars: DataFrame, tolerance: float = 3.0, gap: float = 0.6) -> DataFrame:
+    """(path, page_no, place, text, x0, y0, x1, y1, size): the lines of each page's characters."""
+    kind = "array<struct<text:string,x0:double,y0:double,x1:double,y1:double,size:double>>"
+    item = F.struct(F.col("text"), *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1", "size")])
+
+    @F.arrow_udf(kind)
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.array([[x for g in line_clusters(p or [], tolerance) if (x := char_line(g, gap))] for p in pages.to_pylist()], pages.type)
+
+    pages = chars.groupBy("path", "page_no").agg(F.collect_list(item).alias("items"))
+    return _lines(pages, run(F.col("items")))
+
+
+def table_candidates(found: DataFrame, overlap: float = 0.85, least_rows: int = 2, least_columns: int = 2) -> DataFrame:
+    """Of the tables found on a page (place, box, rows: arrays of cells), those large enough that overlap none that has more cells, or as many and fuller.
+
+    They are numbered from 1, from the top and from the left. Two overlap where their common
+    part is more than ``overlap`` of what they cover together.
+    """
+    n_rows, n_cols = F.size("rows"), F.array_max(F.transform("rows", lambda r: F.size(r)))
+    full = F.aggregate("rows", F.lit(0), lambda acc, r: acc + F.size(F.filter(r, lambda c: T.sanitize_cell(c) != "")))
+    d = found.withColumns({"_cells": n_rows * n_cols, "_full": full}).where((n_rows >= least_rows) & (n_cols >= least_columns))
+    box = [F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")]
+    item = F.struct((-F.col("_cells")).alias("_cells"), (-F.col("_full")).alias("_full"), F.col("place"), *box, "rows")
+    pages = d.groupBy("path", "page_no").agg(F.array_sort(F.collect_list(item)).alias("items"))
+
+    def area(x: Column) -> Column:
+        return (x["x1"] - x["x0"]) * (x["y1"] - x["y0"])
+
+    def same(a: Column, b: Column) -> Column:
+        w = F.greatest(F.least(a["x1"], b["x1"]) - F.greatest(a["x0"], b["x0"]), F.lit(0.0))
+        h = F.greatest(F.least(a["y1"], b["y1"]) - F.greatest(a["y0"], b["y0"]), F.lit(0.0))
+        return w * h > overlap * F.greatest(area(a) + area(b) - w * h, F.lit(1e-9))
+
+    none = F.slice("items", 1, 0)
+    kept = F.aggregate("items", none, lambda acc, x: F.when(F.exists(acc, lambda y: same(x, y)), acc).otherwise(F.concat(acc, F.array(x))))
+    placed = F.array_sort(F.transform(kept, lambda x: F.struct(x["y0"].alias("y0"), x["x0"].alias("x0"), x["x1"].alias("x1"), x["y1"].alias("y1"), x["place"].alias("place"), x["rows"].alias("rows"))))
+    return pages.select("path", "page_no", F.posexplode(placed).alias("i", "t")).select("path", "page_no", (F.col("i") + 1).alias("table_no"), "t.place", "t.x0", "t.y0", "t.x1", "t.y1", "t.rows")
+
+
 def page_text(df: DataFrame, text: str = "text", plain: str = "plain") -> DataFrame:
     """Where a page's own text is blank, its plain text."""
     return df.withColumn(text, F.when(T.strip_u(F.coalesce(F.col(text), F.lit(""))) == "", F.col(plain)).otherwise(F.col(text)))

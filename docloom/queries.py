@@ -537,13 +537,40 @@ def l07_glyph_runs(spark: SparkSession, d: str) -> DataFrame:
 @_query("""WITH l AS (SELECT source AS path, doc_id, CASE WHEN (doc_id * 7919) % 100 < 50 THEN (doc_id * 7919) % 100 ELSE 200 + (doc_id * 7919) % 100 END::DOUBLE AS x0 FROM documents),
 g AS (SELECT *, lead(x0) OVER w AS nxt, row_number() OVER w AS r, count(*) OVER (PARTITION BY path) AS n FROM l WINDOW w AS (PARTITION BY path ORDER BY x0)),
 b AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY nxt - x0 DESC, r) AS best FROM g WHERE nxt IS NOT NULL)
-SELECT path, (x0 + nxt) / 2 AS split_x FROM b WHERE best = 1 AND n >= 30 AND nxt - x0 > 90 AND r BETWEEN 0.2 * n AND 0.8 * n""")
+SELECT path, (x0 + nxt) / 2 AS split_x FROM b WHERE best = 1 AND n >= 30 AND nxt - x0 > 90 AND r - 1 > 0.2 * n AND r - 1 < 0.8 * n""")
 def l12_column_split(spark: SparkSession, d: str) -> DataFrame:
     x = (F.col("doc_id") * 7919) % 100
     t = _read(spark, d, "documents").select(F.col("source").alias("path"), F.when(x < 50, x).otherwise(x + 200).cast("double").alias("x0"))
     return layout.column_split(t, ["path"])
 
 
+@_query("""WITH c AS (SELECT doc_id, unnest(range(1, least(length(text), 40) + 1)) AS i, text FROM documents),
+p AS (SELECT doc_id, substr(text, i, 1) AS ch, i, (i - 1) // 10 AS line, (i - 1) % 10 AS col FROM c)
+SELECT doc_id::VARCHAR AS path, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line) - 1 AS INTEGER) AS place, text FROM (
+SELECT doc_id, line, string_agg(CASE WHEN col = 5 AND regexp_matches(ch, '[A-Za-z0-9_.-]') AND regexp_matches(before, '[A-Za-z0-9_.-]') THEN ' ' ELSE '' END || ch, '' ORDER BY col) AS text
+FROM (SELECT *, lag(ch) OVER (PARTITION BY doc_id, line ORDER BY col) AS before FROM p) GROUP BY doc_id, line) WHERE trim(text) <> ''""")
+def l09_char_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The first characters of texts, ten a line, with heights that waver and a gap in the middle."""
+    t = _read(spark, d, "documents").where("text <> ''").select("doc_id", F.posexplode(F.split(F.substring("text", 1, 40), "")).alias("i", "text"))
+    col, line = F.col("i") % 10, F.floor(F.col("i") / 10)
+    x0 = col * 10 + F.when(col >= 5, 8).otherwise(0)
+    y0 = line * 20 + F.when(F.col("i") % 3 == 0, 2.0).otherwise(0.0)
+    chars = t.select(F.col("doc_id").cast("string").alias("path"), F.lit(1).alias("page_no"), "text", x0.alias("x0"), y0.alias("y0"), (x0 + 10).alias("x1"), (y0 + 10).alias("y1"), F.lit(10.0).alias("size"))
+    return layout.char_lines(chars).select("path", "place", "text")
+
+
+@_query("""WITH c AS (SELECT doc_id // 10 AS path, doc_id % 10 AS place, (doc_id % 10) // 2 * 100 + (doc_id % 2) * (doc_id % 5) * 3 AS x0, 2 + doc_id % 3 - CASE WHEN doc_id % 10 = 9 THEN 3 ELSE 0 END AS n, CASE WHEN doc_id % 4 = 0 THEN 1 ELSE 2 END AS f FROM documents),
+k AS (SELECT * FROM c WHERE n >= 2),
+g AS (SELECT * FROM k a WHERE NOT EXISTS (SELECT 1 FROM k b WHERE b.path = a.path AND b.place // 2 = a.place // 2 AND b.place <> a.place AND (90 - abs(a.x0 - b.x0)) / (90 + abs(a.x0 - b.x0)) > 0.85 AND (b.n > a.n OR b.n = a.n AND (b.f > a.f OR b.f = a.f AND b.place < a.place))))
+SELECT path::VARCHAR AS path, CAST(row_number() OVER (PARTITION BY path ORDER BY x0) AS INTEGER) AS table_no, place::INTEGER AS place FROM g""")
+def l10_table_candidates(spark: SparkSession, d: str) -> DataFrame:
+    n = 2 + F.col("doc_id") % 3 - F.when(F.col("doc_id") % 10 == 9, 3).otherwise(0)
+    row = F.array("lang", F.when(F.col("doc_id") % 4 == 0, " ").otherwise(F.col("source")))
+    x0 = F.floor((F.col("doc_id") % 10) / 2) * 100 + (F.col("doc_id") % 2) * (F.col("doc_id") % 5) * 3
+    t = _read(spark, d, "documents").select(F.floor(F.col("doc_id") / 10).cast("string").alias("path"), F.lit(1).alias("page_no"), (F.col("doc_id") % 10).cast("int").alias("place"), x0.alias("x0"), F.lit(0.0).alias("y0"), (x0 + 90).alias("x1"), F.lit(50.0).alias("y1"), F.array_repeat(row, F.greatest(n, F.lit(0)).cast("int")).alias("rows"))
+    return layout.table_candidates(t).select("path", "table_no", "place")
+
+
 @_query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source ELSE lang END AS text FROM documents")
 def l13_page_text(spark: SparkSession, d: str) -> DataFrame:
     t = _read(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, " \n").otherwise(F.col("lang")).alias("text"), F.col("source").alias("plain"))

@@ -12,8 +12,9 @@ BINARY = {"pdf": "fitz", "docx": "docx", "xlsx": "openpyxl", "xls": "xlrd"}
 
 
 def read_texts(spark: SparkSession, path: str, suffix: str = "txt") -> DataFrame:
-    """(path, file_name, rel_dir, text) of whole text files under a folder."""
-    d = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*.[{suffix[0].lower()}{suffix[0].upper()}]*").withColumn("path", F.input_file_name())
+    """(path, file_name, rel_dir, text) of whole text files under a folder, or of one file. An empty file has no row."""
+    d = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*.[{suffix[0].lower()}{suffix[0].upper()}]*")
+    d = d.withColumn("path", F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B"))))
     d = d.where(F.lower(_name()).endswith("." + suffix))
     root = "/" + path.rstrip("/").split("/")[-1] + "/"
     inside = F.substring("path", F.instr("path", F.lit(root)) + len(root), F.length("path"))
