@@ -7,9 +7,9 @@ bits of a pointer into that sample and over the text's length, estimate the cros
 entropy; the language with the least wins. The walk is a finite automaton with
 resets, so many blocks of text step together through one table.
 
-Fitting takes at most ``sample_chars`` letters and spaces of each language from the
-training texts with the smallest hashed ids, a documented bound; every labelled language
-and every letter of the samples counts. A letter that a language's sample lacks ends a
+Fitting takes whole training texts with the smallest hashed ids, up to ``sample_chars``
+characters of each language, a documented bound; every labelled language and every letter
+of the samples counts. A letter that a language's sample lacks ends a
 phrase there. Texts are read whole, in blocks of ``BLOCK`` symbols (a phrase ends at a
 block's end).
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.common import column, crc_mod, slices, small_batches
 
-BLOCK = 512
+BLOCK = 4096
 #: Cells that tables of all languages may have together; automata beyond are kept as sorted transitions.
 CELLS = 60_000_000
 _CODES = 0x110000
@@ -147,48 +147,51 @@ class Automata:
 
         return step
 
-    def phrases(self, blocks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Phrases of each block for each language. blocks: a column of symbols for each, longest first; sizes: their lengths."""
+    def phrases(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Phrases of each block for each language. symbols: of the blocks one after another; sizes: their lengths, none 0.
+
+        All blocks step together, the longest first, so that those still walking stand in front.
+        """
+        order = np.argsort(-sizes, kind="stable")
+        rank = np.empty(len(sizes), np.int64)
+        rank[order] = np.arange(len(sizes))
+        longest = int(sizes.max(initial=0))
+        alive = np.searchsorted(-sizes[order], -np.arange(longest), side="left")  # blocks longer than t
+        off = np.concatenate([[0], np.cumsum(alive)])
+        block = np.repeat(np.arange(len(sizes)), sizes)
+        packed = np.empty(len(symbols), np.int32)
+        packed[off[np.arange(len(symbols)) - (np.cumsum(sizes) - sizes)[block]] + rank[block]] = symbols
         out = np.zeros((len(self.langs), len(sizes)), np.int64)
-        width = [int(np.searchsorted(-sizes, -t, side="left")) for t in range(len(blocks))]  # blocks longer than t
         for k, step in enumerate(self.steps):
-            own = self.own[k][blocks]
+            own = self.own[k][packed]
             state = np.zeros(len(sizes), np.int64)
             count = np.zeros(len(sizes), np.int32)
-            for t in range(len(blocks)):
-                n = width[t]
-                if not n:
-                    break
-                got = step(state[:n], own[t, :n])
+            for t, (n, at) in enumerate(zip(alive.tolist(), off.tolist())):
+                got = step(state[:n], own[at : at + n])
                 count[:n] += got & 1
                 state[:n] = got >> 1
-            out[k] = count
+            out[k] = count[rank]
         return out
 
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The language and a confidence (0 to 1) for each text."""
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        seqs, owner = [], []
+        seqs, sizes, owner = [], [], []
         for i, t in enumerate(texts):
             s = normal(t or "")
             if len(s) and (s != 32).any() and self.langs:
-                s = self.symbol[s]
-                for lo in range(0, len(s), BLOCK):
-                    seqs.append(s[lo : lo + BLOCK])
-                    owner.append(i)
+                seqs.append(self.symbol[s])
+                n = [BLOCK] * (len(s) // BLOCK) + ([len(s) % BLOCK] if len(s) % BLOCK else [])
+                sizes += n
+                owner += [i] * len(n)
         if not seqs:
             return langs, scores
-        sizes = np.array([len(s) for s in seqs])
-        order = np.argsort(-sizes, kind="stable")
-        blocks = np.zeros((BLOCK, len(seqs)), np.int32)
-        for row, k in enumerate(order):
-            blocks[: sizes[k], row] = seqs[k]
-        counts = self.phrases(blocks, sizes[order])
-        own = np.array(owner)[order]
+        sizes, own = np.array(sizes, np.int64), np.array(owner)
+        counts = self.phrases(np.concatenate(seqs), sizes)
         total = np.zeros((len(self.langs), len(texts)))
         for k in range(len(self.langs)):
             total[k] = np.bincount(own, counts[k], len(texts)) * self.bits[k]
-        size = np.maximum(1, np.bincount(own, sizes[order], len(texts)))
+        size = np.maximum(1, np.bincount(own, sizes, len(texts)))
         rate = total / size
         best = np.argmin(rate, axis=0)
         odds = np.exp2(np.clip(-(total - total.min(axis=0)) / 8, -60, 0))
@@ -198,27 +201,25 @@ class Automata:
         return langs, scores
 
 
-def fit(train: DataFrame, sample_chars: int = 40_000, piece: int = 1500) -> dict[str, str]:
-    """Training text per language: pieces of ``piece`` characters of the texts with the smallest hashed ids, ``sample_chars`` in all.
+def fit(train: DataFrame, sample_chars: int = 40_000) -> dict[str, str]:
+    """Training text per language: the texts with the smallest hashed ids, whole, up to ``sample_chars`` characters in all.
 
-    Texts under 200 characters count only for languages that have no longer ones. A
-    count per language and range of hashes tells which ranges are needed, so two passes
-    serve all languages.
+    The characters of each language and range of hashes tell which ranges are needed, so
+    two passes serve all languages.
     """
-    d = train.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").withColumn("h", F.xxhash64("doc_id"))
-    d = d.select("lang", "h", "doc_id", (F.length("text") < 200).alias("short"), F.shiftright("h", 48).alias("part"), F.substring("text", 1, piece).alias("t"))
-    need = -(-sample_chars // piece) + 8
+    d = train.where("lang IS NOT NULL AND text <> '' AND doc_id IS NOT NULL").withColumn("h", F.xxhash64("doc_id"))
+    d = d.select("lang", "h", "doc_id", F.shiftright("h", 48).alias("part"), F.substring("text", 1, sample_chars).alias("t")).withColumn("n", F.length("t"))
     by = Window.partitionBy("lang")
-    parts = d.groupBy("lang", "short", "part").agg(F.count("*").alias("n")).withColumn("least", F.min("short").over(by)).where("short = least")
-    parts = parts.withColumn("so_far", F.sum("n").over(by.orderBy("part").rowsBetween(Window.unboundedPreceding, 0))).where(F.col("so_far") - F.col("n") < need)
-    wanted = parts.groupBy("lang", "short").agg(F.max("part").alias("last"))
-    few = d.join(F.broadcast(wanted), ["lang", "short"]).where("part <= last")
-    few = few.withColumn("r", F.row_number().over(by.orderBy("h", "doc_id", "t"))).where(F.col("r") <= need)
+    before = Window.unboundedPreceding
+    parts = d.groupBy("lang", "part").agg(F.sum("n").alias("n")).withColumn("so_far", F.sum("n").over(by.orderBy("part").rowsBetween(before, 0)))
+    wanted = parts.where(F.col("so_far") - F.col("n") < sample_chars).groupBy("lang").agg(F.max("part").alias("last"))
+    few = d.join(F.broadcast(wanted), "lang").where("part <= last")
+    row = by.orderBy("h", "doc_id", "t")
+    few = few.withColumns({"r": F.row_number().over(row), "so_far": F.sum("n").over(row.rowsBetween(before, 0))}).where(F.col("so_far") - F.col("n") < sample_chars)
     found: dict[str, list] = {}
     for r in few.select("lang", "r", "t").collect():
         found.setdefault(r["lang"], []).append((r["r"], r["t"]))
-    out = {k: "\n".join(t for _, t in sorted(v))[:sample_chars] for k, v in found.items()}
-    return {k: v for k, v in out.items() if v}
+    return {k: "\n".join(t for _, t in sorted(v))[:sample_chars] for k, v in found.items()}
 
 
 _BUILT: dict[str, Automata] = {}

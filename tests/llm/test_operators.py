@@ -187,9 +187,11 @@ def test_language_id(spark):
         return n
 
     seq = auto.symbol[language_id.normal(s)]
-    blocks = np.zeros((language_id.BLOCK, 1), np.int32)
-    blocks[: len(s), 0] = seq
-    assert auto.phrases(blocks, np.array([len(s)]))[0, 0] == brute(s)
+    assert auto.phrases(seq, np.array([len(s)]))[0, 0] == brute(s)
+    r = random.Random(8)
+    many = ["".join(r.choice("abcdx") for _ in range(r.randint(1, 40))) for _ in range(50)]
+    seqs = np.concatenate([auto.symbol[language_id.normal(x)] for x in many])
+    assert auto.phrases(seqs, np.array([len(x) for x in many]))[0].tolist() == [brute(x) for x in many]
     d = queries.table(spark, SF, "documents")
     got = {r["doc_id"]: r for r in language_id.identify_languages(d).collect()}
     ok = [got[r["doc_id"]]["lang_pred"] == r["lang"] for r in d.collect() if got[r["doc_id"]]["held_out"]]
