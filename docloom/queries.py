@@ -80,9 +80,9 @@ _column("n08_remove_empty_lines", T.remove_empty_lines, "array_to_string(list_fi
 _ascii = "".join(map(chr, range(0x20, 0x7F))).replace("'", "''")
 _full = "　" + "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
 _column("n01_full_width", T.full_width, f"translate(t, '{_ascii}', '{_full}')")
-_column("n01_full_width_kana", N.to_fullwidth, None, lambda t: F.concat(F.lit("ｶﾞ ｱ"), t))
+_column("n01_full_width_kana", N.to_fullwidth, f"'ガ　ア' || translate(t, '{_ascii}', '{_full}')", lambda t: F.concat(F.lit("ｶﾞ ｱ"), t))
 _column("n03_circled", N.circle, f"'④ ⓪ ((51)) ㊿ ' || text".replace("text", "t"), lambda t: F.concat(F.lit("((4)) （（０）） ((51)) ((50)) "), t), "text")
-_column("c02_half_width", N.to_halfwidth, None, lambda t: F.concat(F.lit("①Ａ１・"), t))
+_column("c02_half_width", N.to_halfwidth, "'①⑳21A1･~~“x”‘y’ガ' || t", lambda t: F.concat(F.lit("①⑳㉑Ａ１・〜～“ｘ”‘y’ｶﾞ"), t))
 _column("c03_ideographic_space", lambda t: F.replace(t, F.lit("　"), F.lit(" ")), "replace(t, chr(12288), ' ')", *_PAD)
 _column("c04_compress_spaces", T.compress_spaces, "array_to_string(list_transform(string_split(regexp_replace(t, '\\n$', ''), chr(10)), lambda l: trim(regexp_replace(l, '\\s+', ' ', 'g'))), chr(10))", *_BLANK)
 _column("c05_unit_spaces", T.unit_spaces, "replace(replace(replace(replace(replace(replace(t, ' 年', '年'), '年 ', '年'), ' m', 'm'), 'm ', 'm'), ' %', '%'), '% ', '%')", *_WIDE)
@@ -633,7 +633,7 @@ def k02_transposed(spark: SparkSession, d: str) -> DataFrame:
     return merge.transposed(_read(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n")), "lang", ["n"])
 
 
-@_query()
+@_query("SELECT to_json({'doc_id': doc_id, 'lang': lang, 'n_chars': n_chars})::VARCHAR AS value FROM documents")
 def k05_json_lines(spark: SparkSession, d: str) -> DataFrame:
     return writers.json_lines(_read(spark, d, "documents").select("doc_id", "lang", "n_chars"))
 
