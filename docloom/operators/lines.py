@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions import tables
 from docloom.functions import text as T
 
+_LINES = pa.list_(pa.string())
+_SEGMENTS = pa.list_(pa.struct([("type", pa.string()), ("lines", _LINES)]))
+_PAGES = pa.list_(pa.struct([("start", pa.string()), ("body", _LINES), ("end", pa.string())]))
+
 
 def lines(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, line_no, line), from 0."""
@@ -18,37 +24,24 @@ def joined(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return df.groupBy(id_col).agg(F.array_join(F.transform(rows, lambda x: x["line"]), "\n").alias("text"))
 
 
-def _near(df: DataFrame, id_col: str) -> DataFrame:
-    """Adds the previous and next non-blank line, and whether the line is inside a table."""
-    x = T.strip_u(F.col("line"))
-    full = F.when(x != "", x)
-    back = Window.partitionBy(id_col).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    on = Window.partitionBy(id_col).orderBy("line_no").rowsBetween(1, Window.unboundedFollowing)
-    upto = Window.partitionBy(id_col).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    start, end = x.startswith("[[TABLE_START"), x.startswith("[[TABLE_END")
-    return df.withColumns({
-        "before": F.last(full, ignorenulls=True).over(back), "after": F.first(full, ignorenulls=True).over(on),
-        "in_table": F.coalesce(F.last(F.when(start, F.lit(True)).when(end, F.lit(False)), ignorenulls=True).over(upto), F.lit(False)) | end,
-    })
-
-
-def segments(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, seg_no, type, lines): runs of text and table lines."""
-    kind = F.when(F.col("in_table"), "table").otherwise("text")
-    w = Window.partitionBy(id_col).orderBy("line_no")
-    d = _near(df, id_col).withColumn("type", kind)
-    begins = (F.lag("type").over(w).isNull()) | (F.lag("type").over(w) != F.col("type")) | T.strip_u(F.col("line")).startswith("[[TABLE_START")
-    d = d.withColumn("seg_no", F.sum(begins.cast("int")).over(w) - 1)
-    rows = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    return d.groupBy(id_col, "seg_no", "type").agg(F.transform(rows, lambda x: x["line"]).alias("lines"))
+def segments(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, seg_no, type, lines): runs of text and table lines of each document; each table is a segment of its own."""
+    kind = "array<struct<type:string,lines:array<string>>>"
 
+    @F.arrow_udf(kind)
+    def cut(a: pa.Array) -> pa.Array:
+        return pa.array([[{"type": "table" if s.table else "text", "lines": s.lines} for s in tables.segments((t or "").splitlines())] for t in a.to_pylist()], _SEGMENTS)
 
-def pages(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, page_no, n_lines, body) of each page between its start and end marks."""
-    no = F.regexp_extract("line", r"\[\[PAGE_START\s*(\d+)\s*\]\]", 1)
-    upto = Window.partitionBy(id_col).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    mark = F.col("line").startswith("[[PAGE_")
-    d = df.withColumn("page_no", F.last(F.when(no != "", no).when(F.col("line").startswith("[[PAGE_END"), F.lit("")), ignorenulls=True).over(upto))
-    d = d.where(~mark & (F.coalesce("page_no", F.lit("")) != ""))
-    rows = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    return d.groupBy(id_col, F.col("page_no").cast("int").alias("page_no")).agg(F.count("*").alias("n_lines"), F.transform(rows, lambda x: x["line"]).alias("body"))
+    return df.select(id_col, F.posexplode(cut(F.col(text))).alias("seg_no", "s")).select(id_col, "seg_no", "s.type", "s.lines")
+
+
+def pages(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, page_pos, page_no, start_marker, body, end_marker) of each page; a number that isn't whole is null."""
+
+    @F.arrow_udf("array<struct<start:string,body:array<string>,end:string>>")
+    def cut(a: pa.Array) -> pa.Array:
+        return pa.array([[{"start": p.start, "body": p.body, "end": p.end} for p in tables.read_pages(t or "")[1]] for t in a.to_pylist()], _PAGES)
+
+    d = df.select(id_col, F.posexplode(cut(F.col(text))).alias("page_pos", "p"))
+    number = F.regexp_extract("p.start", r"^\[\[PAGE_START\s*(\d+)\s*\]\]", 1)
+    return d.select(id_col, "page_pos", number.try_cast("int").alias("page_no"), F.col("p.start").alias("start_marker"), "p.body", F.col("p.end").alias("end_marker"))

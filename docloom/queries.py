@@ -375,11 +375,6 @@ def l00_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.lines(_read(spark, d, "documents"))
 
 
-def _marked(spark: SparkSession, d: str) -> DataFrame:
-    t = F.concat(F.lit("[[PAGE_START 1]]\n\n12\n"), F.col("text"), F.lit("\n7\n[[PAGE_END]]\n[[PAGE_START 2]]\n別表 a\n"), F.col("text"), F.lit("\n[[PAGE_END]]"))
-    return lines.lines(_read(spark, d, "documents").select("doc_id", t.alias("text")))
-
-
 def _built(name: str, make: Callable[[Column], Column], built: str, want: str, as_: str = "out") -> None:
     """A query over a text that an SQL expression builds from a document (Spark and DuckDB both read it), and the text it must give."""
 
@@ -456,16 +451,21 @@ _column("x06_ranked_matches", lambda t: F.array_join(F.transform(T.ranked_matche
 _column("x08_has_word", lambda t: T.has_word(t, "the"), "regexp_matches(t, '(^|[^\\p{L}\\p{N}_])the($|[^\\p{L}\\p{N}_])')")
 
 
-@_query("SELECT doc_id, 1::INTEGER AS page_no, CAST(3 + len(string_split(text, chr(10))) AS BIGINT) AS n_lines FROM documents UNION ALL SELECT doc_id, 2::INTEGER, CAST(1 + len(string_split(text, chr(10))) AS BIGINT) FROM documents")
+_PAGED = f"'before'{_N}'[[PAGE_START 1]]'{_N}lang{_N}text{_N}'[[PAGE_END]]'{_N}'between'{_N}'[[PAGE_START x]]'{_N}source{_N}'[[TABLE_START page=2]]'{_N}'a | ' || lang{_N}'[[PAGE_START 3]]'{_N}'[[TABLE_END]]'{_N}'[[TABLE_START page=3]]'{_N}'b'"
+
+
+@_query(f"""SELECT doc_id, CAST(unnest([0, 1, 2]) AS INTEGER) AS page_pos, unnest([1, NULL, 3])::INTEGER AS page_no, unnest(['[[PAGE_START 1]]', '[[PAGE_START x]]', '[[PAGE_START 3]]']) AS start_marker,
+unnest([lang{_N}text, source{_N}'[[TABLE_START page=2]]'{_N}'a | ' || lang, '[[TABLE_END]]'{_N}'[[TABLE_START page=3]]'{_N}'b']) AS body, unnest(['[[PAGE_END]]', NULL, NULL]) AS end_marker FROM documents""")
 def t10_pages(spark: SparkSession, d: str) -> DataFrame:
-    return lines.pages(_marked(spark, d)).select("doc_id", "page_no", "n_lines")
+    p = lines.pages(_read(spark, d, "documents").select("doc_id", F.expr(_PAGED).alias("text")))
+    return p.withColumn("body", F.array_join("body", "\n"))
 
 
-@_query("SELECT doc_id, CAST(unnest([0, 1, 2]) AS BIGINT) AS seg_no, unnest(['text', 'table', 'text']) AS type, unnest([1 + len(string_split(text, chr(10))), 4, 3 + len(string_split(text, chr(10)))])::INTEGER AS n_lines FROM documents")
+@_query(f"""SELECT doc_id, CAST(unnest([0, 1, 2]) AS INTEGER) AS seg_no, unnest(['text', 'table', 'table']) AS type,
+unnest(['before'{_N}'[[PAGE_START 1]]'{_N}lang{_N}text{_N}'[[PAGE_END]]'{_N}'between'{_N}'[[PAGE_START x]]'{_N}source, '[[TABLE_START page=2]]'{_N}'a | ' || lang{_N}'[[PAGE_START 3]]'{_N}'[[TABLE_END]]', '[[TABLE_START page=3]]'{_N}'b']) AS lines FROM documents""")
 def t07_segments(spark: SparkSession, d: str) -> DataFrame:
-    t = F.concat(F.lit("[[PAGE_START 1]]\n"), F.col("text"), F.lit("\n[[TABLE_START page=1 rows=2]]\na | b\nc | d\n[[TABLE_END]]\n[[PAGE_END]]\n[[PAGE_START 2]]\n"), F.col("text"), F.lit("\n[[PAGE_END]]"))
-    s = lines.segments(lines.lines(_read(spark, d, "documents").select("doc_id", t.alias("text"))))
-    return s.select("doc_id", F.col("seg_no").cast("long").alias("seg_no"), "type", (F.size("lines") - F.when(F.col("seg_no") == 2, 0).otherwise(0)).alias("n_lines"))
+    s = lines.segments(_read(spark, d, "documents").select("doc_id", F.expr(_PAGED).alias("text")))
+    return s.withColumn("lines", F.array_join("lines", "\n"))
 
 
 @_query("SELECT event_type, round(median(value) + 1.5, 6) AS threshold FROM events GROUP BY event_type")
