@@ -84,13 +84,19 @@ def remove_tables(t: Column) -> Column:
     return F.replace(cut, F.lit("[[TABLE_END]]"), F.lit(""))
 
 
+# The marks that an edge may stand behind.
+_SKIP = rf"(?:{WS}|\[\[(?:PAGE_START[^\]]*|PAGE_END|TABLE_START[^\]]*|TABLE_END|HEADING)\]\]|[\x{{200b}}-\x{{200d}}\x{{feff}}])*"
+
+
 def replace_start(t: Column, old: str, new: str) -> Column:
     """At the start of the text, past white space, page markers and invisible characters, which stay."""
-    return F.regexp_replace(t, rf"\A((?:{WS}|\[\[[^\]]*\]\]|[\x{{200b}}-\x{{200d}}\x{{feff}}])*){_loose(old)}", "$1" + _dollar(new))
+    past = F.regexp_replace(t, rf"\A({_SKIP}){_loose(old)}", "$1" + _dollar(new))
+    return F.when(t.startswith(old), F.concat(F.lit(new), F.substring(t, len(old) + 1, F.length(t)))).otherwise(past)
 
 
 def replace_end(t: Column, old: str, new: str) -> Column:
-    return F.regexp_replace(t, rf"{_loose(old)}((?:{WS}|\[\[[^\]]*\]\]|[\x{{200b}}-\x{{200d}}\x{{feff}}])*)\z", _dollar(new) + "$1")
+    past = F.regexp_replace(t, rf"{_loose(old)}({_SKIP})\z", _dollar(new) + "$1")
+    return F.when(t.endswith(old), F.concat(F.substring(t, F.lit(1), F.length(t) - len(old)), F.lit(new))).otherwise(past)
 
 
 def _loose(x: str) -> str:
@@ -103,7 +109,7 @@ def _dollar(x: str) -> str:
 
 def finalise(t: Column) -> Column:
     """Page, bare table and heading markers go, then blank lines and outer space."""
-    bare = F.regexp_replace(t, r"\[\[PAGE_START\s*\d*\s*\]\]|\[\[PAGE_END\]\]|\[\[TABLE_START\s*\d*\s*\]\]|\[\[TABLE_END\]\]|\[\[HEADING\]\]\s*\d*", "")
+    bare = F.regexp_replace(t, rf"\[\[PAGE_START{WS}*\d*{WS}*\]\]|\[\[PAGE_END\]\]|\[\[TABLE_START{WS}*\d*{WS}*\]\]|\[\[TABLE_END\]\]|\[\[HEADING\]\]{WS}*\d*", "")
     return strip_u(remove_empty_lines(bare))
 
 

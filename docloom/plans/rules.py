@@ -196,9 +196,14 @@ def _scope(value: str, first: bool, cross: bool) -> Callable[[Frame], str] | Non
     return named
 
 
-def _search(value: str) -> Step:
+def search_items(value: str) -> tuple[str | None, list[str]]:
+    """How the items of a search go together (None: there is one), and the items."""
     mode = {"[": "all", "(": "any", "{": "ordered"}.get(value[:1]) if value[-1:] == {"[": "]", "(": ")", "{": "}"}.get(value[:1]) else None
-    items = [search_escapes(x) for x in split_list(value[1:-1])] if mode else [search_escapes(unquote(value))]
+    return mode, [search_escapes(x) for x in split_list(value[1:-1])] if mode else [search_escapes(unquote(value))]
+
+
+def _search(value: str) -> Step:
+    mode, items = search_items(value)
 
     def step(f: Frame) -> None:
         s = f.scope(f) if f.scope else f.whole

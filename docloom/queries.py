@@ -17,7 +17,7 @@ from docloom.functions import normalize as N
 from docloom.functions import text as T
 from docloom.functions.folds import outside_tables, per_text
 from docloom.operators import layout, lines, merge
-from docloom.plans import rules, yaml_ops
+from docloom.plans import rule_columns, rules, yaml_ops
 from docloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +151,16 @@ def q30_rule_program(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "notice", "opening", "second", "both")
 
 
+_S["q30_rule_columns"] = _S["q30_rule_program"]
+
+
+@_query()
+def q30_rule_columns(spark: SparkSession, d: str) -> DataFrame:
+    """The same program as columns."""
+    out = rule_columns.extract(_read(spark, d, "documents").select("doc_id", "text"), SCRIPT)
+    return out.select("doc_id", "notice", "opening", "second", "both")
+
+
 def _fin(x: str) -> str:
     """What becomes of a value at the end, for texts whose white space is blanks and newlines."""
     return f"trim(array_to_string(list_filter(string_split({x}, chr(10)), lambda l: trim(l) <> ''), chr(10)), ' ' || chr(10))"

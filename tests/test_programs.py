@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from docloom.plans import rules, yaml_ops
+from docloom.plans import rule_columns, rules, yaml_ops
 
 
 def test_yaml_columns_and_python_agree(spark):
@@ -71,3 +71,53 @@ def test_parser_parts():
 )
 def test_programs(script, text, want):
     assert rules.Program(script).run(text).get("v") == want
+
+
+def _random_program(r):
+    """A program of a few variables with every kind of step, nested up to three deep."""
+    words = ['"a"', '"b "', '"zz"', '"\\n"', '("zz", "b", "a")', '["a", "b"]', '{"zz", "b"}', '""', '"[["']
+    names = ["x", "y", "v0", "v1"]
+
+    def steps(depth, pad):
+        out = []
+        for _ in range(r.randint(1, 4)):
+            k = r.randint(0, 15)
+            if k < 4:
+                out.append(f"search text : {r.choice(words)}")
+            elif k == 4:
+                out.append(f"search in : {r.choice(['all', 'taken', *names])}")
+            elif k == 5:
+                out.append(f"search in first : {r.choice(['4', '0', 'n'])}")
+            elif k == 6:
+                out.append(f"store({r.choice(names)})")
+            elif k == 7:
+                out.append("set(" + r.choice(['"lit"', "true", "false", "all", *names]) + ")")
+            elif k == 8:
+                out.append(r.choice(["remove whitespaces", "remove tables", "unknown"]))
+            elif k == 9:
+                out.append(f"add in {r.choice(['left', 'right'])}(" + r.choice(['"<"', *names]) + ")")
+            elif k == 10:
+                out.append("replace(" + r.choice(['"a", "A"', 'start, "a", "S"', 'end, "b", "E"', '"b ", ""']) + ")")
+            elif k == 11:
+                out.append(f"check : {r.choice(names)}")
+                if r.random() < 0.4:
+                    out.append('has value : "lit"')
+            elif depth:
+                head = r.choice(["if found", "if not found", "if true", "if false", "take right", "take left", "take right", "other block"])
+                out.append(head + " :")
+                out += steps(depth - 1, "    ")
+        return [pad + x for x in out]
+
+    return "".join(f"v{i}:\n" + "\n".join(steps(3, "    ")) + "\n" for i in range(3))
+
+
+def test_rule_columns_and_python_agree(spark):
+    r = random.Random(11)
+    parts = ["a", "b ", " ", "\n", "　", "[[PAGE_START 1]]", "[[PAGE_START 22]]\n", "[[PAGE_END]]", "[[TABLE_START page=1]]", "[[TABLE_END]]", "1", "lit", "​", "𠮷"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(50)] + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string").repartition(2)
+    for _ in range(12):
+        script = _random_program(r)
+        a, b = ({x["i"]: x.asDict() for x in e(df, script).collect()} for e in (rules.extract, rule_columns.extract))
+        for i, t in enumerate(texts):
+            assert a[i] == b[i], (script, t)
