@@ -13,6 +13,8 @@ equal rows; ids that are null come last in descending order.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,6 +76,21 @@ def changed(a: Column, b: Column, level: str) -> tuple[Column, Column]:
     return same_at_start(a[level], b[level]), same_at_start(F.reverse(a[level]), F.reverse(b[level]))
 
 
+def below(value: Column, cuts: list) -> Column:
+    """How many of the ascending cuts lie below a value, sought in two steps of about the root of their number each."""
+    if not cuts:
+        return F.lit(0)
+    k = ceil(len(cuts) ** 0.5)
+    runs = [cuts[i : i + k] for i in range(0, len(cuts), k)]
+
+    def count(of: Column) -> Column:
+        return F.size(F.filter(of, lambda c: c < value))
+
+    run = count(F.array(*[F.lit(r[0]) for r in runs]))
+    inside = F.get(F.array(*[F.array(*map(F.lit, r)) for r in runs]), run - 1)
+    return F.when(run == 0, F.lit(0)).otherwise((run - 1) * k + count(inside))
+
+
 def edited_pairs(docs: DataFrame, most_broadcast: int = 64 << 20) -> DataFrame:
     """doc_id, text, its next document's text and the edited text.
 
@@ -87,7 +104,7 @@ def edited_pairs(docs: DataFrame, most_broadcast: int = 64 << 20) -> DataFrame:
     n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     got = d.agg(F.percentile_approx("doc_id", F.array(*[F.lit(i / n) for i in range(1, n)]), 10000).alias("c")).first()["c"] or []
     cuts = sorted(set(got))
-    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
+    part = below(F.col("doc_id"), cuts)
     dealt = d.select("doc_id", "text", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(part).alias("_b"), F.xxhash64("text").alias("_h"))
     inside = dealt.withColumn("_n", F.lag("text").over(Window.partitionBy("_b").orderBy(F.asc_nulls_first("doc_id"), "_h")))
     tops = sorted(dealt.groupBy("_b").agg(F.max(F.struct("doc_id", "_h")).alias("t")).collect(), key=lambda r: r["_b"])  # a row per range

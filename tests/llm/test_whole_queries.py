@@ -186,3 +186,10 @@ def test_fingerprints_of_many_paragraphs(spark):
     got = {r["doc_id"]: r for r in fingerprints.fingerprints(df).collect()}
     assert time.time() - began < 40
     assert got[1]["paragraphs_after"] == 0 and 13_300 < got[1]["paragraphs_before"] < 13_700 and got[1]["n_paragraphs_changed"] > 6_000
+
+
+def test_ranges_of_ids(spark):
+    for n in (0, 1, 2, 7, 16, 30):
+        cuts = sorted(random.Random(n).sample(range(0, 200, 2), n))
+        got = spark.range(-1, 201).select("id", fingerprints.below(F.col("id"), cuts).alias("n")).collect()
+        assert all(r["n"] == sum(c < r["id"] for c in cuts) for r in got)
