@@ -38,3 +38,9 @@ def outside_tables(text: str, f: Callable[[str], str]) -> str:
 def with_end(lines: list[str], like: str) -> str:
     """Lines as a text that ends with a line end if ``like`` does."""
     return "\n".join(lines) + ("\n" if like.endswith("\n") else "")
+
+
+def from_end(text: str, n: int) -> str:
+    """What follows the first ``n`` lines (one or more) as it is, after a newline for the end of the last of them, if it has one."""
+    head = text.splitlines(keepends=True)[:n]
+    return "\n" + text[sum(map(len, head)) :] if head[-1].splitlines() != head[-1:] else ""
