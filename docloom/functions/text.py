@@ -107,9 +107,14 @@ def _dollar(x: str) -> str:
     return x.replace("\\", "\\\\").replace("$", "\\$")
 
 
-def finalise(t: Column) -> Column:
-    """Page, bare table and heading markers go, then blank lines and outer space."""
+def finalise(t: Column, keep_edges: bool = False) -> Column:
+    """Page, bare table and heading markers go, then blank lines and outer space.
+
+    With ``keep_edges`` lines end at newlines alone, blank ones hold nothing but blanks of any width, and all others stay as they are.
+    """
     bare = F.regexp_replace(t, rf"\[\[PAGE_START{WS}*\d*{WS}*\]\]|\[\[PAGE_END\]\]|\[\[TABLE_START{WS}*\d*{WS}*\]\]|\[\[TABLE_END\]\]|\[\[HEADING\]\]{WS}*\d*", "")
+    if keep_edges:
+        return F.array_join(F.filter(F.split(bare, "\n", -1), lambda x: x.rlike(r"[^\p{Zs}]")), "\n")
     return strip_u(remove_empty_lines(bare))
 
 
