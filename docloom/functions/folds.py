@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+import pyarrow.compute as pc
+from pyspark.sql import Column, SparkSession
 from pyspark.sql.functions import arrow_udf
 
 _TABLE = re.compile(r"\[\[TABLE_START.*?(?:\[\[TABLE_END\]\][\r\n]*|\Z)", re.S)
@@ -17,13 +18,46 @@ def per_text(f: Callable[[str], str]) -> Callable[[Column], Column]:
     return lambda t: batches(f)(t)
 
 
-def batches(f: Callable[[str], str]):
-    """A text function as an Arrow function."""
+def batches(f: Callable[[str], object], kind: str = "string", arrow: pa.DataType = pa.string()):
+    """A text function as an Arrow function; null stays null."""
 
     def run(a: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else f(x) for x in a.to_pylist()], pa.string())
-
-    return arrow_udf(run, "string")
+        out = [pa.array([None if x is None else f(x) for x in a.slice(lo, n).to_pylist()], arrow) for lo, n in pieces(a)]
+        got = pa.concat_arrays(out) if out else pa.array([], arrow)
+        give_back()
+        return got
+
+    return arrow_udf(run, kind)
+
+
+def pieces(texts: pa.Array, limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of pieces whose texts hold at most ``limit`` bytes or are one: as Python objects a whole batch would take many times its size."""
+    lo = held = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > lo and held + n > limit:
+            yield lo, i - lo
+            lo, held = i, 0
+        held += n
+    if len(texts):
+        yield lo, len(texts) - lo
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker serves many tasks, and what allocators keep would add up."""
+    import ctypes
+    import sys
+
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # absent outside glibc
+        if trim:
+            trim(0)
+
+
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Bound the bytes of an Arrow batch sent to a Python worker, where the session doesn't say: rows differ in length a lot."""
+    if not spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def outside_tables(text: str, f: Callable[[str], str]) -> str:

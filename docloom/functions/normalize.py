@@ -5,9 +5,9 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import pyarrow as pa
 from pyspark.sql import Column
-from pyspark.sql.functions import arrow_udf
+
+from docloom.functions.folds import batches
 
 
 def circled(n: int) -> str | None:
@@ -39,23 +39,16 @@ def narrow(t: str) -> str:
     return "".join(p if i % 2 else unicodedata.normalize("NFKC", p).translate(str.maketrans(AFTER_NFKC)) for i, p in enumerate(parts))
 
 
-def _column(f, t: Column) -> Column:
-    def run(a: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else f(x) for x in a.to_pylist()], pa.string())
-
-    return arrow_udf(run, "string")(t)
-
-
 def to_fullwidth(t: Column) -> Column:
-    return _column(widen, t)
+    return batches(widen)(t)
 
 
 def to_halfwidth(t: Column) -> Column:
-    return _column(narrow, t)
+    return batches(narrow)(t)
 
 
 def circle(t: Column) -> Column:
-    return _column(circle_numbers, t)
+    return batches(circle_numbers)(t)
 
 
 def output_value(name: str, t: Column) -> Column:

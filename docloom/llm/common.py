@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.functions.folds import give_back, small_batches  # noqa: F401
+
 #: Stands for a null document id; it sorts before every other id.
 NULL_ID = -(2**63)
 
@@ -96,24 +98,6 @@ def slices(batches: Iterable[pa.RecordBatch], col: str, limit: int = 4_000_000)
     give_back()
 
 
-def give_back() -> None:
-    """Return freed memory to the system: a worker serves many tasks, and what allocators keep would add up."""
-    import ctypes
-    import sys
-
-    pa.default_memory_pool().release_unused()
-    if sys.platform == "linux":
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # absent outside glibc
-        if trim:
-            trim(0)
-
-
-def small_batches(spark: SparkSession, size: str = "4m") -> None:
-    """Bound the bytes of an Arrow batch sent to a Python worker, where the session doesn't say: rows differ in length a lot."""
-    if not spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
-
-
 def fresh(name: str, *taken: Iterable[str]) -> str:
     """``name``, with underscores added until no column has it (names are compared without case, as Spark does)."""
     used = {c.lower() for cols in taken for c in cols}
