@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import tables
 from docloom.functions import text as T
+from docloom.functions.folds import batches, small_batches
 
 _LINES = pa.list_(pa.string())
 _SEGMENTS = pa.list_(pa.struct([("type", pa.string()), ("lines", _LINES)]))
@@ -24,24 +25,31 @@ def joined(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return df.groupBy(id_col).agg(F.array_join(F.transform(rows, lambda x: x["line"]), "\n").alias("text"))
 
 
-def segments(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, seg_no, type, lines): runs of text and table lines of each document; each table is a segment of its own."""
-    kind = "array<struct<type:string,lines:array<string>>>"
+def _segments(text: str) -> list[dict]:
+    return [{"type": "table" if s.table else "text", "lines": s.lines} for s in tables.segments(text.splitlines())]
 
-    @F.arrow_udf(kind)
-    def cut(a: pa.Array) -> pa.Array:
-        return pa.array([[{"type": "table" if s.table else "text", "lines": s.lines} for s in tables.segments((t or "").splitlines())] for t in a.to_pylist()], _SEGMENTS)
 
-    return df.select(id_col, F.posexplode(cut(F.col(text))).alias("seg_no", "s")).select(id_col, "seg_no", "s.type", "s.lines")
+def _pages(text: str) -> list[dict]:
+    return [{"start": p.start, "body": p.body, "end": p.end} for p in tables.read_pages(text)[1]]
 
 
-def pages(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, page_pos, page_no, start_marker, body, end_marker) of each page; a number that isn't whole is null."""
+def cut_segments():
+    return batches(_segments, "array<struct<type:string,lines:array<string>>>", _SEGMENTS)
+
+
+def cut_pages():
+    return batches(_pages, "array<struct<start:string,body:array<string>,end:string>>", _PAGES)
 
-    @F.arrow_udf("array<struct<start:string,body:array<string>,end:string>>")
-    def cut(a: pa.Array) -> pa.Array:
-        return pa.array([[{"start": p.start, "body": p.body, "end": p.end} for p in tables.read_pages(t or "")[1]] for t in a.to_pylist()], _PAGES)
 
-    d = df.select(id_col, F.posexplode(cut(F.col(text))).alias("page_pos", "p"))
+def segments(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, seg_no, type, lines): runs of text and table lines of each document; each table is a segment of its own."""
+    small_batches(df.sparkSession)
+    return df.select(id_col, F.posexplode(cut_segments()(F.col(text))).alias("seg_no", "s")).select(id_col, "seg_no", "s.type", "s.lines")
+
+
+def pages(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, page_pos, page_no, start_marker, body, end_marker) of each page; a number that isn't whole is null."""
+    small_batches(df.sparkSession)
+    d = df.select(id_col, F.posexplode(cut_pages()(F.col(text))).alias("page_pos", "p"))
     number = F.regexp_extract("p.start", r"^\[\[PAGE_START\s*(\d+)\s*\]\]", 1)
     return d.select(id_col, "page_pos", number.try_cast("int").alias("page_no"), F.col("p.start").alias("start_marker"), "p.body", F.col("p.end").alias("end_marker"))
