@@ -142,8 +142,12 @@ def unit_spaces(t: Column) -> Column:
     return F.regexp_replace(t, f" (?=[{UNITS}])|(?<=[{UNITS}]) ", "")
 
 
+# What becomes a hyphen.
+DASHES = "－—─–―"
+
+
 def dashes(t: Column) -> Column:
-    return F.translate(t, "－—─–―", "-----")
+    return F.translate(t, DASHES, "-" * len(DASHES))
 
 
 # Roman numeral characters and their spelling.
@@ -166,10 +170,14 @@ def full_width(t: Column) -> Column:
 DIGIT = "[" + "".join(f"\\x{{{i:x}}}" for i in range(0x110000) if chr(i).isdigit()) + "]"
 
 
+# A page number in dashes, as a sheet or a page.
+FOOTER = r"(?:-[- ]*{WS}*{DIGIT}+{WS}*[- ]*-|第{DIGIT}+頁|(?i:page )(?:(?i:page )|{WS})*{DIGIT}(?:{DIGIT}|(?i:page ))*)\Z"
+
+
 def is_footer(line: Column) -> Column:
     """Short lines that hold only a page number, in dashes, as a sheet or a page."""
     x = strip_u(line)
-    return (F.length(x) <= 12) & x.rlike(rf"^(?:-[- ]*{WS}*{DIGIT}+{WS}*[- ]*-|第{DIGIT}+頁|(?i:page )(?:(?i:page )|{WS})*{DIGIT}(?:{DIGIT}|(?i:page ))*)\z")
+    return (F.length(x) <= 12) & x.rlike("^" + FOOTER.replace("{WS}", WS).replace("{DIGIT}", DIGIT).replace(r"\Z", r"\z"))
 
 
 def drop_footers(t: Column) -> Column:
@@ -192,9 +200,13 @@ def is_label(line: Column) -> Column:
     return (F.length(core) > 0) & (F.length(core) <= 12) & core.rlike("(?:日|等|名|場所|内容|概要|期|期間|方法|方式|金額)$")
 
 
+# Bad splits and what they are to be.
+SPLIT_WORDS = (("入 札", "入札"), ("に ついて", "について"))
+
+
 def common_split_words(t: Column) -> Column:
     """Two very common bad splits, mended in this order."""
-    for bad, good in (("入 札", "入札"), ("に ついて", "について")):
+    for bad, good in SPLIT_WORDS:
         t = F.replace(t, F.lit(bad), F.lit(good))
     return t
 
